@@ -21,7 +21,8 @@ def cents_per_kwh(price: Column | str, margin: float, vat: float = 0.255) -> Col
 
 def display_number(value: Column | str, digits: int) -> Column:
     """Fixed number of decimals as text, a dash for a missing value."""
-    return F.coalesce(F.format_string(f"%.{digits}f", F.round(as_col(value), digits)), F.lit("-"))
+    value = as_col(value)
+    return F.when(value.isNotNull(), F.format_string(f"%.{digits}f", F.round(value, digits))).otherwise(F.lit("-"))
 
 
 def clamp(value: Column, low: float, high: float) -> Column:
