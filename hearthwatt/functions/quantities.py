@@ -20,9 +20,12 @@ def cents_per_kwh(price: Column | str, margin: float, vat: float = 0.255) -> Col
 
 
 def display_number(value: Column | str, digits: int) -> Column:
-    """Fixed number of decimals as text, a dash for a missing value."""
-    value = as_col(value)
-    return F.when(value.isNotNull(), F.format_string(f"%.{digits}f", F.round(value, digits))).otherwise(F.lit("-"))
+    """Half-up rounded text with a fixed number of decimals, a dash for a missing value.
+
+    Going through a decimal keeps binary noise in the last digits from deciding a tie.
+    """
+    exact = as_col(value).cast("decimal(28,9)")
+    return F.coalesce(F.round(exact, digits).cast("string"), F.lit("-"))
 
 
 def clamp(value: Column, low: float, high: float) -> Column:

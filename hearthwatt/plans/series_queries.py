@@ -66,7 +66,7 @@ def direction_interpolated_circular(spark: SparkSession, sf_dir: str) -> DataFra
 @query("display_rows", ctes(*FUSION) + """
 SELECT site_id, ts, strftime(timezone('Europe/Helsinki', timezone('UTC', ts)), '%H:%M') AS local_time,
 """ + ",\n".join(
-    f"coalesce(printf('%.{d}f', round({e}, {d})), '-') AS {n}" for n, e, d in [
+    f"coalesce(CAST(round(CAST({e} AS DECIMAL(28, 9)), {d}) AS VARCHAR), '-') AS {n}" for n, e, d in [
         ("price_cents_per_kwh", "(price_eur_per_mwh / 10.0::DOUBLE + 0.5::DOUBLE) * 1.255::DOUBLE", 1),
         ("fc_temperature_c", "fc_temperature_c", 1), ("station_temperature_c", "station_temperature_c", 1),
         ("fc_wind_speed_ms", "fc_wind_speed_ms", 1), ("station_wind_speed_ms", "station_wind_speed_ms", 1),
