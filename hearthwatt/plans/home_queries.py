@@ -143,19 +143,19 @@ _BANDS = {"yhat_p50": 4, "yhat_p10": 4, "yhat_p90": 4}
 _BANDS_SQL = ", ".join(f"{r(c, d)} AS {c}" for c, d in _BANDS.items())
 
 
-def _best(spark: SparkSession, sf_dir: str) -> DataFrame:
+def best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest_per_target(a.run_values(spark, sf_dir), a.runs(spark, sf_dir))
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     actual = a.load(spark, sf_dir).withColumnRenamed("total_actual_w", "actual")
-    return actual_and_forecast(actual, _best(spark, sf_dir).select("site_id", "target_ts", "yhat_p50"))
+    return actual_and_forecast(actual, best(spark, sf_dir).select("site_id", "target_ts", "yhat_p50"))
 
 
 @query("newest_per_target", ctes("runs", "run_values", "best") + f"""
 SELECT site_id, target, target_ts, run_id, issued_at, {_BANDS_SQL} FROM best""")
 def best_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_best(spark, sf_dir), _BANDS)
+    return rounded(best(spark, sf_dir), _BANDS)
 
 
 @query("latest_run_values", ctes("runs", "run_values") + f"""

@@ -179,7 +179,7 @@ _HEALTH_CTES = (*STATION, "prices", "sites", "hourly", "runs", "run_values", "ba
 
 def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = a.sites(spark, sf_dir)
-    silent = table(spark, sf_dir, "region").limit(1).select(F.lit("silent").alias("site_id"), F.lit("Z9").alias("zone"))
+    silent = spark.range(1).select(F.lit("silent").alias("site_id"), F.lit("Z9").alias("zone"))
     tables = {
         "sites": known.unionByName(silent), "station": a.station(spark, sf_dir, ["temperature_c"]),
         "forecast": a.hourly(spark, sf_dir), "values": a.run_values(spark, sf_dir), "runs": a.runs(spark, sf_dir),
