@@ -39,7 +39,10 @@ FROM events"""
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows: a site per event type, readings by arithmetic on value and id, registers as JSON text."""
-    ev = table(spark, sf_dir, "events")
+    return telemetry_from(table(spark, sf_dir, "events"))
+
+
+def telemetry_from(ev: DataFrame) -> DataFrame:
     i, v = F.col("event_id"), F.col("value")
     registers = F.concat(F.lit('{"30775":'), F.get_json_object("props", "$.k"), F.lit(',"30517":'),
                          (i % 1000).cast("string"), F.lit(',"label":"x"}'))
@@ -186,10 +189,14 @@ WHERE NOT coalesce(TRY_CAST(NULLIF(regexp_extract(command, '^PROHIBIT_([0-9]+)$'
 
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three kinds of command; some timed ones are longer than 720 minutes and so not valid."""
+    return commands_from(table(spark, sf_dir, "events"))
+
+
+def commands_from(ev: DataFrame) -> DataFrame:
     i = F.col("event_id")
     text = (F.when(i % 3 == 0, F.concat(F.lit("PROHIBIT_"), (i % 750 + 1).cast("string")))
             .when(i % 3 == 1, F.lit("PROHIBIT")).otherwise(F.lit("ALLOW")))
-    return table(spark, sf_dir, "events").select(F.col("event_type").alias("site_id"), "ts", text.alias("command"))
+    return ev.select(F.col("event_type").alias("site_id"), "ts", text.alias("command"))
 
 
 SQL["manifest"] = """

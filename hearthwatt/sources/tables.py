@@ -54,6 +54,8 @@ def _touched(stored: DataFrame, updates: DataFrame) -> DataFrame:
 def upsert_stored(spark: SparkSession, updates: DataFrame, path: str, key: Sequence[str], now: Column,
                   order: Sequence[str] = ()) -> None:
     """Last write wins, in place. ``order`` picks among several updates of one key."""
+    if "ts" not in key:
+        raise ValueError("the key must hold ts: only the days of the updates are looked at")
     updates = dedupe(updates, key, order) if order else updates
     stored = read_stored(spark, path)
     if stored is None:
