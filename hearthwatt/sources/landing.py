@@ -28,9 +28,10 @@ def read_archive(spark: SparkSession, inbox: str, schema: T.StructType = TELEMET
 def read_json_landing(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Posted JSON records that fit the schema, and the text of those that do not."""
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = (spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    bad = F.col(CORRUPT).isNotNull()
-    return rows.filter(~bad).drop(CORRUPT), rows.filter(bad).select(F.col(CORRUPT).alias("record"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rows = spark.read.text(path).filter(F.trim("value") != "").select("value", F.from_json("value", full, options).alias("r"))
+    bad = F.col(f"r.{CORRUPT}").isNotNull()
+    return rows.filter(~bad).select("r.*").drop(CORRUPT), rows.filter(bad).select(F.col("value").alias("record"))
 
 
 def merge_station_and_inverter(weather: DataFrame, inverter: DataFrame, max_age_seconds: int = 300) -> DataFrame:
@@ -87,7 +88,7 @@ _WEATHER = "Time string, ParameterName string, ParameterValue string, site_id st
 
 def read_forecast_xml(spark: SparkSession, path: str) -> DataFrame:
     """Hourly forecast, one column per known parameter, from documents under ``site_id=<id>`` folders."""
-    rows = (spark.read.format("xml").schema(_WEATHER).option("rowTag", "BsWfs:BsWfsElement")
+    rows = (spark.read.format("xml").schema(_WEATHER).option("rowTag", "BsWfsElement")
             .option("ignoreNamespace", True).load(path))
     value = F.col("ParameterValue").try_cast("double")
     known = F.when(~F.isnan(value), value)

@@ -37,6 +37,10 @@ def stored(at: Column) -> Column:
     return from_epoch_seconds(F.unix_seconds(at))
 
 
+def from_millis(ms: str) -> Column:
+    return F.timestamp_add("MILLISECOND", F.col(ms), ts_lit("1970-01-01 00:00:00"))
+
+
 def with_event_time(stream: DataFrame, lateness: str) -> DataFrame:
     return stream.withColumn(EVENT_TIME, instant("ts")).withWatermark(EVENT_TIME, lateness)
 
@@ -74,20 +78,20 @@ def stream_command_state(stream: DataFrame, lateness: str = "10 minutes") -> Dat
 
     Rows are ``site_id, ts, mode, cause`` with cause ``command`` or ``timeout``. Append mode; needs RocksDB state.
     """
-    rows = with_event_time(stream, lateness).select("site_id", EVENT_TIME, "command")
+    rows = with_event_time(stream, lateness).select("site_id", EVENT_TIME, F.unix_millis(EVENT_TIME).alias("ms"), "command")
     changes = rows.groupBy("site_id").transformWithStateInPandas(
-        AutoRevert(), outputStructType="site_id string, at timestamp, mode string, cause string", outputMode="append",
+        AutoRevert(), outputStructType="site_id string, ms bigint, mode string, cause string", outputMode="append",
         timeMode="eventTime")
-    return changes.select("site_id", stored(F.col("at")).alias("ts"), "mode", "cause")
+    return changes.select("site_id", from_millis("ms").alias("ts"), "mode", "cause")
 
 
 def stream_stale_alerts(stream: DataFrame, minutes: int, lateness: str = "10 minutes") -> DataFrame:
     """One row when a site has sent nothing for ``minutes``, at the time that became true."""
-    rows = with_event_time(stream, lateness).select("site_id", EVENT_TIME)
+    rows = with_event_time(stream, lateness).select("site_id", EVENT_TIME, F.unix_millis(EVENT_TIME).alias("ms"))
     alerts = rows.groupBy("site_id").transformWithStateInPandas(
-        StaleAlerts(minutes), outputStructType="site_id string, at timestamp, since timestamp", outputMode="append",
+        StaleAlerts(minutes), outputStructType="site_id string, ms bigint, since_ms bigint", outputMode="append",
         timeMode="eventTime")
-    return alerts.select("site_id", stored(F.col("at")).alias("ts"), stored(F.col("since")).alias("last_seen_ts"))
+    return alerts.select("site_id", from_millis("ms").alias("ts"), from_millis("since_ms").alias("last_seen_ts"))
 
 
 def with_rocksdb(spark: SparkSession) -> str | None:

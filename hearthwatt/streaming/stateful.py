@@ -1,10 +1,13 @@
-"""Per-site timers. The state of a site is one pending time, whatever the number of its rows."""
+"""Per-site timers. The state of a site is one pending time, whatever the number of its rows.
+
+Times enter and leave as milliseconds since 1970, so the session zone plays no part.
+"""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -13,14 +16,6 @@ COMMAND = re.compile(r"^(ALLOW|PROHIBIT)(?:_(\d+))?$")
 MAX_MINUTES = 720
 
 
-def millis(at: pd.Timestamp) -> int:
-    return int(at.value // 1_000_000) if at.tzinfo is not None else int(at.tz_localize("UTC").value // 1_000_000)
-
-
-def from_millis(ms: int) -> datetime:
-    return datetime.fromtimestamp(ms / 1000, tz=timezone.utc)
-
-
 def parse(command: str) -> tuple[str, int | None] | None:
     """Mode and minutes of a command, or None if it is not valid."""
     found = COMMAND.match(command or "")
@@ -52,28 +47,26 @@ class AutoRevert(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         until = self.pending.get()[0] if self.pending.exists() else None
         out = []
-        batch = pd.concat(list(rows)).sort_values("event_time")
-        for at, command in zip(batch["event_time"], batch["command"]):
+        for now, command in sorted((ms, c) for batch in rows for ms, c in zip(batch["ms"], batch["command"]) if c is not None):
             parsed = parse(command)
             if parsed is None:
                 continue
-            now = millis(at)
             if until is not None and until <= now:
-                out.append((key[0], from_millis(until), "ALLOW", "timeout"))
+                out.append((key[0], until, "ALLOW", "timeout"))
             mode, minutes = parsed
-            until = now + minutes * 60_000 if minutes is not None else None
-            out.append((key[0], from_millis(now), mode, "command"))
+            until = int(now) + minutes * 60_000 if minutes is not None else None
+            out.append((key[0], int(now), mode, "command"))
         self._set(until)
-        yield pd.DataFrame(out, columns=["site_id", "at", "mode", "cause"])
+        yield pd.DataFrame(out, columns=["site_id", "ms", "mode", "cause"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         until = expiredTimerInfo.getExpiryTimeInMs()
         current = self.pending.get()[0] if self.pending.exists() else None
         if current == until:
             self.pending.clear()
-            yield pd.DataFrame([(key[0], from_millis(until), "ALLOW", "timeout")], columns=["site_id", "at", "mode", "cause"])
+            yield pd.DataFrame([(key[0], until, "ALLOW", "timeout")], columns=["site_id", "ms", "mode", "cause"])
         else:
-            yield pd.DataFrame(columns=["site_id", "at", "mode", "cause"])
+            yield pd.DataFrame(columns=["site_id", "ms", "mode", "cause"])
 
     def close(self) -> None:
         pass
@@ -92,9 +85,9 @@ class StaleAlerts(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last, alerted = self.seen.get() if self.seen.exists() else (None, False)
         out = []
-        for at in sorted(millis(t) for batch in rows for t in batch["event_time"]):
+        for at in sorted(int(ms) for batch in rows for ms in batch["ms"]):
             if last is not None and at - last > self.limit and not alerted:
-                out.append((key[0], from_millis(last + self.limit), from_millis(last)))
+                out.append((key[0], last + self.limit, last))
             if last is None or at > last:
                 last, alerted = at, False
         for timer in list(self.handle.listTimers()):
@@ -102,15 +95,15 @@ class StaleAlerts(StatefulProcessor):
         self.seen.update((last, alerted))
         if not alerted:
             self.handle.registerTimer(last + self.limit)
-        yield pd.DataFrame(out, columns=["site_id", "at", "since"])
+        yield pd.DataFrame(out, columns=["site_id", "ms", "since_ms"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        columns = ["site_id", "at", "since"]
+        columns = ["site_id", "ms", "since_ms"]
         last, alerted = self.seen.get() if self.seen.exists() else (None, True)
         due = last is not None and not alerted and last + self.limit == expiredTimerInfo.getExpiryTimeInMs()
         if due:
             self.seen.update((last, True))
-            yield pd.DataFrame([(key[0], from_millis(last + self.limit), from_millis(last))], columns=columns)
+            yield pd.DataFrame([(key[0], last + self.limit, last)], columns=columns)
         else:
             yield pd.DataFrame(columns=columns)
 
