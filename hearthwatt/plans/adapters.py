@@ -230,7 +230,7 @@ def backups(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["recommendations"] = """
 SELECT CAST(o_orderkey AS VARCHAR) AS recommendation_id, o_orderdate AS timestamp, o_orderpriority AS type,
   CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS accepted,
-  round(o_totalprice / 1000, 2) AS saving, round(o_totalprice / 400, 2) AS baseline,
+  floor(o_totalprice) / 1000 AS saving, floor(o_totalprice) / 400 AS baseline,
   CAST(o_custkey % 24 AS VARCHAR) AS window_start FROM orders"""
 SQL["outcomes"] = """
 SELECT CAST(l_orderkey AS VARCHAR) AS recommendation_id, sum(l_quantity) AS actual_cost_eur FROM lineitem GROUP BY 1"""
@@ -241,8 +241,8 @@ SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS recommendation_id FROM lineitem W
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     payload = F.to_json(F.struct(
-        F.round(F.col("o_totalprice") / 1000, 2).alias("predicted_saving_eur"),
-        F.round(F.col("o_totalprice") / 400, 2).alias("baseline_cost_eur"),
+        (F.floor("o_totalprice") / 1000).alias("predicted_saving_eur"),
+        (F.floor("o_totalprice") / 400).alias("baseline_cost_eur"),
         (F.col("o_custkey") % 24).cast("string").alias("window_start")))
     accepted = F.when(F.col("o_orderstatus") == "F", True).when(F.col("o_orderstatus") == "O", False)
     return o.select(F.col("o_orderkey").cast("string").alias("recommendation_id"), F.col("o_orderdate").alias("timestamp"),
