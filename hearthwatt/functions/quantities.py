@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 from .timeparts import as_col
 
 COMMAND_MAX_MINUTES = 720
+TIMED = "PROHIBIT_"
 
 
 def watts_from_joules(joules: Column | str) -> Column:
@@ -74,15 +75,21 @@ def bad_registers(registers: Column | str) -> Column:
     return F.map_keys(F.map_filter(as_col(registers), lambda _, v: v.isNull()))
 
 
-def command_mode(command: Column | str) -> Column:
-    """ALLOW or PROHIBIT; NULL for anything that is not a valid command."""
+def command_minutes(command: Column | str) -> Column:
+    """Length of a timed prohibition, 1 to 720 minutes; NULL when untimed or out of range.
+
+    Plain string functions: a regular expression per row costs many times as much.
+    """
     command = as_col(command)
-    timed = command.rlike("^PROHIBIT_[0-9]+$") & command_minutes(command).isNotNull()
-    return (F.when(command == "ALLOW", F.lit("ALLOW"))
-            .when((command == "PROHIBIT") | timed, F.lit("PROHIBIT")))
+    digits = F.substring(command, len(TIMED) + 1, 12)
+    only_digits = command.startswith(TIMED) & (F.translate(digits, "0123456789", "") == "") & (F.length(command) <= len(TIMED) + 12)
+    number = F.when(only_digits, digits.try_cast("bigint"))
+    return F.when(number.between(1, COMMAND_MAX_MINUTES), number.cast("int"))
 
 
-def command_minutes(command: Column | str) -> Column:
-    """Length of a timed prohibition, 1 to 720 minutes; NULL when untimed or out of range."""
-    number = F.regexp_extract(as_col(command), "^PROHIBIT_([0-9]+)$", 1).try_cast("int")
-    return F.when(number.between(1, COMMAND_MAX_MINUTES), number)
+def command_mode(command: Column | str, minutes: Column | None = None) -> Column:
+    """ALLOW or PROHIBIT; NULL for anything that is not a valid command. ``minutes`` is the parsed length, if at hand."""
+    command = as_col(command)
+    minutes = command_minutes(command) if minutes is None else minutes
+    return (F.when(command == "ALLOW", F.lit("ALLOW"))
+            .when((command == "PROHIBIT") | minutes.isNotNull(), F.lit("PROHIBIT")))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.quantities import wind_components, wind_from_components
 from ..functions.timeparts import with_slot
 from ..schemas import ALLOWED_AVERAGES, SCALARS
-from .chunked import halo_window, home_rows, with_halo
+from .chunked import HOUR, halo_window, home_rows, with_halo
 from .keyed import newest_n
 
 WIND = ("wind_speed_ms", "wind_direction_deg")
@@ -89,7 +89,7 @@ def to_api_json(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def merge_latest(left: DataFrame, right: DataFrame, max_age_seconds: int, by: Sequence[str] = ("site_id",),
-                 length: str = "6 hours") -> DataFrame:
+                 length: int = 6 * HOUR) -> DataFrame:
     """Each left row with the newest right row at or before it and at most ``max_age_seconds`` old.
 
     An as-of join as one union and one window: right rows are copied into the next chunk when they can still be

@@ -17,18 +17,19 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.timeparts import shift, with_slot
+from ..functions.timeparts import epoch_seconds, with_slot
 
 CHUNK = "_chunk"
-DAY = "1 day"
+HOUR, DAY = 3600, 86400
 
 
-def with_chunk(df: DataFrame, ts: str, length: str = DAY) -> DataFrame:
-    return with_slot(df, ts, length, CHUNK)
+def with_chunk(df: DataFrame, ts: str, length: int = DAY) -> DataFrame:
+    """Add the chunk a row lies in; ``length`` is in seconds."""
+    return with_slot(df, ts, f"{length} seconds", CHUNK)
 
 
 def neighbours(df: DataFrame, by: Sequence[str], ts: str, prev: Mapping[str, str] | None = None,
-               following: Mapping[str, str] | None = None, length: str = DAY) -> DataFrame:
+               following: Mapping[str, str] | None = None, length: int = DAY) -> DataFrame:
     """Add values of the previous and the following row of the same site.
 
     ``prev`` and ``following`` map new column names to source columns.
@@ -60,7 +61,7 @@ def neighbours(df: DataFrame, by: Sequence[str], ts: str, prev: Mapping[str, str
     )
 
 
-def fill_forward(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, str], length: str = DAY,
+def fill_forward(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, str], length: int = DAY,
                  tie: str | None = None) -> DataFrame:
     """Newest non-NULL value at or before each row. ``cols`` maps new names to source columns.
 
@@ -82,7 +83,7 @@ def fill_forward(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, s
     )
 
 
-def running_total(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, Column], length: str = DAY) -> DataFrame:
+def running_total(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, Column], length: int = DAY) -> DataFrame:
     """Cumulative sum up to and including each row. ``cols`` maps new names to the summed expressions."""
     key = [*by, CHUNK]
     chunked = with_chunk(df, ts, length).withColumns({f"_term_{name}": expr for name, expr in cols.items()})
@@ -98,20 +99,21 @@ def running_total(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str,
     )
 
 
-def with_halo(df: DataFrame, ts: str, before_seconds: int, after_seconds: int, length: str = DAY) -> DataFrame:
+def with_halo(df: DataFrame, ts: str, before_seconds: int, after_seconds: int, length: int = DAY) -> DataFrame:
     """Copy each row into every chunk whose rows can see it.
 
     A row at ``u`` sees ``[u - before, u + after]``. The column ``_home`` is true on the one copy that lies in the
     row's own chunk; keep only those after the window. With chunks longer than the frame a row has two or three
     copies at most, and most have one.
     """
-    spread = with_slot(with_chunk(df, ts, length), ts, length, "_own")
-    spread = spread.withColumn("_lo", shift(ts, -after_seconds)).withColumn("_hi", shift(ts, before_seconds))
-    spread = with_slot(spread, "_lo", length, "_from")
-    spread = with_slot(spread, "_hi", length, "_to")
-    step = F.expr(f"INTERVAL {length}")
-    copies = spread.withColumn(CHUNK, F.explode(F.sequence("_from", "_to", step)))
-    return copies.select(*df.columns, CHUNK, (F.col(CHUNK) == F.col("_own")).alias("_home"))
+    seconds = epoch_seconds(ts)
+
+    def chunk_of(at: Column) -> Column:
+        return F.floor(at / F.lit(float(length)))
+
+    copies = F.explode(F.sequence(chunk_of(seconds - after_seconds), chunk_of(seconds + before_seconds)))
+    spread = df.filter(F.col(ts).isNotNull()).select(*df.columns, chunk_of(seconds).alias("_own"), copies.alias(CHUNK))
+    return spread.select(*df.columns, CHUNK, (F.col(CHUNK) == F.col("_own")).alias("_home"))
 
 
 def home_rows(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.timeparts import epoch_seconds, local_date
 from ..schemas import COMPONENT_DEFAULTS
-from .chunked import CHUNK, home_rows, with_chunk, with_halo
+from .chunked import CHUNK, DAY, home_rows, with_chunk, with_halo
 
 COMPONENTS = ("total_actual_w", "baseline_actual_w", "ev_actual_w", "sauna_actual_w", "other_actual_w")
 SLOT_HOURS = 0.25
@@ -28,7 +28,7 @@ def home_consumption(station: DataFrame) -> DataFrame:
 
 
 def reference_load(df: DataFrame, col: str = "total_actual_w", half_window_hours: int = 24,
-                   by: Sequence[str] = ("site_id",), length: str = "8 days") -> DataFrame:
+                   by: Sequence[str] = ("site_id",), length: int = 8 * DAY) -> DataFrame:
     """Median load within ``half_window_hours`` on either side of each slot, as ``reference_w``.
 
     The frame is in time, so on a full grid it is the same number of slots on either side and a hole in the data
@@ -64,7 +64,7 @@ def classify_excess(df: DataFrame, p: Mapping[str, Any] = COMPONENT_DEFAULTS) ->
 
 
 def event_islands(df: DataFrame, cls: str = "event_class", by: Sequence[str] = ("site_id",), step_seconds: int = 900,
-                  length: str = "8 days") -> DataFrame:
+                  length: int = 8 * DAY) -> DataFrame:
     """Number runs of consecutive slots of one class, per site from 1, as ``event_id``.
 
     A run ends when the class changes or a slot is missing. Runs are counted per chunk; a row per chunk carries its

@@ -10,7 +10,7 @@ from .chunked import fill_forward, neighbours
 
 def parse_commands(commands: DataFrame) -> DataFrame:
     """Add ``mode`` and ``minutes``; ``mode`` is NULL for text that is not a command or a length out of range."""
-    return commands.withColumns({"mode": command_mode("command"), "minutes": command_minutes("command")})
+    return commands.withColumn("minutes", command_minutes("command")).withColumn("mode", command_mode("command", F.col("minutes")))
 
 
 def rejected_commands(commands: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.quantities import cents_per_kwh, display_number, watts_from_joules
 from ..functions.timeparts import between_dates, hour_minute, shift
 from ..schemas import DISPLAY_COLUMNS, FORECAST_COLUMNS, STATION_FUSION_COLUMNS
-from .chunked import halo_window, home_rows, neighbours, spread_join, with_halo
+from .chunked import DAY, halo_window, home_rows, neighbours, spread_join, with_halo
 
 
 def prefix_columns(df: DataFrame, cols: Sequence[str], prefix: str) -> DataFrame:
@@ -31,7 +31,7 @@ def interpolate(first: Column, second: Column, minute: Column, circular: bool =
 
 
 def interp_hourly(hourly: DataFrame, cols: Sequence[str] = tuple(FORECAST_COLUMNS), circular: Collection[str] = (),
-                  by: Sequence[str] = ("site_id",), length: str = "4 days") -> DataFrame:
+                  by: Sequence[str] = ("site_id",), length: int = 4 * DAY) -> DataFrame:
     """Quarter-hour rows from hourly rows.
 
     The next hour comes from one window over day-long chunks with an hour of overlap, in place of a second join to

@@ -288,15 +288,19 @@ def event_scores(predicted: DataFrame, actual: DataFrame, key: Sequence[str] = (
         "f1": F.when(2 * tp + fp + fn > 0, 2 * tp / (2 * tp + fp + fn))})
 
 
+def with_payload(recs: DataFrame) -> DataFrame:
+    """The fields of ``payload_json`` that the reports use, in one parse."""
+    fields = F.from_json("payload_json", "predicted_saving_eur double, baseline_cost_eur double, window_start string")
+    return recs.withColumn("_p", fields).withColumns({
+        "_saving": F.col("_p.predicted_saving_eur"), "_baseline": F.col("_p.baseline_cost_eur"), "_window": F.col("_p.window_start")}).drop("_p")
+
+
 def feedback_metrics(recs: DataFrame, outcomes: DataFrame, feedback: DataFrame) -> DataFrame:
     """Per type of recommendation: acceptance, realised over predicted saving, discomfort and variety of windows.
 
     The payload holds ``predicted_saving_eur``, ``baseline_cost_eur`` and ``window_start``.
     """
-    parsed = recs.withColumns({
-        "_saving": F.get_json_object("payload_json", "$.predicted_saving_eur").try_cast("double"),
-        "_baseline": F.get_json_object("payload_json", "$.baseline_cost_eur").try_cast("double"),
-        "_window": F.get_json_object("payload_json", "$.window_start")})
+    parsed = with_payload(recs)
     complaints = feedback.filter("feedback_type = 'discomfort' AND recommendation_id IS NOT NULL").select(
         "recommendation_id", F.lit(1).alias("_complaint")).distinct()
     rows = (parsed.join(outcomes.select("recommendation_id", "actual_cost_eur"), "recommendation_id", "left")
@@ -326,9 +330,7 @@ def retrain_gate(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def savings_summary(recs: DataFrame, outcomes: DataFrame, tz: str = "Europe/Helsinki") -> DataFrame:
     """Per local day: what was proposed, accepted, rejected or left, and the saving expected and realised."""
-    saving = F.get_json_object("payload_json", "$.predicted_saving_eur").try_cast("double")
-    baseline = F.get_json_object("payload_json", "$.baseline_cost_eur").try_cast("double")
-    rows = recs.withColumns({"_saving": saving, "_baseline": baseline}).join(
+    rows = with_payload(recs).join(
         outcomes.select("recommendation_id", "actual_cost_eur"), "recommendation_id", "left")
     return rows.groupBy(local_date("timestamp", tz).alias("local_date")).agg(
         F.count(F.lit(1)).alias("proposed"), F.count_if(F.col("accepted")).alias("accepted"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.timeparts import between_dates, hour_minute
-from .chunked import CHUNK, home_rows, with_halo
+from .chunked import CHUNK, DAY, home_rows, with_halo
 from .grid import local_day_grid, on_grid
 from .keyed import newest_per_target
 
@@ -46,7 +46,7 @@ def forecast_error_windows(pairs: DataFrame, now: Column, hours: Sequence[int] =
     return recent.groupBy(*by).agg(*columns)
 
 
-def rolling_error(pairs: DataFrame, hours: int = 24, by: Sequence[str] = ("site_id",), length: str = "7 days") -> DataFrame:
+def rolling_error(pairs: DataFrame, hours: int = 24, by: Sequence[str] = ("site_id",), length: int = 7 * DAY) -> DataFrame:
     """Trailing error at every slot, over the ``hours`` up to and including it. One row per slot and site."""
     copies = with_halo(pairs.withColumn("_e", error()), "ts", hours * 3600, 0, length)
     frame = (f"OVER (PARTITION BY {', '.join([*by, CHUNK])} ORDER BY ts "

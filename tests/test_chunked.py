@@ -13,7 +13,8 @@ from hearthwatt.functions.timeparts import slot_floor
 from hearthwatt.operators import averaging, chunked, consumption, control, grid, keyed, scoring
 
 START = datetime(2026, 3, 27)
-LENGTHS = ["1 hour", "7 hours", "1 day", "30 days"]
+HOUR, DAY = 3600, 86400
+LENGTHS = [HOUR, 7 * HOUR, DAY, 30 * DAY]
 
 
 def series(seed: int, n: int = 260) -> list[tuple]:
@@ -103,7 +104,7 @@ def test_event_islands(spark, data, length):
     assert collected(out, "event_id") == sorted(want)
 
 
-@pytest.mark.parametrize("length", ["1 day", "3 days", "30 days"])
+@pytest.mark.parametrize("length", [DAY, 3 * DAY, 30 * DAY])
 def test_reference_load(spark, data, length):
     out = consumption.reference_load(frame(spark, data), "w", 24, length=length)
     want = {}
@@ -116,7 +117,7 @@ def test_reference_load(spark, data, length):
     assert all(got[k] == (None if want[k] is None else pytest.approx(want[k])) for k in want)
 
 
-@pytest.mark.parametrize("hours, length", [(24, "1 day"), (24, "7 days"), (168, "7 days")])
+@pytest.mark.parametrize("hours, length", [(24, DAY), (24, 7 * DAY), (168, 7 * DAY)])
 def test_rolling_error(spark, data, hours, length):
     pairs = frame(spark, data).select("site_id", "ts", F.col("w").alias("yhat_p50"), F.lit(100.0).alias("actual"))
     got = {(r["site_id"], r["ts"]): r for r in scoring.rolling_error(pairs, hours, length=length).collect()}
@@ -130,7 +131,7 @@ def test_rolling_error(spark, data, hours, length):
                 assert got[site, row[1]]["bias"] == pytest.approx(sum(e) / len(e))
 
 
-@pytest.mark.parametrize("length", ["1 hour", "6 hours"])
+@pytest.mark.parametrize("length", [HOUR, 6 * HOUR])
 def test_merge_latest(spark, data, length):
     left = frame(spark, [r for i, r in enumerate(data) if i % 2]).select("site_id", "ts", "cls")
     right = frame(spark, [r for i, r in enumerate(data) if i % 3]).select("site_id", "ts", "w")
