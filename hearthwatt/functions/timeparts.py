@@ -120,6 +120,10 @@ def calendar_features(df: DataFrame, tz: str, ts: str = "ts", holidays: DataFram
     })
     if holidays is None:
         return out.withColumn("is_holiday", F.lit(False))
-    days = holidays.select(F.col("date").alias("_holiday")).distinct()
-    return out.join(days, local_date(ts, tz) == F.col("_holiday"), "left").withColumn(
-        "is_holiday", F.col("_holiday").isNotNull()).drop("_holiday")
+    days = holidays.select(F.col("date").alias("_date"), F.lit(True).alias("_holiday")).distinct()
+    # All sites share a date, so the rows of a day are spread over tasks.
+    spread = [c for c in ("site_id", ts) if c in df.columns]
+    salted = out.withColumns({"_date": local_date(ts, tz), "_salt": F.pmod(F.xxhash64(*spread), F.lit(64))})
+    salts = days.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(63).cast("bigint"))))
+    return salted.join(salts, ["_date", "_salt"], "left").withColumn(
+        "is_holiday", F.col("_holiday").isNotNull()).drop("_date", "_salt", "_holiday")

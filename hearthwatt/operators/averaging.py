@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.quantities import wind_components, wind_from_components
 from ..functions.timeparts import with_slot
 from ..schemas import ALLOWED_AVERAGES, SCALARS
-from .chunked import HOUR, halo_window, home_rows, with_halo
+from .chunked import RAW, fill_forward
 from .keyed import newest_n
 
 WIND = ("wind_speed_ms", "wind_direction_deg")
@@ -89,20 +89,18 @@ def to_api_json(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def merge_latest(left: DataFrame, right: DataFrame, max_age_seconds: int, by: Sequence[str] = ("site_id",),
-                 length: int = 6 * HOUR) -> DataFrame:
+                 lengths: Sequence[int] = RAW) -> DataFrame:
     """Each left row with the newest right row at or before it and at most ``max_age_seconds`` old.
 
-    An as-of join as one union and one window: right rows are copied into the next chunk when they can still be
-    current there. ``right_ts`` is the time of the right row used. Both sides hold one row per ``(by, ts)``.
+    An as-of join as one union and a fill along the time line, so a busy site is cut up like any other. ``right_ts``
+    is the time of the right row used. Both sides hold one row per ``(by, ts)``.
     """
     payload = [c for c in right.columns if c not in [*by, "ts"]]
     own = [c for c in left.columns if c not in [*by, "ts"]]
     lhs = left.select(*by, "ts", F.struct(F.lit(1).alias("_one"), *own).alias("_left"), F.lit(1).alias("_side"))
     rhs = right.select(*by, "ts", F.struct(F.col("ts").alias("right_ts"), *payload).alias("_right"), F.lit(0).alias("_side"))
     both = lhs.unionByName(rhs, allowMissingColumns=True)
-    copies = with_halo(both, "ts", max_age_seconds, 0, length)
-    seen = halo_window(by, "ts").orderBy("ts", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    held = home_rows(copies.withColumn("_held", F.last("_right", ignorenulls=True).over(seen))).filter("_side = 1")
+    held = fill_forward(both, by, "ts", {"_held": "_right"}, lengths, tie="_side").filter("_side = 1")
     fresh = F.col("_held.right_ts") >= F.timestamp_add("SECOND", F.lit(-max_age_seconds), F.col("ts"))
     return held.select(
         *by, "ts", *[F.col(f"_left.{c}").alias(c) for c in own],

@@ -4,8 +4,9 @@ A window partitioned by ``site_id`` alone sends a whole site through one task, w
 large share of all rows. Here the time line is cut into chunks of fixed length and the window runs per
 ``(site, chunk)``. What must cross a chunk border is carried in one of two ways:
 
-* *edges*: a partially aggregated row per chunk (its first, last or total), looked at through a small window over
-  the chunks of a site. There is one such row per site and chunk, so their number follows the calendar, not the data.
+* *edges*: a partially aggregated row per chunk (its first, last or total). The edges of a site are a time line
+  again and may be cut once more by a longer length; at the top a small window runs over the chunks of a site, whose
+  number follows the calendar, not the data.
 * *halo*: rows near a border are copied into the neighbouring chunk. Used when the frame has a bounded length.
 
 Both are exact. Rows are expected to be unique per ``(by, ts)``; see ``keyed.dedupe``.
@@ -20,7 +21,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.timeparts import epoch_seconds, with_slot
 
 CHUNK = "_chunk"
-HOUR, DAY = 3600, 86400
+AT = "_at"
+MINUTE, HOUR, DAY = 60, 3600, 86400
+# Chunk lengths in seconds, fine to coarse. A day holds at most 96 slots of a site. Raw rows have no such bound, so
+# they are cut by the minute and the minutes by the day.
+SLOTS = (DAY,)
+RAW = (MINUTE, DAY)
 
 
 def with_chunk(df: DataFrame, ts: str, length: int = DAY) -> DataFrame:
@@ -29,30 +35,30 @@ def with_chunk(df: DataFrame, ts: str, length: int = DAY) -> DataFrame:
 
 
 def neighbours(df: DataFrame, by: Sequence[str], ts: str, prev: Mapping[str, str] | None = None,
-               following: Mapping[str, str] | None = None, length: int = DAY) -> DataFrame:
+               following: Mapping[str, str] | None = None, lengths: Sequence[int] = SLOTS) -> DataFrame:
     """Add values of the previous and the following row of the same site.
 
     ``prev`` and ``following`` map new column names to source columns.
     """
     prev, following = dict(prev or {}), dict(following or {})
+    if not lengths:
+        whole = Window.partitionBy(*by).orderBy(ts)
+        return df.select(*df.columns, *[F.lag(src).over(whole).alias(name) for name, src in prev.items()],
+                         *[F.lead(src).over(whole).alias(name) for name, src in following.items()])
     key = [*by, CHUNK]
-    chunked = with_chunk(df, ts, length)
+    chunked = with_chunk(df, ts, lengths[0])
     edges = chunked.groupBy(*key).agg(
         F.min(ts).alias("_min_ts"),
         *[F.max_by(src, ts).alias(f"_last_{name}") for name, src in prev.items()],
         *[F.min_by(src, ts).alias(f"_first_{name}") for name, src in following.items()],
-    )
-    across = Window.partitionBy(*by).orderBy(CHUNK)
-    edges = edges.select(
-        *key,
-        *[F.lag(f"_last_{name}").over(across).alias(f"_before_{name}") for name in prev],
-        *[F.lead(f"_first_{name}").over(across).alias(f"_after_{name}") for name in following],
-    )
+    ).withColumnRenamed(CHUNK, AT)
+    edges = neighbours(edges, by, AT, {f"_before_{name}": f"_last_{name}" for name in prev},
+                       {f"_after_{name}": f"_first_{name}" for name in following}, lengths[1:])
+    edges = edges.select(*by, F.col(AT).alias(CHUNK), *[f"_before_{name}" for name in prev], *[f"_after_{name}" for name in following])
     inside = Window.partitionBy(*key).orderBy(ts)
-    joined = chunked.join(edges, key)
     has_prev = F.lag(ts).over(inside).isNotNull()
     has_next = F.lead(ts).over(inside).isNotNull()
-    return joined.select(
+    return chunked.join(edges, key).select(
         *df.columns,
         *[F.when(has_prev, F.lag(src).over(inside)).otherwise(F.col(f"_before_{name}")).alias(name)
           for name, src in prev.items()],
@@ -61,42 +67,63 @@ def neighbours(df: DataFrame, by: Sequence[str], ts: str, prev: Mapping[str, str
     )
 
 
-def fill_forward(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, str], length: int = DAY,
-                 tie: str | None = None) -> DataFrame:
-    """Newest non-NULL value at or before each row. ``cols`` maps new names to source columns.
-
-    ``tie`` orders rows of equal time, for unions of a grid with the rows to be found on it.
-    """
+def last_before(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, str], lengths: Sequence[int] = SLOTS,
+                tie: str | None = None) -> DataFrame:
+    """Newest non-NULL value of earlier rows, the row itself left out."""
+    order = [ts] if tie is None else [ts, tie]
+    if not lengths:
+        earlier = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select(*df.columns, *[F.last(src, ignorenulls=True).over(earlier).alias(name) for name, src in cols.items()])
     key = [*by, CHUNK]
-    chunked = with_chunk(df, ts, length)
+    chunked = with_chunk(df, ts, lengths[0])
     edges = chunked.groupBy(*key).agg(*[
-        F.max_by(src, F.when(F.col(src).isNotNull(), F.col(ts))).alias(f"_last_{name}") for name, src in cols.items()])
-    earlier = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    edges = edges.select(
-        *key, *[F.last(f"_last_{name}", ignorenulls=True).over(earlier).alias(f"_carry_{name}") for name in cols])
-    order = [ts] if tie is None else [ts, tie]
-    so_far = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        F.max_by(src, F.when(F.col(src).isNotNull(), F.col(ts))).alias(f"_last_{name}") for name, src in cols.items()
+    ]).withColumnRenamed(CHUNK, AT)
+    edges = last_before(edges, by, AT, {f"_carry_{name}": f"_last_{name}" for name in cols}, lengths[1:])
+    edges = edges.select(*by, F.col(AT).alias(CHUNK), *[f"_carry_{name}" for name in cols])
+    earlier = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return chunked.join(edges, key).select(
         *df.columns,
-        *[F.coalesce(F.last(src, ignorenulls=True).over(so_far), F.col(f"_carry_{name}")).alias(name)
+        *[F.coalesce(F.last(src, ignorenulls=True).over(earlier), F.col(f"_carry_{name}")).alias(name)
           for name, src in cols.items()],
     )
 
 
-def running_total(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, Column], length: int = DAY) -> DataFrame:
-    """Cumulative sum up to and including each row. ``cols`` maps new names to the summed expressions."""
+def fill_forward(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, str], lengths: Sequence[int] = SLOTS,
+                 tie: str | None = None) -> DataFrame:
+    """Newest non-NULL value at or before each row. ``cols`` maps new names to source columns.
+
+    ``tie`` orders rows of equal time, for unions of a grid with the rows to be found on it.
+    """
+    before = last_before(df, by, ts, {f"_prior_{name}": src for name, src in cols.items()}, lengths, tie)
+    return before.select(*df.columns, *[F.coalesce(src, f"_prior_{name}").alias(name) for name, src in cols.items()])
+
+
+def total_before(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, str], lengths: Sequence[int] = SLOTS) -> DataFrame:
+    """Sum over earlier rows, the row itself left out; NULL in the first row."""
+    if not lengths:
+        earlier = Window.partitionBy(*by).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select(*df.columns, *[F.sum(src).over(earlier).alias(name) for name, src in cols.items()])
     key = [*by, CHUNK]
-    chunked = with_chunk(df, ts, length).withColumns({f"_term_{name}": expr for name, expr in cols.items()})
-    totals = chunked.groupBy(*key).agg(*[F.sum(f"_term_{name}").alias(f"_total_{name}") for name in cols])
-    earlier = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(
-        *key, *[F.sum(f"_total_{name}").over(earlier).alias(f"_before_{name}") for name in cols])
-    so_far = Window.partitionBy(*key).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    return chunked.join(totals, key).select(
-        *df.columns,
-        *[(F.coalesce(F.col(f"_before_{name}"), F.lit(0)) + F.coalesce(F.sum(f"_term_{name}").over(so_far), F.lit(0)))
-          .alias(name) for name in cols],
-    )
+    chunked = with_chunk(df, ts, lengths[0])
+    edges = chunked.groupBy(*key).agg(*[F.sum(src).alias(f"_total_{name}") for name, src in cols.items()]).withColumnRenamed(CHUNK, AT)
+    edges = total_before(edges, by, AT, {f"_carry_{name}": f"_total_{name}" for name in cols}, lengths[1:])
+    edges = edges.select(*by, F.col(AT).alias(CHUNK), *[f"_carry_{name}" for name in cols])
+    earlier = Window.partitionBy(*key).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
+
+    def added(name: str, src: str) -> Column:
+        inner, carry = F.sum(src).over(earlier), F.col(f"_carry_{name}")
+        return F.coalesce(inner + carry, inner, carry).alias(name)
+
+    return chunked.join(edges, key).select(*df.columns, *[added(name, src) for name, src in cols.items()])
+
+
+def running_total(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, str], lengths: Sequence[int] = SLOTS) -> DataFrame:
+    """Cumulative sum up to and including each row. ``cols`` maps new names to source columns."""
+    before = total_before(df, by, ts, {f"_prior_{name}": src for name, src in cols.items()}, lengths)
+    zero = F.lit(0)
+    return before.select(*df.columns, *[
+        (F.coalesce(f"_prior_{name}", zero) + F.coalesce(src, zero)).alias(name) for name, src in cols.items()])
 
 
 def with_halo(df: DataFrame, ts: str, before_seconds: int, after_seconds: int, length: int = DAY) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.quantities import command_minutes, command_mode
-from .chunked import fill_forward, neighbours
+from .chunked import RAW, fill_forward, neighbours
 
 
 def parse_commands(commands: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def command_intervals(commands: DataFrame) -> DataFrame:
     One command per site and instant. An open end is NULL.
     """
     valid = parse_commands(commands).filter(F.col("mode").isNotNull()).select("site_id", "ts", "command", "mode", "minutes")
-    following = neighbours(valid, ["site_id"], "ts", following={"_next": "ts"})
+    following = neighbours(valid, ["site_id"], "ts", following={"_next": "ts"}, lengths=RAW)
     own_end = F.timestamp_add("MINUTE", F.col("minutes"), F.col("ts"))
     return following.select("site_id", F.col("ts").alias("start_ts"), F.least("_next", own_end).alias("end_ts"),
                             "command", "mode")
@@ -36,7 +36,7 @@ def command_state(commands: DataFrame, grid: DataFrame) -> DataFrame:
                          F.coalesce("minutes", F.lit(-1)).alias("_minutes"), F.lit(0).alias("_side"))
     slots = grid.select("site_id", "ts", F.lit(1).alias("_side"))
     line = slots.unionByName(given, allowMissingColumns=True)
-    held = fill_forward(line, ["site_id"], "ts", {"since_ts": "_since", "_held": "_mode", "_for": "_minutes"}, tie="_side")
+    held = fill_forward(line, ["site_id"], "ts", {"since_ts": "_since", "_held": "_mode", "_for": "_minutes"}, RAW, tie="_side")
     expired = (F.col("_for") > 0) & (F.timestamp_add("MINUTE", F.col("_for"), F.col("since_ts")) <= F.col("ts"))
     return held.filter("_side = 1").select(
         "site_id", "ts", F.when(expired | F.col("_held").isNull(), F.lit("ALLOW")).otherwise(F.col("_held")).alias("mode"),

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from .chunked import spread_join
+
 
 def _rank_payload(df: DataFrame, order: Sequence[Column]) -> Column:
     """Ordering by ``order``, then by content, so that equal order values give the same winner in every run."""
@@ -74,7 +76,7 @@ def newest_per_target(values: DataFrame, runs: DataFrame) -> DataFrame:
 
     ``run_id`` is unique in ``runs``; the aggregate combines before the shuffle.
     """
-    issued = values.join(runs.select("run_id", "issued_at"), "run_id")
+    issued = spread_join(values, runs.select("run_id", "issued_at"), ["run_id"], ["site_id", "target_ts"], "inner")
     rest = ["run_id", "issued_at", "yhat_p50", "yhat_p10", "yhat_p90"]
     return issued.groupBy("site_id", "target", "target_ts").agg(
         F.max_by(F.struct(*rest), F.struct("issued_at", "run_id")).alias("_best")

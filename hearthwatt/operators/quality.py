@@ -162,8 +162,8 @@ def forecast_check(forecast: DataFrame, sites: DataFrame, now: Column, p: Mappin
 
 def baseline_check(values: DataFrame, runs: DataFrame, sites: DataFrame, now: Column, p: Mapping[str, Any]) -> DataFrame:
     """Age of the newest baseline run of each site and its rows in the next six hours; errors are ruled out first."""
-    ahead = values.filter((F.col("target") == "baseline_w") & (F.col("target_ts") >= now)
-                          & (F.col("target_ts") < F.timestamp_add("HOUR", F.lit(6), now)))
+    ahead = values.filter((F.col("target") == "baseline_w") & (F.col("target_ts") > now)
+                          & (F.col("target_ts") <= F.timestamp_add("HOUR", F.lit(6), now)))
     rows = ahead.groupBy("run_id").agg(F.count_distinct("target_ts").alias("_rows"))
     newest = runs.filter(F.col("model_name") == p.get("baseline_model", "baseline_consumption")).groupBy("site_id").agg(
         F.max_by("run_id", F.struct("issued_at", "run_id")).alias("run_id"), F.max("issued_at").alias("_issued"))

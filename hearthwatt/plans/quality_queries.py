@@ -155,7 +155,7 @@ reach AS (SELECT s.site_id, (epoch(max(h.ts)) - epoch({AT})) / 60.0::DOUBLE / 60
 newest AS (SELECT site_id, run_id, issued_at FROM runs
   QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY issued_at DESC, run_id DESC) = 1),
 ahead AS (SELECT run_id, count(DISTINCT target_ts) AS n FROM run_values
-  WHERE target_ts >= {AT} AND target_ts < {AT} + INTERVAL 6 HOURS GROUP BY 1),
+  WHERE target_ts > {AT} AND target_ts <= {AT} + INTERVAL 6 HOURS GROUP BY 1),
 base AS (SELECT s.site_id, (epoch({AT}) - epoch(w.issued_at)) / 60.0::DOUBLE AS age, coalesce(h.n, 0) AS n
   FROM all_sites s LEFT JOIN newest w ON w.site_id = s.site_id LEFT JOIN ahead h USING (run_id)),
 today AS (SELECT z.zone, count(p.price_eur_per_mwh) AS n FROM (SELECT DISTINCT zone FROM all_sites) z

@@ -14,7 +14,7 @@ from hearthwatt.operators import averaging, chunked, consumption, control, grid,
 
 START = datetime(2026, 3, 27)
 HOUR, DAY = 3600, 86400
-LENGTHS = [HOUR, 7 * HOUR, DAY, 30 * DAY]
+LENGTHS = [(), (HOUR,), (7 * HOUR, 3 * DAY), (DAY,), (HOUR, 5 * HOUR, 10 * DAY)]
 
 
 def series(seed: int, n: int = 260) -> list[tuple]:
@@ -51,9 +51,9 @@ def collected(df, *cols):
     return sorted(tuple(r) for r in df.select("site_id", "ts", *cols).collect())
 
 
-@pytest.mark.parametrize("length", LENGTHS)
-def test_neighbours(spark, data, length):
-    out = chunked.neighbours(frame(spark, data), ["site_id"], "ts", {"pw": "w", "pt": "ts"}, {"nc": "cls", "nt": "ts"}, length)
+@pytest.mark.parametrize("lengths", LENGTHS)
+def test_neighbours(spark, data, lengths):
+    out = chunked.neighbours(frame(spark, data), ["site_id"], "ts", {"pw": "w", "pt": "ts"}, {"nc": "cls", "nt": "ts"}, lengths)
     want = []
     for site, rows in by_site(data).items():
         for i, row in enumerate(rows):
@@ -67,9 +67,9 @@ def collected_raw(df, *cols):
     return [tuple(r) for r in df.select("site_id", "ts", *cols).collect()]
 
 
-@pytest.mark.parametrize("length", LENGTHS)
-def test_fill_forward(spark, data, length):
-    out = chunked.fill_forward(frame(spark, data), ["site_id"], "ts", {"filled": "w"}, length)
+@pytest.mark.parametrize("lengths", LENGTHS)
+def test_fill_forward(spark, data, lengths):
+    out = chunked.fill_forward(frame(spark, data), ["site_id"], "ts", {"filled": "w"}, lengths)
     want = []
     for site, rows in by_site(data).items():
         last = None
@@ -79,9 +79,9 @@ def test_fill_forward(spark, data, length):
     assert sorted(map(repr, collected_raw(out, "filled"))) == sorted(map(repr, want))
 
 
-@pytest.mark.parametrize("length", LENGTHS)
-def test_running_total(spark, data, length):
-    out = chunked.running_total(frame(spark, data), ["site_id"], "ts", {"n": F.when(F.col("cls") == "y", 1).otherwise(0)}, length)
+@pytest.mark.parametrize("lengths", LENGTHS)
+def test_running_total(spark, data, lengths):
+    out = chunked.running_total(frame(spark, data).withColumn("y", (F.col("cls") == "y").cast("int")), ["site_id"], "ts", {"n": "y"}, lengths)
     want = []
     for site, rows in by_site(data).items():
         total = 0
@@ -91,7 +91,7 @@ def test_running_total(spark, data, length):
     assert collected(out, "n") == sorted(want)
 
 
-@pytest.mark.parametrize("length", LENGTHS)
+@pytest.mark.parametrize("length", [HOUR, 7 * HOUR, DAY, 30 * DAY])
 def test_event_islands(spark, data, length):
     out = consumption.event_islands(frame(spark, data), "cls", length=length)
     want = []
@@ -131,11 +131,11 @@ def test_rolling_error(spark, data, hours, length):
                 assert got[site, row[1]]["bias"] == pytest.approx(sum(e) / len(e))
 
 
-@pytest.mark.parametrize("length", [HOUR, 6 * HOUR])
-def test_merge_latest(spark, data, length):
+@pytest.mark.parametrize("lengths", [(60, DAY), (6 * HOUR,)])
+def test_merge_latest(spark, data, lengths):
     left = frame(spark, [r for i, r in enumerate(data) if i % 2]).select("site_id", "ts", "cls")
     right = frame(spark, [r for i, r in enumerate(data) if i % 3]).select("site_id", "ts", "w")
-    out = averaging.merge_latest(left, right, 7200, length=length)
+    out = averaging.merge_latest(left, right, 7200, lengths=lengths)
     rights = by_site([r for i, r in enumerate(data) if i % 3])
     want = []
     for site, ts, _, cls in (r for i, r in enumerate(data) if i % 2):

@@ -289,7 +289,7 @@ def test_baseline_grades(rows, spark, age, n, want):
     issued = f"2026-03-01 {(now.hour * 60 - age) // 60:02d}:{(now.hour * 60 - age) % 60:02d}:00"
     runs = rows("run_id string, site_id string, model_name string, issued_at timestamp", ("r", "a", "baseline_consumption", issued),
                 ("old", "a", "baseline_consumption", "2026-03-01 01:00:00"))
-    data = [("r", "baseline_w", f"2026-03-01 {12 + i // 4:02d}:{i % 4 * 15:02d}:00") for i in range(n)]
+    data = [("r", "baseline_w", f"2026-03-01 {12 + i // 4:02d}:{i % 4 * 15:02d}:00") for i in range(1, n + 1)]
     report = quality.health_report({
         "sites": spark.createDataFrame([("a", "Z")], "site_id string, zone string"), "runs": runs,
         "values": rows("run_id string, target string, target_ts timestamp", *data)}, now)
