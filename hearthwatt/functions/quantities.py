@@ -6,8 +6,8 @@ from pyspark.sql import Column, functions as F
 
 from .timeparts import as_col
 
-COMMAND_MAX_MINUTES = 720
-TIMED = "PROHIBIT_"
+# Group 1 is the mode, group 3 the minutes, 1 to 720 and only after PROHIBIT.
+VALID_COMMAND = r"^(ALLOW(?=$)|PROHIBIT)(_0*([1-9][0-9]?|[1-6][0-9]{2}|7[01][0-9]|720))?$"
 
 
 def watts_from_joules(joules: Column | str) -> Column:
@@ -75,21 +75,20 @@ def bad_registers(registers: Column | str) -> Column:
     return F.map_keys(F.map_filter(as_col(registers), lambda _, v: v.isNull()))
 
 
-def command_minutes(command: Column | str) -> Column:
-    """Length of a timed prohibition, 1 to 720 minutes; NULL when untimed or out of range.
+def is_command(command: Column | str) -> Column:
+    """ALLOW, PROHIBIT, or PROHIBIT_n with n from 1 to 720.
 
-    Plain string functions: a regular expression per row costs many times as much.
+    One pattern that names its input once: a filter repeats every expression it is given, and larger tests made the
+    generated code too big to be compiled well.
     """
-    command = as_col(command)
-    digits = F.substring(command, len(TIMED) + 1, 12)
-    only_digits = command.startswith(TIMED) & (F.translate(digits, "0123456789", "") == "") & (F.length(command) <= len(TIMED) + 12)
-    number = F.when(only_digits, digits.try_cast("bigint"))
-    return F.when(number.between(1, COMMAND_MAX_MINUTES), number.cast("int"))
-
-
-def command_mode(command: Column | str, minutes: Column | None = None) -> Column:
-    """ALLOW or PROHIBIT; NULL for anything that is not a valid command. ``minutes`` is the parsed length, if at hand."""
-    command = as_col(command)
-    minutes = command_minutes(command) if minutes is None else minutes
-    return (F.when(command == "ALLOW", F.lit("ALLOW"))
-            .when((command == "PROHIBIT") | minutes.isNotNull(), F.lit("PROHIBIT")))
+    return as_col(command).rlike(VALID_COMMAND)
+
+
+def command_minutes(command: Column | str) -> Column:
+    """Length of a timed prohibition; NULL when untimed or not a valid command."""
+    return F.regexp_extract(as_col(command), VALID_COMMAND, 3).try_cast("int")
+
+
+def command_mode(command: Column | str) -> Column:
+    """ALLOW or PROHIBIT; NULL for anything that is not a valid command."""
+    return F.nullif(F.regexp_extract(as_col(command), VALID_COMMAND, 1), F.lit(""))

@@ -47,7 +47,8 @@ def avg_json_keys(df: DataFrame, map_col: str = "registers", by: Sequence[str] =
     Aggregation is per key, so a group of any size combines before the shuffle; the map rebuilt at the end holds
     one entry per register number.
     """
-    entries = df.select(*by, F.explode(map_col).alias("_key", "_value"))
+    # The outer form, because the planner guards the plain one with a filter that would parse a derived map twice.
+    entries = df.select(*by, F.explode_outer(map_col).alias("_key", "_value")).filter(F.col("_key").isNotNull())
     means = entries.groupBy(*by, "_key").agg(F.avg("_value").alias("_mean"))
     pairs = F.sort_array(F.collect_list(F.struct("_key", "_mean")))
     return means.groupBy(*by).agg(F.map_from_entries(pairs).alias(map_col))

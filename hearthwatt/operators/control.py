@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.quantities import command_minutes, command_mode
+from ..functions.quantities import command_minutes, command_mode, is_command
 from .chunked import RAW, fill_forward, neighbours
 
 
 def parse_commands(commands: DataFrame) -> DataFrame:
-    """Add ``mode`` and ``minutes``; ``mode`` is NULL for text that is not a command or a length out of range."""
-    return commands.withColumn("minutes", command_minutes("command")).withColumn("mode", command_mode("command", F.col("minutes")))
+    """Valid commands with their ``mode`` and, for timed ones, ``minutes``."""
+    return commands.filter(is_command("command")).withColumns({"mode": command_mode("command"), "minutes": command_minutes("command")})
 
 
 def rejected_commands(commands: DataFrame) -> DataFrame:
-    return parse_commands(commands).filter(F.col("mode").isNull()).select(*commands.columns)
+    """Text that is not a command, or a length out of range."""
+    return commands.filter(~F.coalesce(is_command("command"), F.lit(False)))
 
 
 def command_intervals(commands: DataFrame) -> DataFrame:
@@ -22,7 +23,7 @@ def command_intervals(commands: DataFrame) -> DataFrame:
 
     One command per site and instant. An open end is NULL.
     """
-    valid = parse_commands(commands).filter(F.col("mode").isNotNull()).select("site_id", "ts", "command", "mode", "minutes")
+    valid = parse_commands(commands).select("site_id", "ts", "command", "mode", "minutes")
     following = neighbours(valid, ["site_id"], "ts", following={"_next": "ts"}, lengths=RAW)
     own_end = F.timestamp_add("MINUTE", F.col("minutes"), F.col("ts"))
     return following.select("site_id", F.col("ts").alias("start_ts"), F.least("_next", own_end).alias("end_ts"),
@@ -31,7 +32,7 @@ def command_intervals(commands: DataFrame) -> DataFrame:
 
 def command_state(commands: DataFrame, grid: DataFrame) -> DataFrame:
     """Mode at every grid slot. Before any command and after a timed prohibition it is ALLOW."""
-    valid = parse_commands(commands).filter(F.col("mode").isNotNull())
+    valid = parse_commands(commands)
     given = valid.select("site_id", "ts", F.col("ts").alias("_since"), F.col("mode").alias("_mode"),
                          F.coalesce("minutes", F.lit(-1)).alias("_minutes"), F.lit(0).alias("_side"))
     slots = grid.select("site_id", "ts", F.lit(1).alias("_side"))
