@@ -90,7 +90,7 @@ def parse_file_stamp(name: Column | str) -> Column:
     stamp = F.regexp_extract(name, r"(\d{8}_\d{6})", 1)
     spelled = F.regexp_replace(stamp, r"^(\d{4})(\d{2})(\d{2})_(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6")
     day = F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1)
-    return F.coalesce(spelled.try_cast("timestamp_ntz"), day.try_cast("timestamp_ntz"))
+    return F.coalesce(*[F.nullif(text, F.lit("")).try_cast("timestamp_ntz") for text in (spelled, day)])
 
 
 def local_day_bounds(day: str, tz: str) -> tuple[Column, Column]:
