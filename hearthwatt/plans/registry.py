@@ -27,13 +27,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 # Means of values with two decimals often lie exactly between two rounded values, where the last bit of a sum would
 # decide. This offset moves them off the boundary, the same way on both sides; it also turns -0.0 into 0.0.
-OFF_TIE = 1e-8
+# Large sums, rounded to few digits, carry more noise and need a larger offset.
+def off_tie(digits: int) -> float:
+    return 1e-8 if digits > 2 else 3.7e-5
 
 
 def rounded(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
     """Round for comparison, because sums of doubles depend on their order in the last digits."""
-    return df.withColumns({c: F.round(F.col(c) + F.lit(OFF_TIE), d) + F.lit(0.0) for c, d in digits.items()})
+    return df.withColumns({c: F.round(F.col(c) + F.lit(off_tie(d)), d) + F.lit(0.0) for c, d in digits.items()})
 
 
 def sql_round(expr: str, digits: int) -> str:
-    return f"round(({expr}) + 1e-8, {digits}) + 0.0"
+    return f"round(({expr}) + {off_tie(digits)!r}, {digits}) + 0.0"
