@@ -63,13 +63,13 @@ def net(spark: SparkSession, sf_dir: str) -> DataFrame:
     greatest(0.0, least(net_import_w + 6500, 6500)) * 0.25e0 / 1e3 AS kwh FROM net),
 starts AS (SELECT site_id, ts, sum(cost) OVER w AS cost_eur, sum(kwh) OVER w AS grid_kwh, count(cost) OVER w AS n FROM priced
   WINDOW w AS (PARTITION BY site_id ORDER BY ts RANGE BETWEEN CURRENT ROW AND INTERVAL 210 MINUTES FOLLOWING)),
-local_starts AS (SELECT *, timezone('{TZ}', timezone('UTC', ts)) AS l, {r('cost_eur', 7)} AS cost_r FROM starts WHERE n = 15)
+local_starts AS (SELECT *, timezone('{TZ}', timezone('UTC', ts)) AS l, {r('cost_eur', 5)} AS cost_r FROM starts WHERE n = 15)
 SELECT site_id, CAST(l AS DATE) AS local_date, CAST(row_number() OVER (PARTITION BY site_id, CAST(l AS DATE) ORDER BY cost_eur, ts) AS INTEGER) AS rank,
   ts AS start_ts, cost_r AS cost_eur, {r('grid_kwh', 5)} AS grid_kwh,
   CASE WHEN 1.0 - grid_kwh / 24.375::DOUBLE >= 0.5 THEN 'solar-first' ELSE 'grid-price-first' END AS rationale
 FROM local_starts WHERE strftime(l, '%H:%M') BETWEEN '06:30' AND '22:30' QUALIFY rank <= 3""")
 def charging_start(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(ev_start(net(spark, sf_dir)), {"cost_eur": 7, "grid_kwh": 5})
+    return rounded(ev_start(net(spark, sf_dir)), {"cost_eur": 5, "grid_kwh": 5})
 
 
 @query("heat_pump_deferral", ctes(*NET) + f""", slot_cost AS (
