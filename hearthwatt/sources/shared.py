@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``. Only a local session without one gets a temporary folder."""
+    """Folder named by ``spark.checkpoint.dir``; where it is unset, one beside the tables of the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
-    return tempfile.mkdtemp(prefix="hearthwatt-")
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
