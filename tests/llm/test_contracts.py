@@ -144,3 +144,30 @@ def test_toxicity(spark):
     found = toxicity.op10(spark, MEDIUM).collect()
     held = [r for r in found if r.held_out and r.doc_id in label]
     assert sum(r.predicted == label[r.doc_id] for r in held) >= 0.9 * len(held)
+
+
+def test_vectors(spark):
+    from hearthwatt.llm import vectors
+
+    rng, rows = np.random.default_rng(1), []
+    for vec_id, values, *_ in rows_of(MEDIUM, "embeddings"):
+        base = np.array(values)
+        size = 60 if vec_id == 3 else 4
+        noise = rng.normal(0, 0.02 * np.sqrt((base ** 2).sum() / len(base)) * 10, (size, len(base)))
+        rows += [(len(rows) + i, [float(x) for x in np.float32(base + e)], 1) for i, e in enumerate(noise)]
+    rows += [(len(rows) + i, rows[7][1], 2) for i in range(30)]
+    ids = [r[0] for r in rows]
+    unit = np.array([r[1] for r in rows], np.float64)
+    unit /= np.sqrt((unit ** 2).sum(axis=1))[:, None]
+    links = [(ids[i], ids[j]) for i, j in zip(*np.nonzero(np.triu(unit @ unit.T >= 0.95, 1)))]
+    odd = [(-1, None, 0), (-2, [0.0] * 64, 0), (-3, [None] * 64, 0), (-4, [float("nan")] * 64, 0), (-5, [], 0), (-6, [1.0], 0), (None, rows[7][1], 0)]
+    table = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, n long")
+    found = vectors.linked_vectors(table).collect()
+    assert len(found) == len(rows) + len(odd)
+    got = {r.vec_id: r for r in found}
+    assert all((got[r[0]].n_links, got[r[0]].component_id, got[r[0]].kept) == (0, r[0], True) for r in odd)
+    total, wanted = sum(r.n_links for r in got.values()), 2 * len(links)
+    assert wanted > 3000 and 0.98 * wanted <= total <= wanted
+    component = roots(ids, links)
+    assert sum(got[i].component_id == component[i] for i in ids) >= 0.98 * len(ids)
+    assert vectors.linked_vectors(table.limit(0)).count() == 0
