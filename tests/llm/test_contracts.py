@@ -171,3 +171,30 @@ def test_vectors(spark):
     component = roots(ids, links)
     assert sum(got[i].component_id == component[i] for i in ids) >= 0.98 * len(ids)
     assert vectors.linked_vectors(table.limit(0)).count() == 0
+
+
+def removed(texts):
+    """Results by doc_id: (bytes, removed, spans, hash of what is kept)."""
+    seen, out = set(), {}
+    for doc_id in sorted(texts):
+        text = texts[doc_id].encode()
+        gone = bytearray(len(text))
+        for p in range(len(text) - 99):
+            s = text[p:p + 100]
+            if s in seen:
+                gone[p:p + 100] = b"\x01" * 100
+            seen.add(s)
+        spans = len(re.findall(rb"\x01+", gone))
+        out[doc_id] = (len(text), sum(gone), spans, hashlib.sha256(bytes(b for b, g in zip(text, gone) if not g)).hexdigest())
+    return out
+
+
+def test_repeats(spark, texts):
+    from hearthwatt.llm import repeats
+
+    want = removed(texts)
+    assert sum(w[1] for w in want.values()) > 10_000
+    for hot in (1024, 3):
+        found = repeats.repeated_passages(spark.read.parquet(f"{MEDIUM}/documents.parquet"), hot_least=hot)
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found.collect()}
+        assert got == want
