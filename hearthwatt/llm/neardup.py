@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,6 +16,8 @@ from hearthwatt.llm.text import mixed, prefix_sums, slices, spans_hash, utf8, wo
 #: At a similarity of 0.8 a pair meets in a table with probability (1 - (1 - 0.8**2)**8)**2 = 0.9994, at 0.9 with 1 - 4e-6.
 SIDE, DEPTH = 8, 2
 ROUNDS = 2
+#: A bucket of more classes is compared in tiles of its cluster and not pair by pair; classes per tile.
+BUCKET, TILE = 32, 1024
 
 _SPACE = np.array([b == 0x20 or 0x09 <= b <= 0x0D for b in range(256)])
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -105,6 +108,89 @@ def _similar(percent: int):
     return run
 
 
+def common_counts(left: np.ndarray, left_at: np.ndarray, right: np.ndarray, right_at: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of all sets of the left side with all of the right side.
+
+    The sets are concatenated, with the offset of each. A member of many sets is a column of two dense matrices that are
+    multiplied, a block of columns at a time; members of few sets are counted pair by pair.
+    """
+    rows, columns = len(left_at) - 1, len(right_at) - 1
+    total = np.zeros((rows, columns), np.float32)
+    both = np.intersect1d(left, right)
+    sides = []
+    for values, at in ((left, left_at), (right, right_at)):
+        place = np.minimum(np.searchsorted(both, values), max(0, len(both) - 1))
+        hit = np.flatnonzero(both[place] == values) if len(both) else np.empty(0, int)
+        owner, member = np.searchsorted(at, hit, side="right") - 1, place[hit]
+        order = np.argsort(member, kind="stable")
+        sides.append((owner[order], np.searchsorted(member[order], np.arange(len(both) + 1))))
+    (one, one_at), (two, two_at) = sides
+    pairs = np.diff(one_at) * np.diff(two_at)
+    dense = np.flatnonzero(pairs >= 4096)
+    for first in range(0, len(dense), 4096):
+        block = dense[first:first + 4096]
+        matrices = []
+        for owner, at, n in ((one, one_at, rows), (two, two_at, columns)):
+            matrix = np.zeros((n, len(block)), np.float32)
+            sizes = np.diff(at)[block]
+            matrix[owner[_ranges(at[block], sizes)], np.repeat(np.arange(len(block)), sizes)] = 1
+            matrices.append(matrix)
+        total += matrices[0] @ matrices[1].T
+    sparse = np.flatnonzero((pairs > 0) & (pairs < 4096))
+    for part in np.split(sparse, np.searchsorted(np.cumsum(pairs[sparse]), np.arange(1 << 22, pairs[sparse].sum(), 1 << 22))):
+        n, m = np.diff(one_at)[part], np.diff(two_at)[part]
+        row = np.repeat(one[_ranges(one_at[part], n)], np.repeat(m, n))
+        column = two[_ranges(np.repeat(two_at[part], n), np.repeat(m, n))]
+        total += np.bincount(row * columns + column, minlength=rows * columns).reshape(rows, columns)
+    return total
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ..., for each start as many as its size says."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def _tiles(percent: int):
+    """Links between different components in one pair of tiles, as a spanning forest."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep", kind="stable")
+        low, high = pdf["low"].iloc[0], pdf["high"].iloc[0]
+        sides = []
+        for tile in (low, high):
+            own = pdf[pdf["tile"] == tile]
+            sets = [np.frombuffer(x, np.uint64) for x in own["members"]]
+            sides.append((own["rep"].to_numpy(), own["component"].to_numpy(), np.concatenate([*sets, np.empty(0, np.uint64)]),
+                          np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int64)))
+        (a, ca, xs, x_at), (b, cb, ys, y_at) = sides
+        if not len(a) or not len(b) or min(ca.min(), cb.min()) == max(ca.max(), cb.max()):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        same = common_counts(xs, x_at, ys, y_at)
+        union = np.diff(x_at)[:, None] + np.diff(y_at)[None, :] - same
+        i, j = np.nonzero((100 * same >= percent * union) & (ca[:, None] != cb[None, :]))
+        _, first = np.unique(np.minimum(ca[i], cb[j]) << 32 ^ np.maximum(ca[i], cb[j]), return_index=True)
+        return pd.DataFrame({"a": np.minimum(a[i], b[j])[first], "b": np.maximum(a[i], b[j])[first]})
+    return run
+
+
+def _in_tiles(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components among the members of crowded buckets.
+
+    Buckets that share members make a cluster. It is cut into tiles, and each pair of tiles is compared once, by one
+    task, however many tables the same members meet in.
+    """
+    heads = crowded.groupBy("key").agg(F.min("rep").alias("head"))
+    clusters = components(crowded.join(heads, "key").select("rep", "head").distinct(), "rep", "head")
+    own = crowded.select("rep", "component").distinct().join(clusters, F.col("rep") == F.col("node"), "left") \
+        .select("rep", clusters["component"].alias("found"), crowded["component"].alias("component")) \
+        .select("rep", "component", F.coalesce("found", "rep").alias("cluster"))
+    sizes = own.groupBy("cluster").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    dealt = own.join(sizes, "cluster").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")).join(sets, "rep")
+    meeting = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))) \
+        .withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other")).drop("other", "tiles")
+    return meeting.groupBy("cluster", "low", "high").applyInPandas(_tiles(percent), "a long, b long")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     left, right = sets.select(F.col("rep").alias("a"), F.col("members").alias("x")), sets.select(F.col("rep").alias("b"), F.col("members").alias("y"))
@@ -133,9 +219,10 @@ def near_duplicates(documents: DataFrame, column: str = "text", key: str = "doc_
     cost one row. Texts under one repeated id count as one document.
 
     Classes that share a table key are candidates. In each bucket one class, another one in each round, is compared with
-    all others; whatever is in one component by then needs no comparison any more, and only pairs that still are
-    in different components are compared one by one. So no link between components is lost, and a bucket of near copies
-    costs a row per copy. A third of all rows that share buckets without being similar would be compared in pairs.
+    all others; whatever is in one component by then needs no comparison any more. Of the rest, members of buckets of up
+    to 32 classes are compared in pairs, larger buckets tile by tile, where a task multiplies the incidence matrices of
+    its two tiles and returns a spanning forest of the links. So no link between components is lost, and no rows are
+    made for the pairs of a crowd of texts that are alike but not alike enough.
     """
     chosen = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text"))
     sketches = stored(chosen.mapInArrow(_sketches(size), "doc_id long, n long, x long, y long, parts array<long>"), "sketches")
@@ -144,7 +231,8 @@ def near_duplicates(documents: DataFrame, column: str = "text", key: str = "doc_
     keys = classes.select("rep", "n", two.alias("two"), F.posexplode(one).alias("i", "one")) \
         .select("rep", "n", "i", "one", F.posexplode("two").alias("j", "other")) \
         .select(F.xxhash64("i", "one", "j", "other").alias("key"), "rep", "n")
-    shared = keys.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("key")
+    shared = keys.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("size")) \
+        .where("low <> high").select("key", "size")
     members = stored(keys.join(shared, "key"), "members")
     reps = members.select("rep").distinct()
     sets = stored(chosen.join(reps, chosen.doc_id == reps.rep, "left_semi").mapInArrow(_sets(size), "rep long, members binary"), "sets")
@@ -162,11 +250,12 @@ def near_duplicates(documents: DataFrame, column: str = "text", key: str = "doc_
         found = _linked(pairs, sets, percent)
         links = stored(found if links is None else found.union(links), "found")
         labelled = stored(_labelled(members, links), "labelled")
-    rest = _split(labelled)
-    other = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("component").alias("theirs"))
-    pairs = rest.join(other, "key").where("rep < b AND component <> theirs").where(alike("n", "m")) \
+    rest = stored(_split(labelled), "open")
+    crowded, few = rest.where(F.col("size") > BUCKET), rest.where(F.col("size") <= BUCKET)
+    other = few.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("component").alias("theirs"))
+    pairs = few.join(other, "key").where("rep < b AND component <> theirs").where(alike("n", "m")) \
         .select(F.col("rep").alias("a"), "b").distinct()
-    final = components(_linked(pairs, sets, percent).union(links), "a", "b")
+    final = components(_linked(pairs, sets, percent).union(links).union(_in_tiles(crowded, sets, percent)), "a", "b")
     named = classes.select("n", "x", "y", "rep").join(final, F.col("rep") == F.col("node"), "left") \
         .select("n", "x", "y", F.coalesce("component", "rep").alias("component_id"))
     return sketches.drop("parts").join(named, ["n", "x", "y"], "left").select(

@@ -113,28 +113,64 @@ def test_secrets(spark, texts):
     assert found > 20
 
 
-def test_near_duplicates(spark, texts):
+def shingle_sets(texts, size):
     sets = {}
     for doc_id, text in texts.items():
         words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)) if w]
-        sets[doc_id] = {tuple(words[i:i + 4]) for i in range(max(1, len(words) - 3))} if words else set()
-    holders = defaultdict(list)
+        sets[doc_id] = {tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+    return sets
+
+
+def similar_pairs(sets):
+    holders, common = defaultdict(list), defaultdict(int)
     for doc_id, members in sets.items():
         for s in members:
             holders[s].append(doc_id)
-    common = defaultdict(int)
     for ids in holders.values():
         for i, a in enumerate(sorted(ids)):
             for b in sorted(ids)[i + 1:]:
                 common[a, b] += 1
-    links = [(a, b) for (a, b), n in common.items() if 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n)]
-    want = roots(sets, links)
+    return [(a, b) for (a, b), n in common.items() if 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n)]
+
+
+def test_near_duplicates(spark, texts):
+    sets = shingle_sets(texts, 4)
+    want = roots(sets, similar_pairs(sets))
     got = {r.doc_id: r for r in neardup.op9(spark, MEDIUM).collect()}
     assert {k: r.component_id for k, r in got.items()} == want
     assert {k: r.n_shingles for k, r in got.items()} == {k: len(s) for k, s in sets.items()}
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
+def test_crowd_of_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BUCKET", 4)
+    monkeypatch.setattr(neardup, "TILE", 16)
+    rng, texts = np.random.default_rng(4), {}
+    base = [f"w{i}" for i in range(120)]
+    for doc_id in range(250):
+        words = list(base)
+        for place in rng.integers(0, 120, rng.integers(1, 8)):
+            words[place] = f"x{rng.integers(40)}"
+        texts[doc_id] = " ".join(words)
+    sets = shingle_sets(texts, 4)
+    want = roots(sets, similar_pairs(sets))
+    found = neardup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    same = sum(r.component_id == want[r.doc_id] for r in found)
+    assert 2 < len(set(want.values())) < 200 and same >= 0.98 * len(texts)
+
+
+def test_common_counts():
+    rng = np.random.default_rng(2)
+    sides = []
+    for n in (150, 130):
+        sets = [np.unique(rng.choice(500, rng.integers(0, 90)).astype(np.uint64)) for _ in range(n)]
+        sets = [np.union1d(s, np.arange(1000, 1010, dtype=np.uint64)) if i % 7 else s for i, s in enumerate(sets)]
+        sides.append((sets, np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets])))))
+    (a, xs, x_at), (b, ys, y_at) = sides
+    want = [[len(np.intersect1d(x, y)) for y in b] for x in a]
+    assert neardup.common_counts(xs, x_at, ys, y_at).tolist() == want
+
+
 def test_warc(spark):
     assert compare(warc.op7(spark, MEDIUM), connect(MEDIUM), warc.SQL) == ""
 
