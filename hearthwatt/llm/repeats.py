@@ -101,6 +101,10 @@ class Cover:
         self.at, self.first, self.last, self.text = at[starts], string[starts], string[ends], text[starts]
         self.rank = rank[self.at]
 
+    def piece(self) -> np.ndarray:
+        """Rank of the whole piece of text whose strings belong to each cover position."""
+        return mixed(spans_hash(self.sums, self.first, self.last + LENGTH) + (self.at - self.first).astype(np.uint64))
+
     def _whole(self, n: int) -> np.ndarray:
         """Whether the string that starts at a place lies within one text."""
         whole = np.ones(n - LENGTH + 1, bool)
@@ -119,12 +123,13 @@ def _identity(rank: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _ask_ranks(buckets: int):
-    """Step 1, in the texts' order: each unit of text sends every cover string once, with how often it has it."""
+    """Step 1, in the texts' order: each unit of text sends every cover string once, with how often it has it and, for
+    one that it has once, the rank of its piece: if an earlier place has the same, all its strings are repeated."""
     def send(held):
-        rank, doc, at = (np.concatenate(x) for x in zip(*held))
+        rank, doc, at, piece = (np.concatenate(x) for x in zip(*held))
         unique, first, place, count = np.unique(_identity(rank, buckets), return_index=True, return_inverse=True, return_counts=True)
         again = np.flatnonzero(count[place] > 1)
-        yield _rows(None, doc[again], FOUND, at[again], None)
+        yield _rows(None, doc[again], FOUND, at[again], 0)
         bucket, low = unique >> 32, (unique & 0xFFFFFFFF).astype(np.uint32)
         cuts = np.searchsorted(bucket, np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(cuts)):
@@ -132,7 +137,8 @@ def _ask_ranks(buckets: int):
             mine = mine[np.argsort(first[mine])]
             docs = doc[first[mine]]
             yield _rows([b], [0], ASK, None, None, [_packed(
-                low[mine], np.minimum(count[mine], 0xFFFFFFFF).astype(np.uint32), np.diff(docs, prepend=0), at[first[mine]].astype(np.uint32))])
+                low[mine], np.minimum(count[mine], 0xFFFFFFFF).astype(np.uint32), np.diff(docs, prepend=0), at[first[mine]].astype(np.uint32),
+                (piece[first[mine]] & np.uint64(0xFFFFFFFF)).astype(np.uint32))])
 
     def run(batches):
         held, size = [], 0
@@ -141,7 +147,7 @@ def _ask_ranks(buckets: int):
             ids = batch.column(0).to_numpy()
             for a, b in slices(offsets):
                 cover = Cover(data, offsets[a:b + 1])
-                held.append((cover.rank, ids[a + cover.text], cover.at - cover.places[cover.text]))
+                held.append((cover.rank, ids[a + cover.text], cover.at - cover.places[cover.text], cover.piece()))
                 size += len(cover.part)
                 if size >= UNIT_BYTES:
                     yield from send(held)
@@ -184,18 +190,15 @@ def _by_place(answer):
 
 
 def _answer_ranks(hot_least: int, place: int, bodies: list[bytes]):
-    low, count, doc, at = [], [], [], []
-    for body in bodies:
-        a, b, c, d = _unpacked(body)
-        low.append(a.view(np.uint32))
-        count.append(b.view(np.uint32))
-        doc.append(np.cumsum(c.view(np.int64)))
-        at.append(d.view(np.uint32))
-    low, count, doc, at = (np.concatenate(x) for x in (low, count, doc, at))
+    """The cover positions that occur elsewhere, with ``end`` 1 if an earlier place has the whole piece."""
+    columns = [[a.view(t) for a, t in zip(_unpacked(body), (np.uint32, np.uint32, np.int64, np.uint32, np.uint32))] for body in bodies]
+    low, count, doc, at, piece = (np.concatenate(x) for x in zip(*((a, b, np.cumsum(c), d, e) for a, b, c, d, e in columns)))
     unique, string = np.unique(low, return_inverse=True)
     total = np.bincount(string, count).astype(np.int64)
     again = np.flatnonzero((total[string] > 1) & (count == 1))
-    yield _rows(None, doc[again], FOUND, at[again].astype(np.int64), None)
+    again = again[np.lexsort((at[again], doc[again]))]
+    late = _later(doc[again], at[again], low[again].astype(np.uint64) << np.uint64(32) | piece[again])
+    yield _rows(None, doc[again], FOUND, at[again].astype(np.int64), late.astype(np.int64))
     hot = np.flatnonzero(total >= hot_least)
     yield _rows(None, np.zeros(len(hot), np.int64), HOT, place << 32 | unique[hot].astype(np.int64), total[hot])
 
@@ -276,7 +279,7 @@ def _ask_suffixes(buckets: int, hot):
         for rows in _streamed(batches, 0):
             kind = rows["kind"].to_numpy()
             ids = rows["doc_id"].to_numpy()
-            places, owners = rows["start"].to_numpy()[kind == FOUND], ids[kind == FOUND]
+            places, settled, owners = (x[kind == FOUND] for x in (rows["start"].to_numpy(), rows["end"].to_numpy(), ids))
             texts = rows["body"].filter(pa.array(kind == TEXT)).combine_chunks()
             docs = ids[kind == TEXT]
             low, high = np.searchsorted(owners, docs, "left"), np.searchsorted(owners, docs, "right")
@@ -292,14 +295,18 @@ def _ask_suffixes(buckets: int, hot):
                 yield _rows(None, docs[asked], TEXT, None, None, [squeeze.compress(data[offsets[i]:offsets[i + 1]].tobytes()) for i in asked])
                 part = np.concatenate([data[offsets[i]:offsets[i + 1]] for i in asked])
                 cover = Cover(part, np.concatenate(([0], np.cumsum([offsets[i + 1] - offsets[i] for i in asked]))))
-                known = np.zeros(len(part) + 1, bool)
+                known = np.zeros(len(part) + 1, np.int8)
                 for text, i in enumerate(asked):
                     at = cover.places[text] + places[low[i]:high[i]]
-                    known[at[at < cover.places[text + 1]]] = True
-                use = np.flatnonzero(known[cover.at])
+                    inside = at < cover.places[text + 1]
+                    known[at[inside]] = 1 + settled[low[i]:high[i]][inside]
+                use = np.flatnonzero(known[cover.at] == 2)
+                own = cover.text[use]
+                yield _found(docs[np.array(asked)][own], cover.first[use] - cover.places[own], cover.last[use] - cover.places[own])
+                use = np.flatnonzero(known[cover.at] == 1)
                 first, last, own = cover.first[use], cover.last[use], cover.text[use]
                 start = cover.places[own]
-                piece = mixed(spans_hash(cover.sums, first, last + LENGTH) + (cover.at[use] - first).astype(np.uint64))
+                piece = cover.piece()[use]
 
                 frequent = np.isin(_identity(cover.rank[use], buckets), hot.value)
                 string = _flat(first[frequent], (last - first + 1)[frequent])
@@ -404,16 +411,17 @@ def repeated_passages(documents: DataFrame, column: str = "text", key: str = "do
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (64 << 20)))
-    asked = named.mapInArrow(_ask_ranks(buckets), _ROWS)
+    spread = F.when(F.col("kind") == ASK, F.col("place")).otherwise(F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets))).cast("int")
+    asked = named.mapInArrow(_ask_ranks(buckets), _ROWS).withColumn("place", spread)
     ranked = stored(asked.repartition(parts, "place").sortWithinPartitions("place").mapInArrow(_by_place(functools.partial(_answer_ranks, hot_least)), _ROWS)
                     .select("doc_id", "kind", "start", "end"), "ranks")
     least = max(hot_least, total // HOT_STRINGS)
     hot = ranked.where((F.col("kind") == HOT) & (F.col("end") >= least)).select("start").toPandas()["start"].to_numpy()
-    rows = named.select("doc_id", F.lit(TEXT).alias("kind"), F.lit(0).cast("long").alias("start"), F.col("text").cast("binary").alias("body")) \
-        .union(ranked.where(F.col("kind") == FOUND).select("doc_id", "kind", "start", F.lit(None).cast("binary")))
+    rows = named.select("doc_id", F.lit(TEXT).alias("kind"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"),
+                        F.col("text").cast("binary").alias("body")) \
+        .union(ranked.where(F.col("kind") == FOUND).select("doc_id", "kind", "start", "end", F.lit(None).cast("binary")))
     asked = rows.repartition(parts, "doc_id").sortWithinPartitions("doc_id", "kind") \
         .mapInArrow(_ask_suffixes(buckets, spark.sparkContext.broadcast(hot)), _ROWS)
-    spread = F.when(F.col("kind") == ASK, F.col("place")).otherwise(F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets))).cast("int")
     answered = asked.withColumn("place", spread).repartition(parts, "place").sortWithinPartitions("place") \
         .mapInArrow(_by_place(_answer_suffixes), _ROWS).drop("place")
     done = answered.repartition(parts, "doc_id").sortWithinPartitions("doc_id", "kind").mapInArrow(
