@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import unicodedata
 import zlib
 from pathlib import Path
 
@@ -16,8 +18,10 @@ from hearthwatt.llm.registry import query
 SEQUENCE, END = 2048, 1
 #: Pieces per group: their lengths are all that one task holds.
 GROUP = 3000
-#: Words whose ids a worker remembers; beyond, it starts anew.
-REMEMBERED = 200_000
+#: Words, and letter runs, whose ids a worker remembers; beyond, it starts anew.
+REMEMBERED = 400_000
+#: Punctuation that may follow the letters of a word and is always split from them.
+CLOSING = ".,;:!?%*#$&)(|+=/\"-"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -30,22 +34,56 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 class WordIds:
     """Ids of a text as bytes (little-endian, four each). No token of the vocabulary holds or depends on white space, so
-    a text's ids are those of its words between spaces; words met before are looked up, new ones are encoded together."""
+    a text's ids are those of its words between spaces, and a word's ids those of its letters and of the punctuation
+    behind them. Words and letter runs met before are looked up, new ones are encoded together. A run of lower-case
+    letters is what the normaliser and the splitter of the vocabulary leave as it is, so it goes straight to the model.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.known = Tokenizer.from_str(Path(path).read_text()), {}
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.full = Tokenizer.from_str(Path(path).read_text())
+        self.model = Tokenizer(self.full.model)
+        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    @staticmethod
+    def split(word: str) -> tuple[str, str]:
+        """Letters and closing punctuation of a word, or the whole word."""
+        stem = word.rstrip(CLOSING)
+        if stem and stem.isalpha() and (stem.isascii() or "Σ" not in stem and unicodedata.is_normalized("NFC", stem)):
+            low = stem.lower()
+            if len(low) == len(stem):
+                return low, word[len(stem):]
+        return word, ""
+
+    def _learn(self, new: list[str]) -> None:
+        split = list(map(self.split, new))
+        known = self.parts
+        parts = {x for pair in split for x in pair}
+        wanted = list(parts.difference(known))
+        if len(known) + len(wanted) > REMEMBERED:
+            known.clear()
+            wanted = list(parts)
+        plain = [x for x in wanted if x.isalpha() and x == x.lower() and (x.isascii() or unicodedata.is_normalized("NFC", x))]
+        other = list(set(wanted).difference(plain))
+        for tokenizer, some in ((self.model, plain), (self.full, other)):
+            encoded = tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            known.update((x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(some, encoded))
+        self.words.update((word, known[stem] + known[tail]) for word, (stem, tail) in zip(new, split))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = list({w for words in split for w in words}.difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = list({w for words in split for w in words})
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
-        get = self.known.__getitem__
+        words = set().union(*split)
+        new = list(words.difference(self.words))
+        if len(self.words) + len(new) > REMEMBERED:
+            self.words.clear()
+            new = list(words)
+        if new:
+            self._learn(new)
+        get = self.words.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
 
