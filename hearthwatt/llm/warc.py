@@ -15,7 +15,7 @@ from hearthwatt.llm.frames import stored, table
 from hearthwatt.llm.registry import query
 from hearthwatt.sources.shared import run_folder
 
-#: Archive size aimed at, in bytes of payload. A reader holds one archive in memory.
+#: Payload per archive. A reader holds one archive in memory.
 ARCHIVE_BYTES = 16 << 20
 
 _START = re.compile(rb"WARC/1\.[01]\r\n")
@@ -63,17 +63,38 @@ def records(pages: DataFrame) -> DataFrame:
     return built.select(F.concat(head, F.col("http"), block).alias("record"))
 
 
+def _members(batches):
+    """Each record as a gzip member without its last byte, which is zero.
+
+    The member ends with the record's length in four bytes, the last of which is zero below 16 MB. A longer record is
+    followed by an empty member.
+    """
+    for batch in batches:
+        members = []
+        for record in batch.column(0):
+            raw = record.as_py() + b"\r\n\r\n"
+            squeeze = zlib.compressobj(1, zlib.DEFLATED, 31)
+            member = squeeze.compress(raw) + squeeze.flush()
+            if member[-1]:
+                squeeze = zlib.compressobj(1, zlib.DEFLATED, 31)
+                member += squeeze.flush()
+            members.append(member[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], names=["member"])
+
+
 def write_warc(pages: DataFrame, folder: str, least: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """A WARC record per row of ``pages`` (page_id, url, html; a null html is empty) in archives under ``folder``.
 
     Of equal payloads of ``least`` bytes or more the smallest page_id is a response and the others are revisits that
     refer to it; rows that repeat that very page_id are responses too, and so is a row without page_id unless another
-    row has the same payload. No rows: no records. Spark's text sink writes the files and commits them, so any file
-    system will do and a lost task leaves nothing behind. Each record ends with the two line ends that close it.
+    row has the same payload. No rows: no records. Every record is a gzip member of its own. Spark's text sink writes the
+    files and commits them, so any file system will do and a lost task leaves nothing behind; the separator that it puts
+    behind each row is the member's last byte. An archive holds about ``archive_bytes`` of payload at most.
     """
-    rows = records(deduplicated(pages, least))
-    size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    rows.repartition(max(1, -(-size // archive_bytes))).write.option("lineSep", "\r\n\r\n").text(folder)
+    rows = records(deduplicated(pages, least)).select(F.col("record").cast("binary")).mapInArrow(_members, "member binary")
+    mean = pages.agg(F.avg(F.octet_length("html"))).first()[0] or 1
+    rows.select(F.col("member").cast("string").alias("member")).write.option("lineSep", "\0") \
+        .option("maxRecordsPerFile", max(1, int(archive_bytes / max(1, mean)))).text(folder)
 
 
 def digest_text(payload: bytes) -> str:
