@@ -301,8 +301,11 @@ def _ask_suffixes(buckets: int, hot):
                     inside = at < cover.places[text + 1]
                     known[at[inside]] = 1 + settled[low[i]:high[i]][inside]
                 use = np.flatnonzero(known[cover.at] == 2)
-                own = cover.text[use]
-                yield _found(docs[np.array(asked)][own], cover.first[use] - cover.places[own], cover.last[use] - cover.places[own])
+                new = np.ones(len(use) + 1, bool)  # strings of neighbours follow each other
+                new[1:-1] = (cover.first[use[1:]] != cover.last[use[:-1]] + 1) | (cover.text[use[1:]] != cover.text[use[:-1]])
+                head, tail = use[new[:-1]], use[new[1:]]
+                start = cover.places[cover.text[head]]
+                yield _found(docs[np.array(asked)][cover.text[head]], cover.first[head] - start, cover.last[tail] - start)
                 use = np.flatnonzero(known[cover.at] == 1)
                 first, last, own = cover.first[use], cover.last[use], cover.text[use]
                 start = cover.places[own]
