@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import unicodedata
 import zlib
@@ -19,7 +20,7 @@ SEQUENCE, END = 2048, 1
 #: Pieces per group: their lengths are all that one task holds.
 GROUP = 3000
 #: Words, and letter runs, whose ids a worker remembers; beyond, it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 #: Punctuation that may follow the letters of a word and is always split from them.
 CLOSING = ".,;:!?%*#$&)(|+=/\"-"
 
@@ -87,11 +88,17 @@ class WordIds:
         return [b"".join(map(get, words)) for words in split]
 
 
+@functools.lru_cache(1)
+def word_ids(path: str) -> WordIds:
+    """One memory of words for all tasks of a worker."""
+    return WordIds(path)
+
+
 def _cut(path: str, sequence: int, end: int):
     tail = np.array([end], "<u4").tobytes()
 
     def cut(batches):
-        words = WordIds(path)
+        words = word_ids(path)
         for batch in batches:
             for first in range(0, batch.num_rows, 64):
                 part = batch.slice(first, 64)
