@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import unicodedata
 import zlib
+from array import array
 from pathlib import Path
 
 import numpy as np
@@ -19,10 +21,10 @@ from hearthwatt.llm.registry import query
 SEQUENCE, END = 2048, 1
 #: Pieces per group: their lengths are all that one task holds.
 GROUP = 3000
-#: Words, and letter runs, whose ids a worker remembers; beyond, it starts anew.
-REMEMBERED = 800_000
-#: Punctuation that may follow the letters of a word and is always split from them.
-CLOSING = ".,;:!?%*#$&)(|+=/\"-"
+#: Words whose ids a worker remembers; beyond, it starts anew.
+REMEMBERED = 1_000_000
+#: Punctuation behind a letter or digit, up to the end of the word: always split from what stands before it.
+CLOSING = re.compile(r"[.,;:!?%*#$&)(|+=/](?<=[^\W_].)[.,;:!?%*#$&)(|+=/]*(?=[ \n]|\Z)")
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -35,9 +37,9 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 class WordIds:
     """Ids of a text as bytes (little-endian, four each). No token of the vocabulary holds or depends on white space, so
-    a text's ids are those of its words between spaces, and a word's ids those of its letters and of the punctuation
-    behind them. Words and letter runs met before are looked up, new ones are encoded together. A run of lower-case
-    letters is what the normaliser and the splitter of the vocabulary leave as it is, so it goes straight to the model.
+    a text's ids are those of its words between spaces; the punctuation behind a word's letters is a word of its own.
+    Words met before are looked up, new ones are encoded together. A run of lower-case letters is what the normaliser
+    and the splitter of the vocabulary leave as it is, so it goes straight to the model.
     """
 
     def __init__(self, path: str):
@@ -48,35 +50,22 @@ class WordIds:
         self.model = Tokenizer(self.full.model)
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
 
     @staticmethod
-    def split(word: str) -> tuple[str, str]:
-        """Letters and closing punctuation of a word, or the whole word."""
-        stem = word.rstrip(CLOSING)
-        if stem and stem.isalpha() and (stem.isascii() or "Σ" not in stem and unicodedata.is_normalized("NFC", stem)):
-            low = stem.lower()
-            if len(low) == len(stem):
-                return low, word[len(stem):]
-        return word, ""
+    def split(text: str) -> list[str]:
+        """Words of a text, in lower case where that changes neither special tokens nor letters in context."""
+        if "<|" not in text and "Σ" not in text and "İ" not in text and (text.isascii() or unicodedata.is_normalized("NFC", text)):
+            text = text.lower()
+        return CLOSING.sub(r" \g<0>", text).replace("\n", " ").split(" ")
 
     def _learn(self, new: list[str]) -> None:
-        split = list(map(self.split, new))
-        known = self.parts
-        parts = {x for pair in split for x in pair}
-        wanted = list(parts.difference(known))
-        if len(known) + len(wanted) > REMEMBERED:
-            known.clear()
-            wanted = list(parts)
-        plain = [x for x in wanted if x.isalpha() and x == x.lower() and (x.isascii() or unicodedata.is_normalized("NFC", x))]
-        other = list(set(wanted).difference(plain))
-        for tokenizer, some in ((self.model, plain), (self.full, other)):
+        plain = [x for x in new if x.isalpha() and x == x.lower() and (x.isascii() or unicodedata.is_normalized("NFC", x))]
+        for tokenizer, some in ((self.model, plain), (self.full, list(set(new).difference(plain)))):
             encoded = tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            known.update((x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(some, encoded))
-        self.words.update((word, known[stem] + known[tail]) for word, (stem, tail) in zip(new, split))
+            self.words.update((x, array("I", e.ids).tobytes()) for x, e in zip(some, encoded))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
+        split = list(map(self.split, texts))
         words = set().union(*split)
         new = list(words.difference(self.words))
         if len(self.words) + len(new) > REMEMBERED:
