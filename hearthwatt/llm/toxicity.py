@@ -7,7 +7,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hearthwatt.llm.frames import remainder, table
+from hearthwatt.llm.frames import remainder, stored, table
 from hearthwatt.llm.registry import query
 from hearthwatt.llm.text import letter_grams, slices, utf8
 
@@ -141,17 +141,17 @@ def lower_bound(one: np.ndarray, all_: np.ndarray, z: float = 1.96) -> np.ndarra
     return (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
-def fit(documents: DataFrame, examples: DataFrame, label: str, column: str = "text", key: str = "doc_id", sample: int = SAMPLE,
+def fit(documents: DataFrame, labels: DataFrame, label: str, column: str = "text", key: str = "doc_id", sample: int = SAMPLE,
         terms: int = TERMS, least_share: float = LEAST_SHARE) -> Index | None:
-    """Index of ``examples`` (labels 0 and 1; other rows are left out), or None without any.
+    """Index of the documents that ``labels`` marks 0 or 1 (other labels are left out), or None without any.
 
-    About ``sample`` examples of each label are indexed, chosen by a hash of ``key``; a vote counts as many times as
-    its label was thinned out. Terms are the ``terms`` letter n-grams that speak most clearly for label 1 in those
+    About ``sample`` examples of each label are indexed, chosen by a hash of ``key`` before the labels are joined with the
+    texts; a vote counts as many times as its label was thinned out. Terms are the ``terms`` letter n-grams that speak most clearly for label 1 in those
     examples. Their document frequencies come from all of ``documents``. So the index, which is broadcast, is bounded
     by ``sample`` and ``terms``.
     """
     spark = documents.sparkSession
-    known = examples.where(F.col(label).isin(0, 1))
+    known = labels.where(F.col(label).isin(0, 1))
     sizes = {r[label]: r["n"] for r in known.groupBy(label).agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
@@ -159,7 +159,9 @@ def fit(documents: DataFrame, examples: DataFrame, label: str, column: str = "te
     limit = F.lit(0)
     for value, n in sizes.items():
         limit = F.when(F.col(label) == value, F.lit(min(1_000_000, -(-1_000_000 * sample // n)))).otherwise(limit)
-    chosen = known.where(place < limit).select(F.col(label).cast("int").alias("label"), F.col(column).alias("text"), F.col(key).alias("key"))
+    marked = known.where(place < limit).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
+    chosen = stored(documents.select(F.col(key).alias("key"), F.col(column).alias("text")).join(F.broadcast(marked), "key")
+                    .select("label", "text", "key"), "examples")
     counted = chosen.select("label", "text").mapInArrow(_document_counts, "code long, zero double, one double") \
         .groupBy("code").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")).where("one >= 4").toPandas()
     thinned = {v: n / min(n, sample) for v, n in sizes.items()}
@@ -238,6 +240,6 @@ def score(df: DataFrame, model: Index | None, column: str = "text", result: tupl
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0).select("doc_id", "toxic")
-    model = fit(documents, documents.join(labels, "doc_id"), "toxic")
+    model = fit(documents, labels, "toxic")
     return score(documents, model).select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
                                           (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
