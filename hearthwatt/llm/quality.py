@@ -91,20 +91,22 @@ def train(rows: pd.DataFrame, labels: int, buckets: int = BUCKETS, size: int = S
     return (embedding @ weights).astype(np.float32), bias
 
 
-def fit(examples: DataFrame, label: str, column: str = "text", key: str = "doc_id", sample: int = SAMPLE, labels: int = 2,
-        buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """Model of ``examples`` whose label is one of 0 to ``labels`` - 1; other rows are left out.
+def fit(documents: DataFrame, marks: DataFrame, label: str, column: str = "text", key: str = "doc_id", sample: int = SAMPLE,
+        labels: int = 2, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """Model of the documents whose mark is one of 0 to ``labels`` - 1; other marks are left out.
 
-    About ``sample`` rows, chosen by a hash of ``key``, are trained on in one task: that bound, and not the input,
-    sets its size. Without examples every score is even.
+    About ``sample`` marks, chosen by a hash of ``key``, are joined with their texts and trained on in one task: that
+    bound, and not the input, sets its size. Without examples every score is even.
     """
-    known = examples.where(F.col(label).between(0, labels - 1))
+    known = marks.where(F.col(label).between(0, labels - 1))
     rows = known.count()
     if not rows:
         return np.zeros((buckets, labels), np.float32), np.zeros(labels, np.float32)
     place = F.pmod(F.xxhash64(F.lit("quality"), F.col(key).cast("string")), F.lit(1_000_000_000))
-    counted = known.withColumn("place", place).where(F.col("place") < min(1_000_000_000, -(-1_000_000_000 * sample // rows))) \
-        .select("place", F.col(label).cast("int").alias("label"), F.col(column).alias("text")) \
+    marked = known.select(F.col(key).alias("key"), place.alias("place"), F.col(label).cast("int").alias("label")) \
+        .where(F.col("place") < min(1_000_000_000, -(-1_000_000_000 * sample // rows)))
+    counted = documents.select(F.col(key).alias("key"), F.col(column).alias("text")).join(F.broadcast(marked), "key") \
+        .select("place", "label", "text") \
         .mapInArrow(_counted, "place long, label int, buckets array<int>, counts array<float>")
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -147,6 +149,6 @@ def score(df: DataFrame, model: tuple[np.ndarray, np.ndarray], column: str = "te
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1).select("doc_id", "quality")
-    scored = score(documents, fit(documents.join(labels, "doc_id"), "quality"))
+    scored = score(documents, fit(documents, labels, "quality"))
     return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
