@@ -268,10 +268,10 @@ def distinct_documents(documents: DataFrame, column: str = "text", key: str = "d
     """The documents that ``near_duplicates`` keeps, with their own columns. Repeated rows of a kept id become one; rows
     without id stay."""
     named = documents.where(F.col(key).isNotNull())
-    kept = near_duplicates(named, column, key, size, percent).where("kept").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
-    rows = named.join(kept, named[key].cast("long") == F.col("_id"))
-    once, again = rows.where("_rows = 1"), rows.where("_rows > 1").dropDuplicates(["_id"])
-    return once.union(again).select(*documents.columns).union(documents.where(F.col(key).isNull()))
+    kept = near_duplicates(named, column, key, size, percent).where("kept").groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("times"))
+    rows = named.select(F.col(key).cast("long").alias("id"), F.struct("*").alias("row")).join(kept, "id")
+    once, again = rows.where("times = 1"), rows.where("times > 1").dropDuplicates(["id"])
+    return once.union(again).select("row.*").union(documents.where(F.col(key).isNull()))
 
 
 @query("op9_minhash_near_dedup")

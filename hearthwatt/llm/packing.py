@@ -54,7 +54,9 @@ class WordIds:
     @staticmethod
     def split(text: str) -> list[str]:
         """Words of a text, in lower case where that changes neither special tokens nor letters in context."""
-        if "<|" not in text and "Σ" not in text and "İ" not in text and (text.isascii() or unicodedata.is_normalized("NFC", text)):
+        if "İ" in text:  # its lower case ends with a mark, which would join the punctuation behind it
+            return text.replace("\n", " ").split(" ")
+        if "<|" not in text and "Σ" not in text and (text.isascii() or unicodedata.is_normalized("NFC", text)):
             text = text.lower()
         return CLOSING.sub(r" \g<0>", text).replace("\n", " ").split(" ")
 

@@ -20,6 +20,8 @@ ARCHIVE_BYTES = 16 << 20
 
 _START = re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = b"\x1f\x8b\x08"
+#: The member that follows a record of 16 MB or more.
+_EMPTY = zlib.compressobj(1, zlib.DEFLATED, 31).flush()
 
 
 def base32(hexadecimal: Column) -> Column:
@@ -76,8 +78,7 @@ def _members(batches):
             squeeze = zlib.compressobj(1, zlib.DEFLATED, 31)
             member = squeeze.compress(raw) + squeeze.flush()
             if member[-1]:
-                squeeze = zlib.compressobj(1, zlib.DEFLATED, 31)
-                member += squeeze.flush()
+                member += _EMPTY
             members.append(member[:-1])
         yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], names=["member"])
 
@@ -169,6 +170,7 @@ def salvage(content: bytes) -> Iterator[tuple[int, int, dict | None, str]]:
                     parsed, used = parse_record(inner, 0)
                     if used != len(inner):
                         raise Damaged("member holds more than a record")
+                    end += len(_EMPTY) * content.startswith(_EMPTY, end)
                 else:
                     parsed, end = parse_record(content, place)
                 break
