@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes that are worked on at once; one longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
