@@ -55,15 +55,16 @@ def newest_n(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int, sal
     """Newest ``n`` rows per group, in two rounds.
 
     The first round ranks within a salted part of the group, so no task sorts a whole group; the second sees at
-    most ``salts * n`` rows of it.
+    most ``salts * n`` rows of it. A hash of the whole row decides between rows of one time, so runs agree.
     """
-    newest_first = [F.col(c).desc() for c in order]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
+    content = F.to_json(F.struct(*df.columns))
+    newest_first = [*(F.col(c).desc() for c in order), F.col("_content")]
+    salted = df.withColumn("_content", F.xxhash64(content)).withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
     part = Window.partitionBy(*by, "_salt").orderBy(*newest_first)
     whole = Window.partitionBy(*by).orderBy(*newest_first)
     return (salted.withColumn("_rank", F.row_number().over(part)).filter(F.col("_rank") <= n)
             .withColumn("_rank", F.row_number().over(whole)).filter(F.col("_rank") <= n)
-            .drop("_rank", "_salt"))
+            .drop("_rank", "_salt", "_content"))
 
 
 def latest_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import count, islice
 from typing import Any
 
 import numpy as np
@@ -47,12 +48,14 @@ def battery_forecast(net: DataFrame, soc: DataFrame, p: Mapping[str, Any], issue
 
     ``net`` has ``net_load_w`` (use minus sun), ``soc`` the charge in percent at the issue time. The level stops at
     the reserve floor and when full, which makes each slot depend on the one before: a fold over one day's array.
+    From the first slot with an unknown load on, the level is unknown.
     """
     one_way = math.sqrt(p["round_trip"])
     load = F.col("net_load_w")
     drawn = F.least(load, F.lit(p["max_discharge_w"])) / F.lit(one_way)
     stored = F.least(-load, F.lit(p["max_charge_w"])) * F.lit(one_way)
-    delta_wh = F.coalesce(F.when(load >= 0, -drawn).otherwise(stored), F.lit(0.0)) * SLOT_H
+    # least() skips NULLs: an unknown load must not look like the largest one.
+    delta_wh = F.when(load.isNotNull(), F.when(load >= 0, -drawn).otherwise(stored)) * SLOT_H
     floor_wh = p["capacity_wh"] * p["floor_pct"] / 100.0
     steps = (net.filter(horizon_filter("ts", ts_lit(issue_ts), p["horizon"])).groupBy("site_id")
              .agg(F.sort_array(F.collect_list(F.struct("ts", delta_wh.alias("d")))).alias("_steps")))
@@ -63,17 +66,17 @@ def battery_forecast(net: DataFrame, soc: DataFrame, p: Mapping[str, Any], issue
     out = steps.join(soc.select("site_id", "soc_pct"), "site_id").withColumn("_levels", levels)
     slots = out.select("site_id", F.posexplode("_steps").alias("_i", "_s"), "_levels")
     wh = F.element_at("_levels", F.col("_i") + 2)
-    spare = F.greatest(F.lit(0.0), wh - F.lit(floor_wh)) * F.lit(one_way / SLOT_H)
+    spare = F.when(wh.isNotNull(), F.greatest(F.lit(0.0), wh - F.lit(floor_wh)) * F.lit(one_way / SLOT_H))
     return slots.select(
         "site_id", F.col("_s.ts").alias("target_ts"), (wh * F.lit(100.0 / p["capacity_wh"])).alias("soc_p50"),
-        F.least(F.lit(p["max_discharge_w"]), spare).alias("discharge_power_w"),
+        F.when(spare.isNotNull(), F.least(F.lit(p["max_discharge_w"]), spare)).alias("discharge_power_w"),
         F.lit(float(p["round_trip"])).alias("efficiency_ratio"))
 
 
 def _saturate(level: Column, delta: Column, floor: float, full: float) -> Column:
     """Level after a slot. A battery found below the floor may charge but not be drawn further."""
     lowest = F.least(F.lit(floor), level)
-    return F.least(F.greatest(level + delta, lowest), F.lit(full))
+    return F.when(level.isNotNull() & delta.isNotNull(), F.least(F.greatest(level + delta, lowest), F.lit(full)))
 
 
 # ---- events ------------------------------------------------------------------------------------------------------
@@ -137,6 +140,15 @@ def comfort_hours(level: Column) -> Column:
 
 # ---- import risk -------------------------------------------------------------------------------------------------
 
+def event_steps(kinds: int) -> list[float]:
+    """One irrational step per event: fractions of the roots of primes but 5, whose root turns the normal draws.
+
+    Multiples of different ones spread evenly over all combinations, so the draws of two events are independent.
+    """
+    primes = (n for n in count(2) if n != 5 and all(n % d for d in range(2, math.isqrt(n) + 1)))
+    return [math.sqrt(prime) % 1.0 for prime in islice(primes, kinds)]
+
+
 def _quantiles(pdf: pd.DataFrame, n: int, seed: int) -> pd.DataFrame:
     """p10, p50 and p90 over the same ``n`` draws for every row, a block of rows at a time."""
     i = np.arange(n)
@@ -144,7 +156,7 @@ def _quantiles(pdf: pd.DataFrame, n: int, seed: int) -> pd.DataFrame:
     radius, angle = np.sqrt(-2.0 * np.log((i + 0.5) / n)), 2.0 * np.pi * ((i * GOLDEN + shift) % 1.0)
     z_base, z_sun = radius * np.cos(angle), radius * np.sin(angle)
     kinds = max((len(x) for x in pdf["probs"] if x is not None), default=0)
-    lots = [(i * (np.sqrt(2) - 1) + (k + 1.0) * (np.sqrt(3) - 1) + shift) % 1.0 * 100.0 for k in range(kinds)]
+    lots = [(i * step + shift) % 1.0 * 100.0 for step in event_steps(kinds)]
     numbers = pdf[["base", "base_sigma", "sun", "sun_sigma", "battery"]].to_numpy(float)
     out = np.empty((len(pdf), 3))
     for lo in range(0, len(pdf), 256):
@@ -187,6 +199,12 @@ def net_import(df: DataFrame, n: int = 1000, seed: int = 0) -> DataFrame:
 
 # ---- price-aware start times -------------------------------------------------------------------------------------
 
+def import_caused(power_w: float) -> Column:
+    """Part of a load that is drawn from the grid; unknown where the net import is."""
+    with_load = F.col("net_import_w") + F.lit(power_w)
+    return F.when(with_load.isNotNull(), F.greatest(F.lit(0.0), F.least(with_load, F.lit(power_w))))
+
+
 def ev_start(net: DataFrame, p: Mapping[str, Any] = EV_DEFAULTS, k: int = 3) -> DataFrame:
     """Cheapest ``k`` charging starts per site and local day.
 
@@ -197,8 +215,7 @@ def ev_start(net: DataFrame, p: Mapping[str, Any] = EV_DEFAULTS, k: int = 3) ->
     slots = math.ceil(p["energy_kwh"] * 1000.0 / (p["power_w"] * SLOT_H))
     if slots * SLOT_H > p["max_hours"]:
         raise ValueError("the energy cannot be charged in the time allowed")
-    with_ev = F.col("net_import_w") + F.lit(p["power_w"])
-    caused = F.greatest(F.lit(0.0), F.least(with_ev, F.lit(p["power_w"])))
+    caused = import_caused(p["power_w"])
     priced = net.select("site_id", "ts", (caused * F.col("price_eur_per_mwh") * F.lit(SLOT_H / 1e6)).alias("_cost"),
                         (caused * F.lit(SLOT_H / 1e3)).alias("_grid_kwh"))
     reach = (slots - 1) * 15
@@ -224,7 +241,7 @@ def deferral(df: DataFrame, p: Mapping[str, Any] = DEFERRAL_DEFAULTS) -> DataFra
     saved or the outlook is incomplete.
     """
     pump, run = p["pump_w"], p["run_slots"]
-    caused = F.greatest(F.lit(0.0), F.least(F.col("net_import_w") + F.lit(pump), F.lit(pump)))
+    caused = import_caused(pump)
     slots = df.withColumn("_cost", caused * F.col("price_eur_per_mwh") * F.lit(SLOT_H / 1e6))
     reach = (run - 1) * 15
     copies = with_halo(slots, "ts", 0, p["max_hours"] * 3600 + reach * 60)

@@ -135,14 +135,16 @@ def averaging_lineage(raw: DataFrame, station: DataFrame, cols: Sequence[str], t
 # ---- health ------------------------------------------------------------------------------------------------------
 
 def graded(observed: Column, ok: float, warn: float) -> Column:
-    """ok up to the first limit, warn up to the second, error beyond and when there is nothing to observe."""
-    return (F.when(observed <= ok, F.lit("ok")).when(observed <= warn, F.lit("warn")).otherwise(F.lit("error")))
+    """ok up to the first limit, warn up to the second, error beyond, before now, and when there is nothing to observe."""
+    return (F.when(observed < 0, F.lit("error")).when(observed <= ok, F.lit("ok")).when(observed <= warn, F.lit("warn")).otherwise(F.lit("error")))
 
 
-def _rows(df: DataFrame, scope: Column, check: str, status: Column, observed: Column, threshold: float, detail: Column) -> DataFrame:
+def _rows(df: DataFrame, scope: Column, check: str, status: Column, observed: Column, threshold: float | Column,
+          detail: Column) -> DataFrame:
+    limit = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     return df.select(
         scope.cast("string").alias("scope"), F.lit(check).alias("check"), status.alias("status"),
-        observed.cast("double").alias("observed"), F.lit(float(threshold)).alias("threshold"), detail.cast("string").alias("detail"))
+        observed.cast("double").alias("observed"), limit.cast("double").alias("threshold"), detail.cast("string").alias("detail"))
 
 
 def station_check(station: DataFrame, sites: DataFrame, now: Column, p: Mapping[str, Any]) -> DataFrame:
@@ -184,7 +186,7 @@ def price_check(prices: DataFrame, sites: DataFrame, today: str, p: Mapping[str,
     n = F.coalesce("_n", F.lit(0))
     need = day_slots(F.lit(today).cast("date"), p["tz"]) if p["price_strict"] else F.lit(1)
     return _rows(zones, F.col("zone"), "price_coverage", F.when(n >= need, F.lit("ok")).otherwise(F.lit("error")),
-                 n, 1.0, F.lit("price rows of the local day"))
+                 n, need, F.lit("price rows of the local day"))
 
 
 def file_check(manifest: DataFrame, kind: str, now: Column, max_age_min: float, min_bytes: int = 0) -> DataFrame:
@@ -249,11 +251,12 @@ def overall_status(report: DataFrame, now: Column, by: Sequence[str] = ()) -> Da
 
 
 def require_fresh(version: str, now: datetime, minutes: int = 30) -> None:
-    """Refuse to act on an old snapshot; its time is in its name."""
-    stamp = version.rsplit("_", 2)
-    made = datetime.strptime("_".join(stamp[-2:]), "%Y%m%d_%H%M%S")
-    if now - made > timedelta(minutes=minutes):
-        raise ValueError(f"snapshot {version} is older than {minutes} minutes, refusing to act on it")
+    """Raise unless the 14 digits that end the version's name are a time at most ``minutes`` before ``now``."""
+    digits = [c for c in version if c.isdigit()][-14:]
+    year, *rest = (int("".join(digits[a:b])) for a, b in ((0, 4), (4, 6), (6, 8), (8, 10), (10, 12), (12, 14)))
+    age = (now - datetime(year, *rest)).total_seconds() / 60.0
+    if age > minutes:
+        raise ValueError(f"{version}: made {age:.2f} min ago, at most {minutes} min are allowed")
 
 
 def fresh_versions(manifest: DataFrame, now: Column, minutes: int = 30) -> DataFrame:

@@ -235,7 +235,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS recommendation_id, o_orderdate AS timestam
 SQL["outcomes"] = """
 SELECT CAST(l_orderkey AS VARCHAR) AS recommendation_id, sum(l_quantity) AS actual_cost_eur FROM lineitem GROUP BY 1"""
 SQL["complaints"] = """
-SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS recommendation_id FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1"""
+SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS recommendation_id FROM lineitem WHERE l_returnflag = 'R'"""
 
 
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,5 +256,5 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R' AND l_linenumber = 1")
-    return li.select(F.lit("discomfort").alias("feedback_type"), F.col("l_orderkey").cast("string").alias("recommendation_id"))
+    li = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
+    return li.select(F.lit("discomfort").alias("feedback_type"), F.col("l_orderkey").cast("string").alias("recommendation_id")).distinct()

@@ -128,7 +128,7 @@ def coming_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("comfort_class", ctes("load", "hourly") + f""", factors AS (
-  SELECT event_type AS site_id, 1.0::DOUBLE + 0.1::DOUBLE * count(*) AS factor FROM events WHERE user_id = 7 AND value > 30 GROUP BY 1),
+  SELECT event_type AS site_id, 1.0::DOUBLE + 0.0001::DOUBLE * count(*) AS factor FROM events GROUP BY 1),
 inputs AS (SELECT h.site_id, h.ts, h.temperature_c, least(100.0, l.total_actual_w / 100) AS prob, coalesce(f.factor, 1.0) AS factor
   FROM hourly h LEFT JOIN load l USING (site_id, ts) LEFT JOIN factors f USING (site_id)),
 risks AS (SELECT *, factor * (prob / 100.0::DOUBLE
@@ -137,12 +137,12 @@ risks AS (SELECT *, factor * (prob / 100.0::DOUBLE
 levels AS (SELECT *, CASE WHEN risk < 0.3 THEN 'low' WHEN risk < 0.6 THEN 'medium' ELSE 'high' END AS comfort_level FROM risks)
 SELECT site_id, ts, comfort_level, CASE comfort_level WHEN 'low' THEN 3.0::DOUBLE WHEN 'medium' THEN 1.5::DOUBLE ELSE 0.0::DOUBLE END AS max_defer_hours FROM levels""")
 def comfort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = table(spark, sf_dir, "events").filter("user_id = 7 AND value > 30").select(
+    reports = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("site_id"), F.lit("discomfort").alias("feedback_type"))
     probability = F.least(F.lit(100.0), F.col("total_actual_w") / 100).alias("hot_water_prob_pct")
     rows = a.hourly(spark, sf_dir).join(a.load(spark, sf_dir), ["site_id", "ts"], "left").select(
         "site_id", "ts", "temperature_c", probability)
-    inputs = spread_join(rows, discomfort_factor(reports), ["site_id"], ["ts"]).withColumn("factor", F.coalesce("factor", F.lit(1.0)))
+    inputs = spread_join(rows, discomfort_factor(reports, {"report_step": 0.0001}), ["site_id"], ["ts"]).withColumn("factor", F.coalesce("factor", F.lit(1.0)))
     return comfort_class(inputs, {**COMFORT_DEFAULTS, "cold_below_c": -6.0}).select("site_id", "ts", "comfort_level", "max_defer_hours")
 
 
@@ -154,8 +154,8 @@ _GOLDEN, _ROOT2, _ROOT3 = GOLDEN, math.sqrt(2) - 1, math.sqrt(3) - 1
     yhat_p50 * 0.5 AS s50, yhat_p50 * 0.75 AS s90 FROM best),
 draws AS (SELECT site_id, ts, b50 + (b90 - b10) / 2.5632::DOUBLE * radius * cos(angle)
     - greatest(0.0, s50 + (s90 - s10) / 2.5632::DOUBLE * radius * sin(angle)) - 500
-    + CASE WHEN ((i * {_ROOT2!r}::DOUBLE + {_ROOT3!r}::DOUBLE) % 1.0) * 100.0 < 30 THEN 6500 ELSE 0 END
-    + CASE WHEN ((i * {_ROOT2!r}::DOUBLE + 2.0 * {_ROOT3!r}::DOUBLE) % 1.0) * 100.0 < 10 THEN 11000 ELSE 0 END AS w
+    + CASE WHEN ((i * {_ROOT2!r}::DOUBLE) % 1.0) * 100.0 < 30 THEN 6500 ELSE 0 END
+    + CASE WHEN ((i * {_ROOT3!r}::DOUBLE) % 1.0) * 100.0 < 10 THEN 11000 ELSE 0 END AS w
   FROM bands CROSS JOIN (SELECT i, sqrt(-2.0 * ln((i + 0.5) / 1000.0::DOUBLE)) AS radius,
     2.0 * pi() * ((i * {_GOLDEN!r}::DOUBLE) % 1.0) AS angle FROM range(1000) t(i)))
 SELECT site_id, ts AS target_ts, {r('quantile_cont(w, 0.1)', 3)} AS import_p10_w, {r('quantile_cont(w, 0.5)', 3)} AS import_p50_w,

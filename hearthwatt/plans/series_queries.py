@@ -128,27 +128,26 @@ def local_day_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("order_day_gaps", """
-WITH days AS (SELECT DISTINCT o_orderpriority AS site_id, o_orderdate AS ts FROM orders WHERE o_orderstatus = 'P')
+WITH days AS (SELECT DISTINCT o_orderpriority || '/' || (o_custkey % 50) AS site_id, o_orderdate AS ts FROM orders)
 SELECT * FROM (SELECT site_id, ts AS from_ts, lead(ts) OVER w AS to_ts,
   CAST((epoch(lead(ts) OVER w) - epoch(ts)) / 86400 AS BIGINT) - 1 AS n_missing
   FROM days WINDOW w AS (PARTITION BY site_id ORDER BY ts)) WHERE n_missing > 0""")
 def order_day_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(
-        F.col("o_orderpriority").alias("site_id"), F.col("o_orderdate").alias("ts")).distinct()
+    group = F.concat(F.col("o_orderpriority"), F.lit("/"), (F.col("o_custkey") % 50).cast("string"))
+    days = table(spark, sf_dir, "orders").select(group.alias("site_id"), F.col("o_orderdate").alias("ts")).distinct()
     return find_gaps(days, step_seconds=86400)
 
 
 @query("shipped_day_fill", f"""
-WITH days AS (SELECT l_returnflag AS zone, l_shipdate AS ts, sum(l_quantity) AS quantity FROM lineitem
-  WHERE l_linenumber = 7 GROUP BY 1, 2),
+WITH days AS (SELECT l_returnflag || '/' || l_suppkey AS zone, l_shipdate AS ts, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1, 2),
 grid AS (SELECT zone, unnest(generate_series(min(ts), max(ts), INTERVAL 1 DAY)) AS ts FROM days GROUP BY zone)
 SELECT g.zone, g.ts, last_value(d.quantity IGNORE NULLS) OVER w AS quantity, d.quantity IS NULL AS is_filled,
   last_value(CASE WHEN d.quantity IS NOT NULL THEN g.ts END IGNORE NULLS) OVER w AS source_ts
 FROM grid g LEFT JOIN days d USING (zone, ts)
 WINDOW w AS (PARTITION BY g.zone ORDER BY g.ts ROWS UNBOUNDED PRECEDING)""")
 def shipped_day_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = table(spark, sf_dir, "lineitem").filter("l_linenumber = 7").groupBy(
-        F.col("l_returnflag").alias("zone"), F.col("l_shipdate").alias("ts")).agg(F.sum("l_quantity").alias("quantity"))
+    zone = F.concat(F.col("l_returnflag"), F.lit("/"), F.col("l_suppkey").cast("string")).alias("zone")
+    days = table(spark, sf_dir, "lineitem").groupBy(zone, F.col("l_shipdate").alias("ts")).agg(F.sum("l_quantity").alias("quantity"))
     return forward_fill(days, "quantity", step_seconds=86400)
 
 

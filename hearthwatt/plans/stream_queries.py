@@ -89,7 +89,7 @@ def retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_retained(spark, f"{folder}/out")
 
 
-SQL["second_commands"] = "SELECT * REPLACE (time_bucket(INTERVAL 1 SECOND, ts) AS ts) FROM valid_commands"
+SQL["second_commands"] = "SELECT * REPLACE (date_trunc('milliseconds', ts) AS ts) FROM valid_commands"
 
 
 @query("stream_command_state", ctes("commands", "valid_commands", "second_commands") + f""", following AS (
@@ -103,7 +103,7 @@ def command_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("stream_stale_alerts", f"""
-WITH t AS (SELECT event_type AS site_id, time_bucket(INTERVAL 1 SECOND, ts) AS ts FROM events),
+WITH t AS (SELECT event_type AS site_id, date_trunc('milliseconds', ts) AS ts FROM events),
 n AS (SELECT site_id, ts, lead(ts) OVER (PARTITION BY site_id ORDER BY ts) AS next_ts FROM t)
 SELECT site_id, ts + INTERVAL 60 MINUTES AS ts, ts AS last_seen_ts FROM n
 WHERE next_ts - ts > INTERVAL 60 MINUTES OR (next_ts IS NULL AND ts + INTERVAL 60 MINUTES <= {_CLOSED} - INTERVAL 10 MINUTES)""")

@@ -56,23 +56,39 @@ _DAYAHEAD = (
     "Period array<struct<timeInterval: struct<start: string, `end`: string>, resolution: string, "
     "Point: array<struct<position: int, `price.amount`: double>>>>"
 )
-RESOLUTION_SECONDS = {"PT15M": 900, "PT30M": 1800, "PT60M": 3600}
+#: Seconds of the units of an ISO 8601 duration that have a fixed length.
+_UNITS = {"D": 86400, "H": 3600, "M": 60, "S": 1}
+
+
+def duration_seconds(text: Column) -> Column:
+    """Seconds of a duration such as PT15M, PT1H30M or P1D; null for anything else."""
+    parts = [F.coalesce(F.regexp_extract(text, rf"{'T.*?' if unit != 'D' else 'P'}(\d+){unit}", 1).try_cast("bigint"), F.lit(0)) * n
+             for unit, n in _UNITS.items()]
+    return F.when(text.rlike(r"^P(?=.)(\d+D)?(T(?=.)(\d+H)?(\d+M)?(\d+S)?)?$"), parts[0] + parts[1] + parts[2] + parts[3])
+
+
+def _written() -> list[Column]:
+    """When and as what a row's document was written: the later file is the newer document."""
+    return [F.col("_metadata.file_modification_time").alias("written"), F.col("_metadata.file_path").alias("file")]
+
 
 
 def read_dayahead_xml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Points ``zone, ts, price_eur_per_mwh`` of day-ahead price documents, and the periods they cover.
 
-    The place of a point is its position times the resolution of its period. Positions may be left out.
+    The place of a point is its position times the resolution of its period. Positions may be left out. Of several
+    documents that hold a point the newest file counts. Points of a resolution without fixed length have no time.
     """
     series = spark.read.format("xml").schema(_DAYAHEAD).option("rowTag", "TimeSeries").load(path)
-    periods = series.select(F.col("`in_Domain.mRID`._VALUE").alias("zone"), F.explode("Period").alias("p")).select(
-        "zone", _utc(F.col("p.timeInterval.start")).alias("start_ts"), _utc(F.col("p.timeInterval.end")).alias("end_ts"),
+    periods = series.select(F.col("`in_Domain.mRID`._VALUE").alias("zone"), F.explode("Period").alias("p"), *_written()).select(
+        "zone", "written", "file", _utc(F.col("p.timeInterval.start")).alias("start_ts"), _utc(F.col("p.timeInterval.end")).alias("end_ts"),
         F.col("p.resolution").alias("resolution"), F.col("p.Point").alias("points"))
-    step = F.create_map(*[F.lit(x) for pair in RESOLUTION_SECONDS.items() for x in pair])
-    points = periods.select("zone", "start_ts", F.try_element_at(step, "resolution").alias("step"),
+    points = periods.select("zone", "written", "file", "start_ts", duration_seconds(F.col("resolution")).alias("step"),
                             F.explode("points").alias("pt")).select(
-        "zone", shift("start_ts", ((F.col("pt.position") - 1) * F.col("step")).cast("bigint")).alias("ts"),
+        "zone", "written", "file", shift("start_ts", ((F.col("pt.position") - 1) * F.col("step")).cast("bigint")).alias("ts"),
         F.col("pt.`price.amount`").alias("price_eur_per_mwh"))
+    points = points.groupBy("zone", "ts").agg(
+        F.max_by("price_eur_per_mwh", F.struct("written", "file", "price_eur_per_mwh")).alias("price_eur_per_mwh"))
     return points, periods.select("zone", "start_ts", "end_ts").distinct()
 
 
@@ -87,13 +103,16 @@ _WEATHER = "Time string, ParameterName string, ParameterValue string, site_id st
 
 
 def read_forecast_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Hourly forecast, one column per known parameter, from documents under ``site_id=<id>`` folders."""
+    """Hourly forecast, one column per known parameter, from documents under ``site_id=<id>`` folders.
+
+    Of several known values of an hour that of the newest file counts.
+    """
     rows = (spark.read.format("xml").schema(_WEATHER).option("rowTag", "BsWfsElement")
-            .option("ignoreNamespace", True).load(path))
+            .option("ignoreNamespace", True).load(path)).select("*", *_written())
     value = F.col("ParameterValue").try_cast("double")
     known = F.when(~F.isnan(value), value)
     return rows.groupBy("site_id", _utc(F.col("Time")).alias("ts")).agg(*[
-        F.max(F.when(F.col("ParameterName") == name, known)).alias(column) for name, column in FORECAST_PARAMETERS.items()])
+        F.max_by(known, F.when((F.col("ParameterName") == name) & known.isNotNull(), F.struct("written", "file", known))).alias(column) for name, column in FORECAST_PARAMETERS.items()])
 
 
 def read_commands(spark: SparkSession, path: str) -> DataFrame:

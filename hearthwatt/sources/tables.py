@@ -56,7 +56,10 @@ def upsert_stored(spark: SparkSession, updates: DataFrame, path: str, key: Seque
     """Last write wins, in place. ``order`` picks among several updates of one key."""
     if "ts" not in key:
         raise ValueError("the key must hold ts: only the days of the updates are looked at")
-    updates = dedupe(updates, key, order) if order else updates
+    if order:
+        updates = dedupe(updates, key, order)
+    elif updates.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").limit(1).count():
+        raise ValueError("several updates of one key: name the order that picks one")
     stored = read_stored(spark, path)
     if stored is None:
         fresh = updates.withColumns({"created_at": now, "updated_at": now})
@@ -76,8 +79,17 @@ def insert_ignore_stored(spark: SparkSession, updates: DataFrame, path: str, key
 
 
 def append_forecast_run(run: DataFrame, values: DataFrame, root: str) -> None:
-    """Keep a run: values first, then the header that makes them visible to readers that join on it."""
-    values.withColumn(DT, F.col("target_ts").cast("date")).write.mode("append").partitionBy(DT).parquet(f"{root}/forecast_value")
+    """Keep a run: values first, then the header that makes them visible to readers that join on it.
+
+    What is stored of a run already stays as it is, so a repeated run adds nothing.
+    """
+    spark, dated = run.sparkSession, values.withColumn(DT, F.col("target_ts").cast("date"))
+    kept, known = read_stored(spark, f"{root}/forecast_value"), read_stored(spark, f"{root}/forecast_run")
+    if kept is not None:
+        dated = dated.join(kept.select(DT, "run_id").distinct(), [DT, "run_id"], "left_anti")
+    if known is not None:
+        run = run.join(known.select("run_id"), "run_id", "left_anti").select(*run.columns)
+    dated.select(*values.columns, DT).write.mode("append").partitionBy(DT).parquet(f"{root}/forecast_value")
     run.write.mode("append").parquet(f"{root}/forecast_run")
 
 

@@ -30,7 +30,8 @@ def read_rows(spark: SparkSession, path: str, schema: T.StructType, files_per_ba
 
 
 def instant(ts: Column | str) -> Column:
-    return F.timestamp_seconds(epoch_seconds(ts))
+    """Event time to the millisecond, the resolution of timers."""
+    return F.timestamp_millis(epoch_seconds(ts) * 1000 + F.date_format(ts, "SSS").cast("bigint"))
 
 
 def stored(at: Column) -> Column:
@@ -76,7 +77,9 @@ def stream_retained(stream: DataFrame) -> DataFrame:
 def stream_command_state(stream: DataFrame, lateness: str = "10 minutes") -> DataFrame:
     """Mode changes of each site, with the return to ALLOW when a timed prohibition runs out without a new command.
 
-    Rows are ``site_id, ts, mode, cause`` with cause ``command`` or ``timeout``. Append mode; needs RocksDB state.
+    Rows are ``site_id, ts, mode, cause`` with cause ``command`` or ``timeout``. Of the commands of one millisecond a
+    prohibition counts. A late command is reported, but neither mode nor timer goes back behind a newer one. Append
+    mode; needs RocksDB state.
     """
     rows = with_event_time(stream, lateness).select("site_id", EVENT_TIME, F.unix_millis(EVENT_TIME).alias("ms"), "command")
     changes = rows.groupBy("site_id").transformWithStateInPandas(

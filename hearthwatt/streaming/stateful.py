@@ -34,6 +34,7 @@ class AutoRevert(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.pending = handle.getValueState("pending", "until bigint")
+        self.last = handle.getValueState("last", "at bigint")
 
     def _set(self, until: int | None) -> None:
         for timer in list(self.handle.listTimers()):
@@ -46,17 +47,24 @@ class AutoRevert(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         until = self.pending.get()[0] if self.pending.exists() else None
+        last = self.last.get()[0] if self.last.exists() else None
         out = []
         for now, command in sorted((ms, c) for batch in rows for ms, c in zip(batch["ms"], batch["command"]) if c is not None):
             parsed = parse(command)
             if parsed is None:
                 continue
+            mode, minutes = parsed
+            if last is not None and now < last:  # late: a newer command is in force already
+                out.append((key[0], int(now), mode, "command"))
+                continue
+            last = int(now)
             if until is not None and until <= now:
                 out.append((key[0], until, "ALLOW", "timeout"))
-            mode, minutes = parsed
             until = int(now) + minutes * 60_000 if minutes is not None else None
             out.append((key[0], int(now), mode, "command"))
         self._set(until)
+        if last is not None:
+            self.last.update((last,))
         yield pd.DataFrame(out, columns=["site_id", "ms", "mode", "cause"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from hearthwatt.functions import quantities as q, timeparts as t
 from hearthwatt.functions.solar import cloud_factor, cos_incidence, panel_gain, sun_position
-from hearthwatt.operators import averaging, consumption, control, fusion, grid, keyed, pv, quality
+from hearthwatt.operators import averaging, consumption, control, fusion, grid, keyed, planning, pv, quality
 from hearthwatt.schemas import DISPLAY_COLUMNS, FUSION_COLUMNS, PV_PRODUCTION
 
 
@@ -298,7 +299,7 @@ def test_baseline_grades(rows, spark, age, n, want):
 
 def test_stale_snapshot_is_refused():
     quality.require_fresh("weather_fusion_20260218_204423", datetime(2026, 2, 18, 21, 14, 23))
-    with pytest.raises(ValueError, match="older than 30"):
+    with pytest.raises(ValueError, match="at most 30"):
         quality.require_fresh("weather_fusion_20260218_204423", datetime(2026, 2, 18, 21, 14, 24))
 
 
@@ -327,3 +328,27 @@ def test_empty_inputs(rows):
     assert grid.forward_fill(empty, "w", by=["site_id"]).count() == 0
     assert consumption.reference_load(empty, "w").count() == 0
     assert keyed.newest_n(empty, ["site_id"], ["ts"], 3).count() == 0
+
+
+def test_unknown_import_gives_no_advice(rows):
+    net = rows("site_id string, ts timestamp, net_import_w double, price_eur_per_mwh double, temperature_c double, comfort_level string",
+               *[("a", f"2026-03-01 {8 + i // 4:02d}:{i % 4 * 15:02d}:00", None, 50.0 - i, 5.0, "low") for i in range(40)])
+    assert planning.ev_start(net).count() == 0
+    assert {(r["delay_min"], r["saving_eur"]) for r in planning.deferral(net).collect()} == {(0, 0.0)}
+
+
+def test_unknown_load_makes_the_rest_unknown(rows, spark):
+    load = rows("site_id string, ts timestamp, net_load_w double",
+                *[("a", f"2026-03-01 {i // 4:02d}:{i % 4 * 15:02d}:00", None if i == 4 else 1000.0) for i in range(1, 9)])
+    soc = spark.createDataFrame([("a", 50.0)], "site_id string, soc_pct double")
+    got = planning.battery_forecast(load, soc, planning.BATTERY_DEFAULTS, "2026-03-01 00:00:00").orderBy("target_ts").collect()
+    assert all(r["soc_p50"] < 50.0 for r in got[:3]) and all(r["soc_p50"] is None and r["discharge_power_w"] is None for r in got[3:])
+
+
+def test_draws_of_events_are_independent():
+    steps, i = planning.event_steps(4), np.arange(1000)
+    hits = [(i * step) % 1.0 < 0.2 for step in steps]
+    for a in range(4):
+        assert abs(hits[a].mean() - 0.2) < 0.01
+        for b in range(a):
+            assert abs((hits[a] & hits[b]).mean() - 0.04) < 0.015

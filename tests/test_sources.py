@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearthwatt.functions.timeparts import ts_lit
-from hearthwatt.schemas import COMMANDS, INVERTER_DOC, WEATHER_DOC
+from hearthwatt.schemas import COMMANDS, FORECAST_PARAMETERS, INVERTER_DOC, WEATHER_DOC
 from hearthwatt.sources import landing, shared, snapshots, tables
 
 PRICES_XML = """<?xml version="1.0" encoding="UTF-8"?>
@@ -123,7 +123,7 @@ def test_snapshots(spark, tmp_path):
     assert version == "weather_fusion_20260301_103000"
     assert snapshots.read_latest(spark, root).first()["i"] == 1
     assert snapshots.read_latest(spark, root, now=datetime(2026, 3, 1, 10, 45)).count() == 1
-    with pytest.raises(ValueError, match="older"):
+    with pytest.raises(ValueError, match="at most"):
         snapshots.read_latest(spark, root, now=datetime(2026, 3, 1, 10, 46))
     names = [snapshots.version_name(m) for m in made[:2]]
     assert snapshots.drop_versions(spark, root, names) == 1
@@ -163,6 +163,50 @@ def test_forecast_runs_are_kept(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "forecast_value")).join(spark.read.parquet(str(tmp_path / "forecast_run")), "run_id").count() == 2
 
 
+def test_a_repeated_run_adds_nothing(spark, tmp_path):
+    run = spark.createDataFrame([("r", "a")], "run_id string, site_id string")
+    values = spark.createDataFrame([("r", datetime(2026, 3, 1, h), 1.0) for h in range(4)], "run_id string, target_ts timestamp_ntz, yhat_p50 double")
+    for _ in range(2):
+        tables.append_forecast_run(run, values, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "forecast_value")).count() == 4
+    assert spark.read.parquet(str(tmp_path / "forecast_run")).count() == 1
+
+
+def test_upsert_refuses_two_updates_of_a_key(spark, tmp_path):
+    twice = rows(spark, ("Z", datetime(2026, 3, 1), 1.0), ("Z", datetime(2026, 3, 1), 2.0))
+    with pytest.raises(ValueError, match="several updates"):
+        tables.upsert_stored(spark, twice, str(tmp_path / "t"), ["zone", "ts"], ts_lit("2026-03-04 00:00:00"))
+
+
+def test_durations(spark):
+    texts = ["PT15M", "PT60M", "PT1H", "P1D", "PT1H30M", "P1DT2H", "PT7M", "P", "PT", "P1M", "x", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(landing.duration_seconds(F.col("t")).alias("s")).collect()
+    assert [r["s"] for r in got] == [900, 3600, 3600, 86400, 5400, 93600, 420, None, None, None, None, None]
+
+
+def test_the_newest_document_counts(spark, tmp_path):
+    import os
+
+    for age, name, price, wind in ((200, "z", 9.0, 5.0), (100, "a", 3.0, 3.0)):
+        day = tmp_path / "price" / f"{name}.xml"
+        day.parent.mkdir(exist_ok=True)
+        day.write_text(f"""<D><TimeSeries><in_Domain.mRID>Z</in_Domain.mRID><Period><timeInterval><start>2026-03-01T00:00Z</start>
+<end>2026-03-01T01:00Z</end></timeInterval><resolution>PT1H</resolution><Point><position>1</position><price.amount>{price}</price.amount></Point>
+</Period></TimeSeries></D>""")
+        hour = tmp_path / "weather" / "site_id=a" / f"{name}.xml"
+        hour.parent.mkdir(parents=True, exist_ok=True)
+        parameter = next(iter(FORECAST_PARAMETERS))
+        hour.write_text(f"""<C><BsWfsElement><Time>2026-03-01T00:00:00Z</Time><ParameterName>{parameter}</ParameterName>
+<ParameterValue>{wind}</ParameterValue></BsWfsElement></C>""")
+        for path in (day, hour):
+            os.utime(path, (1_700_000_000 - age, 1_700_000_000 - age))
+    points, periods = landing.read_dayahead_xml(spark, str(tmp_path / "price"))
+    assert [r["price_eur_per_mwh"] for r in points.collect()] == [3.0]
+    assert [r["price_eur_per_mwh"] for r in landing.fill_dayahead(points, periods).collect()] == [3.0] * 4
+    [forecast] = landing.read_forecast_xml(spark, str(tmp_path / "weather")).collect()
+    assert forecast[FORECAST_PARAMETERS[next(iter(FORECAST_PARAMETERS))]] == 3.0
+
+
 def test_commands_round_trip(spark, tmp_path):
     path = str(tmp_path / "commands")
     sent = spark.createDataFrame([("a", datetime(2026, 3, 29, 3, 30), "ALLOW")], COMMANDS)

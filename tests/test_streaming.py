@@ -119,3 +119,16 @@ def test_outbox_hands_over_each_row_once(spark, tmp_path):
     for _ in range(2):
         jobs.start_outbox(stream, lambda batch: sent.append(batch.count()), f"{tmp_path}/cp4").awaitTermination()
     assert sent == [20, 20]
+
+
+def test_a_late_command_does_not_go_back(spark, tmp_path):
+    at = lambda m, ms=0: T0 + timedelta(minutes=m, milliseconds=ms)
+    data = [(0, "a", at(60), "PROHIBIT_30"), (1, "a", at(58), "ALLOW"), (0, "b", at(60, 100), "PROHIBIT"), (0, "b", at(60, 200), "ALLOW"),
+            (1, "b", at(59), "PROHIBIT_5"), (2, "end", at(300), "ALLOW")]
+    frame = spark.createDataFrame(data, "minute int, site_id string, ts timestamp_ntz, command string")
+    stream = land(spark, frame, tmp_path, [(0, 1), (1, 2), (2, 3)])
+    got = with_custom_state(spark, lambda: run(spark, jobs.stream_command_state(stream), tmp_path)).collect()
+    assert sorted((r["ts"], r["mode"], r["cause"]) for r in got if r["site_id"] == "a") == [
+        (at(58), "ALLOW", "command"), (at(60), "PROHIBIT", "command"), (at(90), "ALLOW", "timeout")]
+    assert [(r["ts"], r["mode"]) for r in sorted(got, key=lambda r: r["ts"]) if r["site_id"] == "b"] == [
+        (at(59), "PROHIBIT"), (at(60, 100), "PROHIBIT"), (at(60, 200), "ALLOW")]
