@@ -123,8 +123,8 @@ PV_DEFAULTS = {
     "diffuse_floor": 0.15,
     "min_elevation_deg": -3.0,
     "max_pv_w": 41900.0,
-    "lat": 60.32128967082279,
-    "lon": 24.87694349774082,
+    "lat": 60.0,
+    "lon": 25.0,
     "band_base": 0.15,
     "band_cloud": 0.35,
     "model_name": "pv_radiation_cloud_ratio",
@@ -137,7 +137,7 @@ PV_PRODUCTION = {
     "min_train_samples": 24,
     "bootstrap_ratio": 35.0,
     "cloud_floor": 0.70,
-    "model_version": "v3_aoi_roof_cap_tuned_20260323",
+    "model_version": "v3_aoi_roof_cap_tuned",
 }
 BASELINE_DEFAULTS = {
     "train_days": 14,
