@@ -22,6 +22,7 @@ from ..operators.pv import pv_forecast
 from ..operators.quality import row_parity
 from ..schemas import ALLOWED_AVERAGES, BASELINE_DEFAULTS, FORECAST_COLUMNS, PV_PRODUCTION, TELEMETRY
 from . import landing, snapshots, tables
+from .shared import run_folder
 
 
 def import_archives(spark: SparkSession, inbox: str, root: str, processed: str | None = None) -> None:
@@ -35,12 +36,23 @@ def import_archives(spark: SparkSession, inbox: str, root: str, processed: str |
 
 
 def import_station_means(spark: SparkSession, root: str, now: datetime, cols: Sequence[str] = tuple(ALLOWED_AVERAGES),
-                         hours: int = 24) -> DataFrame:
-    """Every quarter hour: means of the complete slots of the last hours, upserted. Returns the rows off the grid."""
+                         hours: int = 24, late_days: int = 14) -> DataFrame:
+    """Every quarter hour: means of the complete slots of the last hours, upserted. Returns the rows off the grid.
+
+    A site's day of the last ``late_days`` that has raw rows but no means yet, such as a late archive, is averaged too.
+    """
     start = now.replace(minute=0, second=0, microsecond=0) - timedelta(hours=hours)
     end = now.replace(minute=now.minute - now.minute % 15, second=0, microsecond=0)
-    raw = spark.read.parquet(f"{root}/telemetry_raw").filter(
-        (F.col("dt") >= ts_lit(start).cast("date")) & (F.col("ts") >= ts_lit(start)) & (F.col("ts") < ts_lit(end)))
+    first = ts_lit(start - timedelta(days=late_days)).cast("date")
+    raw = spark.read.parquet(f"{root}/telemetry_raw").filter((F.col("dt") >= first) & (F.col("ts") < ts_lit(end)))
+    late, stored = raw.select("site_id", "dt").distinct(), tables.read_stored(spark, f"{root}/station_15min")
+    if stored is not None:
+        late = late.join(stored.filter(F.col("dt") >= first).select("site_id", "dt").distinct(), ["site_id", "dt"], "left_anti")
+    days = run_folder(spark, "late-days")  # kept: the upsert replaces the files that this was read from
+    late.write.parquet(days)
+    late = spark.read.schema(late.schema).parquet(days)
+    raw = raw.join(late.withColumn("_late", F.lit(True)), ["site_id", "dt"], "left") \
+        .filter((F.col("ts") >= ts_lit(start)) | F.col("_late")).drop("_late")
     good, quarantine = split_aligned(avg_15min(raw, cols).drop("rows_used"))
     tables.upsert_stored(spark, good, f"{root}/station_15min", ["site_id", "ts"], ts_lit(now))
     return quarantine

@@ -79,3 +79,11 @@ def test_jobs(spark, tmp_path):
     assert report == {"station_freshness": "ok", "forecast_horizon": "ok", "baseline_forecast": "ok", "price_coverage": "ok"}
     assert readable(spark, "prices", lambda: spark.read.parquet(f"{root}/prices")).first()["status"] == "ok"
     assert readable(spark, "none", lambda: spark.read.parquet(f"{root}/none")).first()["status"] == "error"
+
+    # An archive that lands three days late is averaged as well, once.
+    late = raw.withColumn("ts", F.timestamp_add("DAY", F.lit(-3), F.col("ts"))).filter(F.col("ts") < ts_lit(start - timedelta(days=3) + timedelta(hours=2)))
+    late.write.mode("append").parquet(inbox)
+    for _ in range(2):
+        imports.import_archives(spark, inbox, root)
+        imports.import_station_means(spark, root, NOW)
+        assert spark.read.parquet(f"{root}/station_15min").count() == 96 + 8
