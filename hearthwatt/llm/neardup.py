@@ -168,7 +168,9 @@ def _tiles(percent: int):
         same = common_counts(xs, x_at, ys, y_at)
         union = np.diff(x_at)[:, None] + np.diff(y_at)[None, :] - same
         i, j = np.nonzero((100 * same >= percent * union) & (ca[:, None] != cb[None, :]))
-        _, first = np.unique(np.minimum(ca[i], cb[j]) << 32 ^ np.maximum(ca[i], cb[j]), return_index=True)
+        _, low_at = np.unique(np.minimum(ca[i], cb[j]), return_inverse=True)
+        names, high_at = np.unique(np.maximum(ca[i], cb[j]), return_inverse=True)
+        _, first = np.unique(low_at * len(names) + high_at, return_index=True)
         return pd.DataFrame({"a": np.minimum(a[i], b[j])[first], "b": np.maximum(a[i], b[j])[first]})
     return run
 
