@@ -10,15 +10,19 @@ large share of all rows. Here the time line is cut into chunks of fixed length a
 * *halo*: rows near a border are copied into the neighbouring chunk. Used when the frame has a bounded length.
 
 Both are exact. Rows are expected to be unique per ``(by, ts)``; see ``keyed.dedupe``.
+
+A row without a site or without a time has no place on any time line: it is kept, gets NULL for what others would give
+it, and gives nothing to others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.timeparts import epoch_seconds, with_slot
+from ..functions.timeparts import epoch_seconds, ts_lit
 
 CHUNK = "_chunk"
 AT = "_at"
@@ -27,11 +31,24 @@ MINUTE, HOUR, DAY = 60, 3600, 86400
 # they are cut by the minute and the minutes by the day.
 SLOTS = (DAY,)
 RAW = (MINUTE, DAY)
+# Rows without a time are dealt to so many days from the year 1 on, so that they do not meet in one task.
+UNTIMED = 4096
+
+
+def placed(by: Sequence[str], ts: str) -> Column:
+    """Whether a row has a place on a time line."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*by, ts)])
+
+
+def _dealt(df: DataFrame) -> Column:
+    """A number below ``UNTIMED`` out of a row's columns; maps cannot be hashed."""
+    return F.pmod(F.xxhash64(*[f.name for f in df.schema if "map<" not in f.dataType.simpleString()]), F.lit(UNTIMED))
 
 
 def with_chunk(df: DataFrame, ts: str, length: int = DAY) -> DataFrame:
     """Add the chunk a row lies in; ``length`` is in seconds."""
-    return with_slot(df, ts, f"{length} seconds", CHUNK)
+    at = F.coalesce(F.col(ts), F.timestamp_add("DAY", _dealt(df), ts_lit("0001-01-01 00:00:00")))
+    return df.withColumn(CHUNK, F.window(at, f"{length} seconds").getField("start"))
 
 
 def neighbours(df: DataFrame, by: Sequence[str], ts: str, prev: Mapping[str, str] | None = None,
@@ -42,12 +59,12 @@ def neighbours(df: DataFrame, by: Sequence[str], ts: str, prev: Mapping[str, str
     """
     prev, following = dict(prev or {}), dict(following or {})
     if not lengths:
-        whole = Window.partitionBy(*by).orderBy(ts)
-        return df.select(*df.columns, *[F.lag(src).over(whole).alias(name) for name, src in prev.items()],
-                         *[F.lead(src).over(whole).alias(name) for name, src in following.items()])
+        whole = Window.partitionBy(*by, F.col(ts).isNull()).orderBy(ts)
+        return df.select(*df.columns, *[F.when(placed(by, ts), F.lag(src).over(whole)).alias(name) for name, src in prev.items()],
+                         *[F.when(placed(by, ts), F.lead(src).over(whole)).alias(name) for name, src in following.items()])
     key = [*by, CHUNK]
     chunked = with_chunk(df, ts, lengths[0])
-    edges = chunked.groupBy(*key).agg(
+    edges = chunked.filter(placed(by, ts)).groupBy(*key).agg(
         F.min(ts).alias("_min_ts"),
         *[F.max_by(src, ts).alias(f"_last_{name}") for name, src in prev.items()],
         *[F.min_by(src, ts).alias(f"_first_{name}") for name, src in following.items()],
@@ -58,11 +75,11 @@ def neighbours(df: DataFrame, by: Sequence[str], ts: str, prev: Mapping[str, str
     inside = Window.partitionBy(*key).orderBy(ts)
     has_prev = F.lag(ts).over(inside).isNotNull()
     has_next = F.lead(ts).over(inside).isNotNull()
-    return chunked.join(edges, key).select(
+    return chunked.join(edges, key, "left").select(
         *df.columns,
-        *[F.when(has_prev, F.lag(src).over(inside)).otherwise(F.col(f"_before_{name}")).alias(name)
+        *[F.when(placed(by, ts), F.when(has_prev, F.lag(src).over(inside)).otherwise(F.col(f"_before_{name}"))).alias(name)
           for name, src in prev.items()],
-        *[F.when(has_next, F.lead(src).over(inside)).otherwise(F.col(f"_after_{name}")).alias(name)
+        *[F.when(placed(by, ts), F.when(has_next, F.lead(src).over(inside)).otherwise(F.col(f"_after_{name}"))).alias(name)
           for name, src in following.items()],
     )
 
@@ -72,19 +89,20 @@ def last_before(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, st
     """Newest non-NULL value of earlier rows, the row itself left out."""
     order = [ts] if tie is None else [ts, tie]
     if not lengths:
-        earlier = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.select(*df.columns, *[F.last(src, ignorenulls=True).over(earlier).alias(name) for name, src in cols.items()])
+        earlier = Window.partitionBy(*by, F.col(ts).isNull()).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select(*df.columns, *[F.when(placed(by, ts), F.last(src, ignorenulls=True).over(earlier)).alias(name)
+                                        for name, src in cols.items()])
     key = [*by, CHUNK]
     chunked = with_chunk(df, ts, lengths[0])
-    edges = chunked.groupBy(*key).agg(*[
+    edges = chunked.filter(placed(by, ts)).groupBy(*key).agg(*[
         F.max_by(src, F.when(F.col(src).isNotNull(), F.col(ts))).alias(f"_last_{name}") for name, src in cols.items()
     ]).withColumnRenamed(CHUNK, AT)
     edges = last_before(edges, by, AT, {f"_carry_{name}": f"_last_{name}" for name in cols}, lengths[1:])
     edges = edges.select(*by, F.col(AT).alias(CHUNK), *[f"_carry_{name}" for name in cols])
     earlier = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return chunked.join(edges, key).select(
+    return chunked.join(edges, key, "left").select(
         *df.columns,
-        *[F.coalesce(F.last(src, ignorenulls=True).over(earlier), F.col(f"_carry_{name}")).alias(name)
+        *[F.when(placed(by, ts), F.coalesce(F.last(src, ignorenulls=True).over(earlier), F.col(f"_carry_{name}"))).alias(name)
           for name, src in cols.items()],
     )
 
@@ -102,20 +120,20 @@ def fill_forward(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, s
 def total_before(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, str], lengths: Sequence[int] = SLOTS) -> DataFrame:
     """Sum over earlier rows, the row itself left out; NULL in the first row."""
     if not lengths:
-        earlier = Window.partitionBy(*by).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
-        return df.select(*df.columns, *[F.sum(src).over(earlier).alias(name) for name, src in cols.items()])
+        earlier = Window.partitionBy(*by, F.col(ts).isNull()).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select(*df.columns, *[F.when(placed(by, ts), F.sum(src).over(earlier)).alias(name) for name, src in cols.items()])
     key = [*by, CHUNK]
     chunked = with_chunk(df, ts, lengths[0])
-    edges = chunked.groupBy(*key).agg(*[F.sum(src).alias(f"_total_{name}") for name, src in cols.items()]).withColumnRenamed(CHUNK, AT)
+    edges = chunked.filter(placed(by, ts)).groupBy(*key).agg(*[F.sum(src).alias(f"_total_{name}") for name, src in cols.items()]).withColumnRenamed(CHUNK, AT)
     edges = total_before(edges, by, AT, {f"_carry_{name}": f"_total_{name}" for name in cols}, lengths[1:])
     edges = edges.select(*by, F.col(AT).alias(CHUNK), *[f"_carry_{name}" for name in cols])
     earlier = Window.partitionBy(*key).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
 
     def added(name: str, src: str) -> Column:
         inner, carry = F.sum(src).over(earlier), F.col(f"_carry_{name}")
-        return F.coalesce(inner + carry, inner, carry).alias(name)
+        return F.when(placed(by, ts), F.coalesce(inner + carry, inner, carry)).alias(name)
 
-    return chunked.join(edges, key).select(*df.columns, *[added(name, src) for name, src in cols.items()])
+    return chunked.join(edges, key, "left").select(*df.columns, *[added(name, src) for name, src in cols.items()])
 
 
 def running_total(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str, str], lengths: Sequence[int] = SLOTS) -> DataFrame:
@@ -126,20 +144,25 @@ def running_total(df: DataFrame, by: Sequence[str], ts: str, cols: Mapping[str,
         (F.coalesce(f"_prior_{name}", zero) + F.coalesce(src, zero)).alias(name) for name, src in cols.items()])
 
 
-def with_halo(df: DataFrame, ts: str, before_seconds: int, after_seconds: int, length: int = DAY) -> DataFrame:
+def with_halo(df: DataFrame, ts: str, before_seconds: int, after_seconds: int, length: int = DAY,
+              keep_untimed: bool = False) -> DataFrame:
     """Copy each row into every chunk whose rows can see it.
 
     A row at ``u`` sees ``[u - before, u + after]``. The column ``_home`` is true on the one copy that lies in the
     row's own chunk; keep only those after the window. With chunks longer than the frame a row has two or three
-    copies at most, and most have one.
+    copies at most, and most have one. A row without a time sees nothing; it goes unless ``keep_untimed`` is set.
     """
     seconds = epoch_seconds(ts)
 
     def chunk_of(at: Column) -> Column:
         return F.floor(at / F.lit(float(length)))
 
-    copies = F.explode(F.sequence(chunk_of(seconds - after_seconds), chunk_of(seconds + before_seconds)))
-    spread = df.filter(F.col(ts).isNotNull()).select(*df.columns, chunk_of(seconds).alias("_own"), copies.alias(CHUNK))
+    reached, own = F.sequence(chunk_of(seconds - after_seconds), chunk_of(seconds + before_seconds)), chunk_of(seconds)
+    if keep_untimed:
+        nowhere = F.lit(-1 << 40) - _dealt(df)
+        reached, own = F.coalesce(reached, F.array(nowhere)), F.coalesce(own, nowhere)
+    rows = df if keep_untimed else df.filter(F.col(ts).isNotNull())
+    spread = rows.select(*df.columns, own.alias("_own"), F.explode(reached).alias(CHUNK))
     return spread.select(*df.columns, CHUNK, (F.col(CHUNK) == F.col("_own")).alias("_home"))
 
 

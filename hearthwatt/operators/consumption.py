@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.timeparts import epoch_seconds, local_date
 from ..schemas import COMPONENT_DEFAULTS
-from .chunked import CHUNK, DAY, home_rows, with_chunk, with_halo
+from .chunked import CHUNK, DAY, home_rows, placed, with_chunk, with_halo
 
 COMPONENTS = ("total_actual_w", "baseline_actual_w", "ev_actual_w", "sauna_actual_w", "other_actual_w")
 SLOT_HOURS = 0.25
@@ -32,26 +32,28 @@ def reference_load(df: DataFrame, col: str = "total_actual_w", half_window_hours
     """Median load within ``half_window_hours`` on either side of each slot, as ``reference_w``.
 
     The frame is in time, so on a full grid it is the same number of slots on either side and a hole in the data
-    does not make it reach further. At most 193 quarter hours enter a median by default.
+    does not make it reach further. At most 193 quarter hours enter a median by default. A row without a site or a time
+    has no reference.
     """
     half = half_window_hours * 3600
-    copies = with_halo(df, "ts", half, half, length)
+    copies = with_halo(df, "ts", half, half, length, keep_untimed=True)
     reach = f"INTERVAL {half_window_hours} HOURS"
     frame = f"PARTITION BY {', '.join([*by, CHUNK])} ORDER BY ts RANGE BETWEEN {reach} PRECEDING AND {reach} FOLLOWING"
-    return home_rows(copies.withColumn("reference_w", F.expr(f"percentile({col}, 0.5D) OVER ({frame})")))
+    median = F.expr(f"percentile({col}, 0.5D) OVER ({frame})")
+    return home_rows(copies.withColumn("reference_w", F.when(placed(by, "ts"), median)))
 
 
 def classify_excess(df: DataFrame, p: Mapping[str, Any] = COMPONENT_DEFAULTS) -> DataFrame:
     """Split the load over its reference into one of the event classes; the rest is baseline.
 
-    The first matching class takes the whole excess, so the parts always add up to the total.
+    The first matching class takes the whole excess, so the parts always add up to the total. Without a reference they are unknown.
     """
     excess = F.greatest(F.col("total_actual_w") - F.col("reference_w"), F.lit(0.0))
     event = (F.when(excess.between(p["ev_min_w"], p["ev_max_w"]), F.lit("ev"))
              .when(excess.between(p["sauna_min_w"], p["sauna_max_w"]), F.lit("sauna"))
              .when(excess > p["other_min_w"], F.lit("other"))
              .otherwise(F.lit("none")))
-    known = F.col("total_actual_w").isNotNull()
+    known = F.col("total_actual_w").isNotNull() & F.col("reference_w").isNotNull()
     out = df.withColumn("_excess", F.when(known, excess)).withColumn("event_class", F.when(known, event))
 
     def part(name: str) -> Column:
@@ -68,7 +70,7 @@ def event_islands(df: DataFrame, cls: str = "event_class", by: Sequence[str] = (
     """Number runs of consecutive slots of one class, per site from 1, as ``event_id``.
 
     A run ends when the class changes or a slot is missing. Runs are counted per chunk; a row per chunk carries its
-    first and last slot and its count across the border.
+    first and last slot and its count across the border. A row without a site or a time is in no run.
     """
     key = [*by, CHUNK]
     inside = Window.partitionBy(*key).orderBy("ts")
@@ -77,7 +79,7 @@ def event_islands(df: DataFrame, cls: str = "event_class", by: Sequence[str] = (
     changed = (~F.lag(cls).over(inside).eqNullSafe(F.col(cls))) | (seconds - F.lag(seconds).over(inside) > step_seconds)
     local = chunked.withColumn("_breaks", F.when(F.lag("ts").over(inside).isNull(), 0).otherwise(changed.cast("int")))
 
-    edges = local.groupBy(*key).agg(
+    edges = local.filter(placed(by, "ts")).groupBy(*key).agg(
         F.sum("_breaks").alias("_inner"), F.min("ts").alias("_from"), F.max("ts").alias("_to"),
         F.min_by(cls, "ts").alias("_first"), F.max_by(cls, "ts").alias("_last"))
     across = Window.partitionBy(*by).orderBy(CHUNK)
@@ -88,8 +90,8 @@ def event_islands(df: DataFrame, cls: str = "event_class", by: Sequence[str] = (
     edges = edges.select(*key, (F.coalesce(F.sum(F.col("_inner") + F.col("_starts")).over(before), F.lit(0))
                                 + F.col("_starts")).alias("_base"))
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
-    return local.join(edges, key).select(
-        *df.columns, (F.col("_base") + F.sum("_breaks").over(so_far)).cast("bigint").alias("event_id"))
+    number = (F.col("_base") + F.sum("_breaks").over(so_far)).cast("bigint")
+    return local.join(edges, key, "left").select(*df.columns, F.when(placed(by, "ts"), number).alias("event_id"))
 
 
 def consumption_components(df: DataFrame, p: Mapping[str, Any] = COMPONENT_DEFAULTS) -> DataFrame:

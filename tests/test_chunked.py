@@ -198,3 +198,27 @@ def test_components_add_up(spark, data):
             assert parts == [None] * 4
         else:
             assert sum(parts) == pytest.approx(row["total_actual_w"]) and all(p >= 0 for p in parts)
+
+
+@pytest.mark.parametrize("lengths", LENGTHS)
+def test_rows_without_site_or_time_stay_and_give_nothing(spark, data, lengths):
+    lost = [("hot", None, 7.0, "x"), ("hot", None, 8.0, "x"), (None, START, 9.0, "y"), (None, START + timedelta(minutes=15), None, "y"), (None, None, 5.0, None)]
+    clean, mixed = frame(spark, data), frame(spark, data + lost)
+    for run, column in ((lambda df: chunked.neighbours(df, ["site_id"], "ts", {"out": "w"}, {"after": "w"}, lengths), "out"),
+                        (lambda df: chunked.last_before(df, ["site_id"], "ts", {"out": "w"}, lengths), "out"),
+                        (lambda df: chunked.total_before(df, ["site_id"], "ts", {"out": "w"}, lengths), "out")):
+        got, want = (sorted(repr((r["site_id"], r["ts"], r["w"], r["out"] and round(r["out"], 4))) for r in run(df).collect())
+                     for df in (mixed, clean))
+        assert got == sorted(want + [repr((site, ts, w, None)) for site, ts, w, _ in lost])
+    filled = chunked.fill_forward(mixed, ["site_id"], "ts", {"out": "w"}, lengths).filter("site_id IS NULL OR ts IS NULL")
+    assert sorted(repr(r["out"]) for r in filled.collect()) == sorted(repr(w) for _, _, w, _ in lost)
+
+
+def test_components_keep_rows_without_site_or_time(spark, data):
+    lost = [("hot", None, 7.0, "x"), (None, START, 9.0, "y"), (None, None, 5.0, None)]
+    loads = lambda rows: frame(spark, rows).withColumnRenamed("w", "total_actual_w")
+    got, want = (consumption.consumption_components(loads(rows)).collect() for rows in (data + lost, data))
+    unplaced = [r for r in got if r["site_id"] is None or r["ts"] is None]
+    assert len(got) == len(want) + len(lost) and len(unplaced) == len(lost)
+    assert all(r["total_actual_w"] and r["event_id"] is None and r["baseline_actual_w"] is None for r in unplaced)
+    assert sorted(map(repr, (r for r in got if r not in unplaced))) == sorted(map(repr, want))
