@@ -97,9 +97,9 @@ def export_fusion(spark: SparkSession, root: str, sites: DataFrame, now: datetim
     if not row_parity(series, spark.read.parquet(f"{exports}/{version}")).first()["parity"]:
         raise ValueError(f"snapshot {version} differs from its source and is not published")
     snapshots.publish_latest(spark, exports, version, now)
-    published = spark.read.parquet(f"{exports}/{snapshots.POINTER}").select(
-        F.lit("export").alias("kind"), "version", F.col("published_at").alias("created_at"), F.lit(1).alias("size_bytes"))
-    old = snapshots.retention(published, keep).select("version").distinct()
+    published = snapshots.published(spark, exports).select(
+        F.lit("export").alias("kind"), "version", F.col("published_at").alias("created_at"), "size_bytes")
+    old = snapshots.retention(published, keep, min_bytes=1).select("version").distinct()
     snapshots.drop_versions(spark, exports, (row["version"] for row in old.toLocalIterator()))
     return version
 

@@ -13,6 +13,18 @@ def shared_root(spark: SparkSession) -> str:
     return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder; false if it was not there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True))
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files under a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return int(at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength())
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run."""
     return f"{shared_root(spark)}/hearthwatt/{name}-{uuid.uuid4().hex}"

@@ -11,6 +11,7 @@ from ..functions.timeparts import ts_lit
 from ..operators.chunked import spread_join
 from ..operators.keyed import newest_n
 from ..operators.quality import require_fresh
+from .shared import remove, stored_bytes
 
 POINTER = "_latest"
 
@@ -27,13 +28,21 @@ def export_snapshot(df: DataFrame, root: str, now: datetime, prefix: str = "weat
 
 
 def publish_latest(spark: SparkSession, root: str, version: str, now: datetime) -> None:
-    """Make a version the newest. The pointer is a log of one row per publication, so no reader finds it missing."""
-    one = spark.range(1).select(F.lit(version).alias("version"), ts_lit(now).alias("published_at"))
-    one.coalesce(1).write.mode("append").parquet(f"{root}/{POINTER}")
+    """Make a version the newest. The pointer is a log of one row per publication, so no reader finds it missing; the
+    rows of a version lie in a folder of their own and go with it."""
+    size = stored_bytes(spark, f"{root}/{version}")
+    one = spark.range(1).select(F.lit(version).alias("version"), ts_lit(now).alias("published_at"), F.lit(size).cast("long").alias("size_bytes"))
+    one.coalesce(1).write.mode("append").partitionBy("version").parquet(f"{root}/{POINTER}")
+
+
+def published(spark: SparkSession, root: str) -> DataFrame:
+    """The log: ``version, published_at, size_bytes``. Rows of versions that are dropped meanwhile are left out."""
+    return spark.read.schema("version string, published_at timestamp_ntz, size_bytes long") \
+        .option("ignoreMissingFiles", True).parquet(f"{root}/{POINTER}")
 
 
 def latest_version(spark: SparkSession, root: str) -> str:
-    row = spark.read.parquet(f"{root}/{POINTER}").agg(F.max_by("version", F.struct("published_at", "version"))).first()
+    row = published(spark, root).agg(F.max_by("version", F.struct("published_at", "version"))).first()
     return row[0]
 
 
@@ -65,12 +74,11 @@ def prune_older_than(df: DataFrame, now: Column, hours: int = 24) -> DataFrame:
 
 
 def drop_versions(spark: SparkSession, root: str, versions: Iterable[str]) -> int:
-    """Delete version folders, except the one that is published."""
+    """Delete version folders and what the log says of them, except the one that is published."""
     current = latest_version(spark, root)
-    hadoop = spark._jvm.org.apache.hadoop.fs
     dropped = 0
     for version in versions:
         if version != current:
-            path = hadoop.Path(f"{root}/{version}")
-            dropped += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+            remove(spark, f"{root}/{POINTER}/version={version}")
+            dropped += remove(spark, f"{root}/{version}")
     return dropped

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.timeparts import between_dates
 from ..operators.keyed import dedupe, upsert
-from .shared import run_folder
+from .shared import remove, run_folder
 
 DT = "dt"
 
@@ -41,14 +41,25 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 def _replace_days(spark: SparkSession, merged: DataFrame, path: str) -> None:
     """Put the rebuilt days in place. They are written aside first: a folder cannot be read and replaced in one job."""
-    staging = run_folder(spark, "staging")
-    merged.write.parquet(staging)
-    write_partitioned(spark.read.parquet(staging).drop(DT), path, mode="overwrite")
+    staging, rebuilt = _aside(spark, merged)
+    write_partitioned(rebuilt.drop(DT), path, mode="overwrite")
+    remove(spark, staging)
+
+
+def _aside(spark: SparkSession, df: DataFrame) -> tuple[str, DataFrame]:
+    """A copy in the shared folder, so that what it is made of is computed once; to be removed after use."""
+    folder = run_folder(spark, "staging")
+    df.write.parquet(folder)
+    return folder, spark.read.schema(df.schema).parquet(folder)
 
 
 def _touched(stored: DataFrame, updates: DataFrame) -> DataFrame:
-    """Stored rows of the days that the updates reach; the join prunes partitions at run time."""
-    return stored.join(with_day(updates).select(DT).distinct(), DT, "left_semi")
+    """Stored rows of the days that the updates reach. The first and the last day are literals, so only partitions
+    between them, and the one of rows without a time, are listed and read."""
+    days = with_day(updates).select(F.col(DT).alias("_day")).distinct()
+    first, last = days.agg(F.min("_day"), F.max("_day")).first()
+    near = F.col(DT).isNull() if first is None else F.col(DT).isNull() | F.col(DT).between(F.lit(first), F.lit(last))
+    return stored.filter(near).join(days, F.col(DT).eqNullSafe(F.col("_day")), "left_semi")
 
 
 def upsert_stored(spark: SparkSession, updates: DataFrame, path: str, key: Sequence[str], now: Column,
@@ -56,16 +67,17 @@ def upsert_stored(spark: SparkSession, updates: DataFrame, path: str, key: Seque
     """Last write wins, in place. ``order`` picks among several updates of one key."""
     if "ts" not in key:
         raise ValueError("the key must hold ts: only the days of the updates are looked at")
-    if order:
-        updates = dedupe(updates, key, order)
-    elif updates.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").limit(1).count():
-        raise ValueError("several updates of one key: name the order that picks one")
-    stored = read_stored(spark, path)
-    if stored is None:
-        fresh = updates.withColumns({"created_at": now, "updated_at": now})
-        write_partitioned(fresh, path)
-        return
-    _replace_days(spark, upsert(_touched(stored, updates).drop(DT), updates, key, now), path)
+    staging, updates = _aside(spark, dedupe(updates, key, order) if order else updates)
+    try:
+        if not order and updates.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").limit(1).count():
+            raise ValueError("several updates of one key: name the order that picks one")
+        stored = read_stored(spark, path)
+        if stored is None:
+            write_partitioned(updates.withColumns({"created_at": now, "updated_at": now}), path)
+        else:
+            _replace_days(spark, upsert(_touched(stored, updates).drop(DT), updates, key, now), path)
+    finally:
+        remove(spark, staging)
 
 
 def insert_ignore_stored(spark: SparkSession, updates: DataFrame, path: str, key: Sequence[str], order: Sequence[str]) -> None:
@@ -74,8 +86,10 @@ def insert_ignore_stored(spark: SparkSession, updates: DataFrame, path: str, key
     if stored is None:
         write_partitioned(dedupe(updates, key, order, keep="first"), path)
         return
+    staging, updates = _aside(spark, updates)
     new = updates.join(_touched(stored, updates).select(*key), list(key), "left_anti")
     write_partitioned(dedupe(new, key, order, keep="first"), path)
+    remove(spark, staging)
 
 
 def append_forecast_run(run: DataFrame, values: DataFrame, root: str) -> None:

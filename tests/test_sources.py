@@ -232,3 +232,30 @@ def test_archives_are_moved_when_imported(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared.shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_upserts_read_only_the_days_around_the_updates(spark, tmp_path):
+    path, now = str(tmp_path / "t"), ts_lit("2026-03-09 00:00:00")
+    first = rows(spark, *[("Z", datetime(2026, 3, d), float(d)) for d in range(1, 9)], ("Z", None, 0.5))
+    tables.upsert_stored(spark, first, path, ["zone", "ts"], now)
+    change = rows(spark, ("Z", datetime(2026, 3, 4), 40.0), ("Z", None, 0.7))
+    touched = tables._touched(spark.read.parquet(path), change)
+    scan = next(x for x in touched._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in x)
+    assert "PartitionFilters: [(isnull(dt" in scan and " >= 2026-03-04" in scan and " <= 2026-03-04" in scan
+    assert touched.count() == 2
+    tables.upsert_stored(spark, change, path, ["zone", "ts"], now)
+    assert sorted(r["price"] for r in spark.read.parquet(path).collect()) == [0.5, 0.7, 1.0, 2.0, 3.0, 5.0, 6.0, 7.0, 8.0, 40.0]
+    assert not list(Path(shared.shared_root(spark)).glob("hearthwatt/staging-*"))
+
+
+def test_the_log_of_versions_stays_short(spark, tmp_path):
+    root, frame = str(tmp_path), rows(spark, ("Z", datetime(2026, 3, 1, 10), 1.0))
+    for minute in range(6):
+        now = datetime(2026, 3, 1, 10, minute)
+        snapshots.publish_latest(spark, root, snapshots.export_snapshot(frame, root, now), now)
+        logged = snapshots.published(spark, root).select(F.lit("export").alias("kind"), "version", F.col("published_at").alias("created_at"), "size_bytes")
+        old = snapshots.retention(logged, 2, min_bytes=1).collect()
+        assert len(old) <= 1 and snapshots.drop_versions(spark, root, [r["version"] for r in old]) == len(old)
+    left = snapshots.published(spark, root).collect()
+    assert sorted(r["version"][-2:] for r in left) == ["00", "00"] and len(left) == 2 and all(r["size_bytes"] > 0 for r in left)
+    assert sorted(p.name for p in tmp_path.iterdir()) == [snapshots.POINTER, *[snapshots.version_name(datetime(2026, 3, 1, 10, m)) for m in (4, 5)]]
