@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..schemas import SCALARS
 from ..sources.shared import run_folder
 from ..streaming.jobs import (
-    read_retained, read_rows, start_batches, start_files, start_upserts, stream_avg_15min, stream_avg_registers, stream_command_state, stream_dedupe,
-    stream_retained, stream_stale_alerts, with_rocksdb,
+    EVENT_TIME, read_retained, read_rows, start_batches, start_files, start_upserts, stored, stream_avg_15min, stream_avg_registers,
+    stream_command_state, stream_dedupe, stream_retained, stream_stale_alerts, with_event_time, with_rocksdb,
 )
 from . import adapters as a
 from .adapters import SQL, STATION, ctes, table
@@ -30,6 +30,13 @@ def as_table(spark: SparkSession, name: str, stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
+def as_upserts(spark: SparkSession, name: str, stream: DataFrame, key: list[str]) -> DataFrame:
+    """Run a stream of updated rows over what is there and return the table that they were upserted into."""
+    folder = run_folder(spark, name)
+    start_upserts(stream, f"{folder}/out", f"{folder}/checkpoint", key, now=a.NOW).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop("dt")
+
+
 def with_custom_state(spark: SparkSession, run: Callable[[], DataFrame]) -> DataFrame:
     before = with_rocksdb(spark)
     try:
@@ -46,20 +53,21 @@ _ROUND = {**{c: 4 for c in SCALARS}, "wind_speed_ms": 4, "wind_direction_deg": 4
 
 
 @query("stream_avg_15min", ctes(*STATION) + "SELECT site_id, ts, rows_used, " + ", ".join(
-    f"{r(c, d)} AS {c}" for c, d in _ROUND.items()) + f" FROM station WHERE ts <= {_CLOSED} - INTERVAL 1 HOUR")
+    f"{r(c, d)} AS {c}" for c, d in _ROUND.items()) + " FROM station")
 def averaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = a.telemetry_from(streamed(spark, sf_dir))
-    return rounded(as_table(spark, "avg", stream_avg_15min(rows, "1 hour")), _ROUND)
+    means = as_upserts(spark, "avg", stream_avg_15min(rows, "1 hour"), ["site_id", "ts"])
+    return rounded(means.drop("created_at", "updated_at"), _ROUND)
 
 
 @query("stream_avg_registers", ctes("telemetry") + f"""
 SELECT site_id, ts, register, {r('mean', 5)} AS mean FROM (
   SELECT site_id, time_bucket(INTERVAL 15 MINUTES, ts) + INTERVAL 15 MINUTES AS ts, '30775' AS register, avg(r30775) AS mean FROM telemetry GROUP BY 1, 2
-  UNION ALL SELECT site_id, time_bucket(INTERVAL 15 MINUTES, ts) + INTERVAL 15 MINUTES, '30517', avg(r30517) FROM telemetry GROUP BY 1, 2)
-WHERE ts <= {_CLOSED} - INTERVAL 1 HOUR""")
+  UNION ALL SELECT site_id, time_bucket(INTERVAL 15 MINUTES, ts) + INTERVAL 15 MINUTES, '30517', avg(r30517) FROM telemetry GROUP BY 1, 2)""")
 def averaged_registers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = a.telemetry_from(streamed(spark, sf_dir))
-    return rounded(as_table(spark, "registers", stream_avg_registers(rows, "1 hour")), {"mean": 5})
+    means = as_upserts(spark, "registers", stream_avg_registers(rows, "1 hour"), ["site_id", "ts", "register"])
+    return rounded(means.drop("created_at", "updated_at"), {"mean": 5})
 
 
 @query("stream_dedupe", "SELECT DISTINCT event_type AS site_id, time_bucket(INTERVAL 15 MINUTES, ts) AS ts FROM events")
@@ -72,12 +80,10 @@ def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_upsert", ctes("prices") + f"""
 SELECT zone, ts, {r('price_eur_per_mwh', 5)} AS price_eur_per_mwh, TIMESTAMP '{a.NOW}' AS created_at, TIMESTAMP '{a.NOW}' AS updated_at FROM prices""")
 def upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = run_folder(spark, "upsert")
     zone = F.concat(F.lit("Z"), (F.col("user_id") % 2).cast("string")).alias("zone")
-    means = streamed(spark, sf_dir).groupBy(zone, F.window("ts", "15 minutes").alias("slot")).agg(
-        F.avg("value").alias("price_eur_per_mwh")).select("zone", F.col("slot.start").alias("ts"), "price_eur_per_mwh")
-    start_upserts(means, f"{folder}/out", f"{folder}/checkpoint", ["zone", "ts"], now=a.NOW).awaitTermination()
-    return rounded(spark.read.parquet(f"{folder}/out").drop("dt"), {"price_eur_per_mwh": 5})
+    means = with_event_time(streamed(spark, sf_dir), "1 day").groupBy(zone, F.window(EVENT_TIME, "15 minutes").alias("slot")).agg(
+        F.avg("value").alias("price_eur_per_mwh")).select("zone", stored(F.col("slot.start")).alias("ts"), "price_eur_per_mwh")
+    return rounded(as_upserts(spark, "upsert", means, ["zone", "ts"]), {"price_eur_per_mwh": 5})
 
 
 @query("stream_retained", ctes("commands") + """

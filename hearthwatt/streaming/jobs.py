@@ -47,7 +47,8 @@ def with_event_time(stream: DataFrame, lateness: str) -> DataFrame:
 
 
 def stream_avg_15min(stream: DataFrame, lateness: str = "1 hour", cols: Sequence[str] = tuple(SCALARS)) -> DataFrame:
-    """Quarter-hour means with the vector mean of the wind, emitted once when a slot can no longer change."""
+    """Quarter-hour means with the vector mean of the wind. In update mode with an upsert every slot is there from its
+    first row on; in append mode a slot is emitted once, when it can no longer change."""
     east, north = wind_components("wind_speed_ms", "wind_direction_deg")
     sums = with_event_time(stream, lateness).groupBy("site_id", F.window(EVENT_TIME, QUARTER_HOUR)).agg(
         F.count(F.lit(1)).alias("rows_used"), *[F.avg(c).alias(c) for c in cols],
@@ -58,7 +59,7 @@ def stream_avg_15min(stream: DataFrame, lateness: str = "1 hour", cols: Sequence
 
 
 def stream_avg_registers(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Quarter-hour mean of each register, one row per register."""
+    """Quarter-hour mean of each register, one row per register; for the modes see ``stream_avg_15min``."""
     entries = with_event_time(stream, lateness).select("site_id", EVENT_TIME, F.explode("registers").alias("register", "value"))
     means = entries.groupBy("site_id", "register", F.window(EVENT_TIME, QUARTER_HOUR)).agg(F.avg("value").alias("mean"))
     return means.select("site_id", stored(F.col("window.end")).alias("ts"), "register", "mean")
