@@ -26,11 +26,11 @@ from ..functions.timeparts import epoch_seconds, ts_lit
 
 CHUNK = "_chunk"
 AT = "_at"
-MINUTE, HOUR, DAY = 60, 3600, 86400
-# Chunk lengths in seconds, fine to coarse. A day holds at most 96 slots of a site. Raw rows have no such bound, so
-# they are cut by the minute and the minutes by the day.
+HOUR, DAY = 3600, 86400
+# Chunk lengths in seconds, fine to coarse. A day holds at most 96 slots of a site. Raw rows have no such bound, but an
+# hour of a site's rows fits a task, and one edge an hour is few against the rows of the hour.
 SLOTS = (DAY,)
-RAW = (MINUTE, DAY)
+RAW = (HOUR,)
 # Rows without a time are dealt to so many days from the year 1 on, so that they do not meet in one task.
 UNTIMED = 4096
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.quantities import cents_per_kwh, max_deferral_hours, register
 from ..functions.timeparts import between_dates, calendar_features, hour_minute, local_date, ts_lit, with_slot
 from ..operators.averaging import avg_15min, avg_json_keys, avg_newest_n, merge_latest, to_api_json, wind_vector_avg
+from ..operators.chunked import fill_forward, neighbours
 from ..operators.fusion import (
     backfill_units, display_projection, interp_hourly, power_from_accumulation, weather_fusion,
 )
@@ -397,3 +398,20 @@ def calendar_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("date") == F.lit("2024-01-06").cast("date")).distinct()
     rows = calendar_features(a.telemetry(spark, sf_dir).select("ts"), "Europe/Helsinki", holidays=holidays)
     return rows.groupBy("hour_of_day", "day_of_week", "is_weekend", "is_holiday").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("rows_without_place", """
+WITH t AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN event_type END AS site_id, CASE WHEN event_id % 5 <> 0 THEN ts END AS ts,
+                  CASE WHEN event_id % 3 <> 0 THEN value END AS value FROM events),
+placed AS (SELECT *, lag(value) OVER w AS value_before, lead(value) OVER w AS value_after,
+                  last_value(value IGNORE NULLS) OVER (PARTITION BY site_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS value_held
+           FROM t WHERE site_id IS NOT NULL AND ts IS NOT NULL WINDOW w AS (PARTITION BY site_id ORDER BY ts))
+SELECT event_id, site_id, ts, value, value_before, value_after, value_held FROM placed
+UNION ALL SELECT event_id, site_id, ts, value, NULL, NULL, value FROM t WHERE site_id IS NULL OR ts IS NULL""")
+def rows_without_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events, some without a site, a time or a value: as many rows come out as go in."""
+    known = lambda column, of: F.when(F.col("event_id") % of != 0, F.col(column))
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", known("event_type", 7).alias("site_id"), known("ts", 5).alias("ts"), known("value", 3).alias("value"))
+    beside = neighbours(rows, ["site_id"], "ts", {"value_before": "value"}, {"value_after": "value"})
+    return fill_forward(beside, ["site_id"], "ts", {"value_held": "value"})
