@@ -235,3 +235,13 @@ def test_stages(spark, documents, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, folder)
         assert docs.count() == 0
+
+
+def test_links_of_tiles_between_components_with_large_ids():
+    import pandas as pd
+
+    ids = [5, 5 + (1 << 32), 6 + (1 << 40), 7 + (1 << 33), (1 << 62) + 1]
+    alike = np.arange(20, dtype=np.uint64)
+    rows = pd.DataFrame({"rep": ids, "component": ids, "tile": [0, 0, 1, 1, 1], "low": 0, "high": 1, "members": [alike.tobytes()] * 5})
+    found = neardup._tiles(80)(rows)
+    assert {(r.a, r.b) for r in found.itertuples()} == {tuple(sorted((a, b))) for a in ids[:2] for b in ids[2:]}
