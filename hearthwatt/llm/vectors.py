@@ -11,9 +11,11 @@ from hearthwatt.llm.frames import stored, table
 from hearthwatt.llm.graph import components
 from hearthwatt.llm.registry import query
 
-#: Reference points: at most PIVOTS, out of about SAMPLE vectors that a hash picks. No two have a cosine over APART, or
-#: the order of the pivots inside a dense group of vectors would be left to chance.
+#: Reference points of a vector length: at most PIVOTS, out of about SAMPLE vectors that a hash picks. No two have a cosine
+#: over APART, or the order of the pivots inside a dense group of vectors would be left to chance.
 PIVOTS, SAMPLE, APART = 128, 4096, 0.6
+#: The most frequent vector lengths that get pivots of their own; every other length is one list.
+LENGTHS = 16
 #: Each vector is described by its NEAREST pivots; two that share SHARED of them are candidates.
 NEAREST, SHARED = 5, 2
 #: Vectors per tile: two tiles are compared by one task.
@@ -21,12 +23,10 @@ TILE = 1024
 
 
 def _pivots(rows: pd.DataFrame, pivots: int) -> np.ndarray:
-    """Sampled directions, each taken if it lies apart from those taken before."""
+    """Sampled directions of one length, each taken if it lies apart from those taken before."""
     chosen: list[np.ndarray] = []
     for raw in rows.sort_values("place")["unit"]:
         unit = np.frombuffer(raw, np.float64)
-        if chosen and len(unit) != len(chosen[0]):
-            continue
         if not chosen or (np.array(chosen) @ unit).max() <= APART:
             chosen.append(unit)
         if len(chosen) == pivots:
@@ -34,6 +34,24 @@ def _pivots(rows: pd.DataFrame, pivots: int) -> np.ndarray:
     return np.array(chosen)
 
 
+def _pivots_by_length(classes: DataFrame) -> dict[int, tuple[int, np.ndarray]]:
+    """The pivots of each length of ``classes``, with the number of the first of them.
+
+    A length has none where so few lie apart that any two sets of the nearest share SHARED of them: its classes all meet.
+    """
+    size, place = F.length("unit"), F.xxhash64("unit", F.lit("pivot"))
+    frequent = classes.groupBy(size.alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").limit(LENGTHS).collect()
+    out, first = {}, 0
+    for row in frequent:
+        rate = min(1_000_000, -(-1_000_000 * SAMPLE // row["n"]))
+        sampled = classes.where((size == row["size"]) & (F.pmod(place, F.lit(1_000_000)) < rate))
+        points = _pivots(sampled.select("unit", place.alias("place")).toPandas(), PIVOTS)
+        if len(points) > 2 * NEAREST - SHARED:
+            out[points.shape[1]] = first, points
+            first += len(points)
+    return out
+
+
 def _units(batches):
     """Unit vector in double precision; null for vectors that link with nothing."""
     for batch in batches:
@@ -51,15 +69,16 @@ def _units(batches):
 
 
 def _described(pivots):
-    """The sorted numbers of the nearest pivots; all vectors of another length share one list."""
+    """The sorted numbers of the nearest pivots; all vectors of a length without pivots share one list."""
     def run(batches):
-        points = pivots.value
+        known = pivots.value
         for batch in batches:
             sets = []
             for raw in batch.column(0).to_pylist():
                 unit = np.frombuffer(raw, np.float64)
-                if len(points) and len(unit) == points.shape[1]:
-                    near = np.argsort(-(points @ unit), kind="stable")[:NEAREST].tolist()
+                if len(unit) in known:
+                    first, points = known[len(unit)]
+                    near = (first + np.argsort(-(points @ unit), kind="stable")[:NEAREST]).tolist()
                 else:
                     near = [-1 - 2 * len(unit), -2 - 2 * len(unit)]
                 sets.append(sorted(near))
@@ -130,7 +149,8 @@ def linked_vectors(embeddings: DataFrame, column: str = "embedding", key: str =
     of different lengths do not link. Equal directions are one class from the start, whose copies link with each other.
 
     Every class is described by its nearest pivots and stands in one inverted list for each pair of them, so two
-    classes meet if they share two pivots. A list longer than a tile is cut into tiles, and each pair of tiles is
+    classes meet if they share two pivots. Vectors too dense for pivots, and lengths too rare for them, all meet in one list
+    per length, which is quadratic in it. A list longer than a tile is cut into tiles, and each pair of tiles is
     compared by a task of its own; what leaves it are counts and the edges of a spanning forest, not the pairs.
     """
     spark = embeddings.sparkSession
@@ -138,10 +158,7 @@ def linked_vectors(embeddings: DataFrame, column: str = "embedding", key: str =
     units = stored(chosen.mapInArrow(_units, "vec_id long, unit binary"), "units")
     classes = units.where("unit IS NOT NULL AND vec_id IS NOT NULL").groupBy("unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     classes = stored(classes, "classes")
-    place = F.xxhash64("unit", F.lit("pivot"))
-    rows = classes.count()
-    sampled = classes.where(F.pmod(place, F.lit(1_000_000)) < min(1_000_000, -(-1_000_000 * SAMPLE // max(1, rows))))
-    pivots = spark.sparkContext.broadcast(_pivots(sampled.select("unit", place.alias("place")).toPandas(), PIVOTS))
+    pivots = spark.sparkContext.broadcast(_pivots_by_length(classes))
     described = classes.select("unit", "rep", "copies").mapInArrow(_described(pivots), "unit binary, rep long, copies long, near array<int>")
     pairs = F.expr(f"filter(flatten(transform(near, (x, i) -> transform(slice(near, i + 2, {NEAREST}), y -> array(x, y)))), p -> size(p) = 2)")
     listed = described.withColumn("pivots", F.explode(pairs))
