@@ -1,11 +1,13 @@
 """The scheduled jobs from end to end: read, compute, store. Each may be run again without changing the outcome.
 
 Any scheduler can start them; nothing in here waits or repeats. ``root`` is a folder of tables on shared storage:
-``telemetry_raw``, ``station_15min``, ``prices``, ``forecast_hourly``, ``forecast_run``, ``forecast_value``, ``exports``.
+``telemetry_raw``, ``landed_days``, ``station_15min``, ``prices``, ``forecast_hourly``, ``forecast_run``,
+``forecast_value``, ``exports``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 from typing import Any
@@ -22,7 +24,7 @@ from ..operators.pv import pv_forecast
 from ..operators.quality import row_parity
 from ..schemas import ALLOWED_AVERAGES, BASELINE_DEFAULTS, FORECAST_COLUMNS, PV_PRODUCTION, TELEMETRY
 from . import landing, snapshots, tables
-from .shared import run_folder
+from .shared import remove, run_folder
 
 
 def import_archives(spark: SparkSession, inbox: str, root: str, processed: str | None = None) -> None:
@@ -30,31 +32,48 @@ def import_archives(spark: SparkSession, inbox: str, root: str, processed: str |
 
     def store(batch: DataFrame, _: int) -> None:
         tables.insert_ignore_stored(batch.sparkSession, batch, f"{root}/telemetry_raw", ["site_id", "ts"], ["merged_at"])
+        # After the rows, and from all rows of the batch: a batch that is repeated after a crash logs its days then.
+        _log_days(tables.with_day(batch).select("site_id", "dt").distinct(), root, "landed")
 
     (landing.read_archive(spark, inbox, TELEMETRY, processed).writeStream.foreachBatch(store)
      .option("checkpointLocation", f"{root}/_checkpoints/archives").trigger(availableNow=True).start().awaitTermination())
 
 
+def _log_days(days: DataFrame, root: str, kind: str) -> None:
+    """One entry of site-days to average, as one file, so that a reader finds all of it or nothing."""
+    entry = days.coalesce(1).withColumn("entry", F.lit(f"{kind}-{uuid.uuid4().hex}"))
+    entry.write.mode("append").partitionBy("entry").parquet(f"{root}/landed_days")
+
+
 def import_station_means(spark: SparkSession, root: str, now: datetime, cols: Sequence[str] = tuple(ALLOWED_AVERAGES),
-                         hours: int = 24, late_days: int = 14) -> DataFrame:
+                         hours: int = 24) -> DataFrame:
     """Every quarter hour: means of the complete slots of the last hours, upserted. Returns the rows off the grid.
 
-    A site's day of the last ``late_days`` that has raw rows but no means yet, such as a late archive, is averaged too.
+    Site-days that archives landed rows for are averaged whole again, however old they are. A day stays in the log until
+    it is over, so none of its slots is forgotten. The first run finds no log of its own and averages all raw rows.
     """
     start = now.replace(minute=0, second=0, microsecond=0) - timedelta(hours=hours)
     end = now.replace(minute=now.minute - now.minute % 15, second=0, microsecond=0)
-    first = ts_lit(start - timedelta(days=late_days)).cast("date")
-    raw = spark.read.parquet(f"{root}/telemetry_raw").filter((F.col("dt") >= first) & (F.col("ts") < ts_lit(end)))
-    late, stored = raw.select("site_id", "dt").distinct(), tables.read_stored(spark, f"{root}/station_15min")
-    if stored is not None:
-        late = late.join(stored.filter(F.col("dt") >= first).select("site_id", "dt").distinct(), ["site_id", "dt"], "left_anti")
-    days = run_folder(spark, "late-days")  # kept: the upsert replaces the files that this was read from
-    late.write.parquet(days)
-    late = spark.read.schema(late.schema).parquet(days)
-    raw = raw.join(late.withColumn("_late", F.lit(True)), ["site_id", "dt"], "left") \
-        .filter((F.col("ts") >= ts_lit(start)) | F.col("_late")).drop("_late")
+    raw = spark.read.parquet(f"{root}/telemetry_raw").filter(F.col("ts") < ts_lit(end))
+    log = tables.read_stored(spark, f"{root}/landed_days")
+    entries = [] if log is None else [row["entry"] for row in log.select("entry").distinct().collect()]
+    if any(entry.startswith("kept-") for entry in entries):
+        landed = log.filter(F.col("entry").isin(entries)).select("site_id", "dt")
+    else:
+        landed = spark.read.parquet(f"{root}/telemetry_raw").select("site_id", "dt")
+    folder = run_folder(spark, "landed-days")  # kept: the rows off the grid are read after the log has changed
+    landed.filter("dt IS NOT NULL").distinct().write.parquet(folder)
+    landed = spark.read.schema("site_id string, dt date").parquet(folder)
+    first = landed.agg(F.min("dt")).first()[0]
+    first = start.date() if first is None else min(first, start.date())
+    raw = raw.filter(F.col("dt") >= F.lit(first)).join(landed.withColumn("_landed", F.lit(True)), ["site_id", "dt"], "left") \
+        .filter((F.col("ts") >= ts_lit(start)) | F.col("_landed")).drop("_landed")
     good, quarantine = split_aligned(avg_15min(raw, cols).drop("rows_used"))
     tables.upsert_stored(spark, good, f"{root}/station_15min", ["site_id", "ts"], ts_lit(now))
+    mark = spark.createDataFrame([(None, None)], landed.schema)  # an entry without rows would leave no file
+    _log_days(landed.filter(F.col("dt") >= F.lit(end.date())).unionByName(mark), root, "kept")
+    for entry in entries:
+        remove(spark, f"{root}/landed_days/entry={entry}")
     return quarantine
 
 
