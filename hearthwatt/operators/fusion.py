@@ -53,14 +53,9 @@ def price_spine(prices: DataFrame, sites: DataFrame) -> DataFrame:
     return spread_join(sites.select("site_id", "zone"), slim, ["zone"], ["site_id"], "inner").drop("zone")
 
 
-def weather_fusion(prices: DataFrame, hourly: DataFrame, station: DataFrame, sites: DataFrame,
-                   circular: Collection[str] = (), keep_unsourced: bool = True) -> DataFrame:
-    """Price slots of every site with forecast (``fc_``) and measurement (``station_``) where they exist.
-
-    Rows pair the price of the quarter hour that starts at ``ts`` with the mean of the one that ended there. All
-    joins use ``(site_id, ts)``, so the spine is shuffled once. Not sorted: sort at the sink if at all.
-    """
-    spine = price_spine(prices, sites)
+def with_weather(spine: DataFrame, hourly: DataFrame, station: DataFrame, circular: Collection[str] = (),
+                 keep_unsourced: bool = True) -> DataFrame:
+    """The slots of ``spine`` with forecast (``fc_``) and measurement (``station_``) where they exist."""
     forecast = prefix_columns(interp_hourly(hourly, circular=circular), FORECAST_COLUMNS, "fc_")
     sourced = {new: old for new, old in STATION_FUSION_COLUMNS.items() if old is not None}
     measured = station.select("site_id", "ts", *[F.col(old).alias(f"station_{new}") for new, old in sourced.items()])
@@ -68,8 +63,17 @@ def weather_fusion(prices: DataFrame, hourly: DataFrame, station: DataFrame, sit
     measured_columns = [
         F.col(f"station_{new}") if old is not None else F.lit(None).cast("double").alias(f"station_{new}")
         for new, old in STATION_FUSION_COLUMNS.items() if old is not None or keep_unsourced]
-    return joined.select("site_id", "ts", "price_eur_per_mwh", "price_updated_at",
-                         *[f"fc_{c}" for c in FORECAST_COLUMNS], *measured_columns)
+    return joined.select(*spine.columns, *[f"fc_{c}" for c in FORECAST_COLUMNS], *measured_columns)
+
+
+def weather_fusion(prices: DataFrame, hourly: DataFrame, station: DataFrame, sites: DataFrame,
+                   circular: Collection[str] = (), keep_unsourced: bool = True) -> DataFrame:
+    """Price slots of every site with forecast (``fc_``) and measurement (``station_``) where they exist.
+
+    Rows pair the price of the quarter hour that starts at ``ts`` with the mean of the one that ended there. All
+    joins use ``(site_id, ts)``, so the spine is shuffled once. Not sorted: sort at the sink if at all.
+    """
+    return with_weather(price_spine(prices, sites), hourly, station, circular, keep_unsourced)
 
 
 def display_projection(fusion: DataFrame, tz: str, margin: float, vat: float = 0.255,

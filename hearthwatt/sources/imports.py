@@ -18,8 +18,8 @@ from ..functions.timeparts import ts_lit
 from ..operators.averaging import avg_15min
 from ..operators.baseline import baseline_forecast
 from ..operators.consumption import consumption_components, home_consumption
-from ..operators.fusion import power_from_accumulation, weather_fusion
-from ..operators.grid import split_aligned
+from ..operators.fusion import power_from_accumulation, weather_fusion, with_weather
+from ..operators.grid import split_aligned, time_grid
 from ..operators.pv import pv_forecast
 from ..operators.quality import row_parity
 from ..schemas import ALLOWED_AVERAGES, BASELINE_DEFAULTS, FORECAST_COLUMNS, PV_PRODUCTION, TELEMETRY
@@ -123,16 +123,28 @@ def export_fusion(spark: SparkSession, root: str, sites: DataFrame, now: datetim
     return version
 
 
+def stored_slots(spark: SparkSession, root: str, sites: DataFrame, now: datetime, train_days: int, horizon: int) -> DataFrame:
+    """Forecast and measurement of every quarter hour of training and horizon, whether it has a price or not."""
+    start = now.replace(minute=now.minute - now.minute % 15, second=0, microsecond=0) - timedelta(days=train_days)
+    end = now.replace(microsecond=0) + timedelta(minutes=15 * horizon, seconds=1)
+    grid = time_grid(sites.select("site_id").distinct(), ts_lit(start), ts_lit(end))
+    hour = timedelta(hours=1)  # the slots of an hour need the hour before and after them
+    near = F.col("dt").between(ts_lit(start - hour).cast("date"), ts_lit(end + hour).cast("date"))
+    return with_weather(grid, spark.read.parquet(f"{root}/forecast_hourly").filter(near),
+                        spark.read.parquet(f"{root}/station_15min").filter(near))
+
+
 def run_pv_forecast(spark: SparkSession, root: str, sites: DataFrame, now: datetime,
-                    p: Mapping[str, Any] = PV_PRODUCTION) -> None:
-    run, values = pv_forecast(stored_fusion(spark, root, sites), p, now.strftime("%Y-%m-%d %H:%M:%S"))
+                    p: Mapping[str, Any] = PV_PRODUCTION, horizon: int = 96) -> None:
+    slots = stored_slots(spark, root, sites, now, p["train_days"], horizon)
+    run, values = pv_forecast(slots, p, now.strftime("%Y-%m-%d %H:%M:%S"), horizon)
     tables.append_forecast_run(run, values, root)
 
 
 def run_baseline_forecast(spark: SparkSession, root: str, sites: DataFrame, now: datetime,
-                          p: Mapping[str, Any] = BASELINE_DEFAULTS, holidays: DataFrame | None = None) -> None:
+                          p: Mapping[str, Any] = BASELINE_DEFAULTS, holidays: DataFrame | None = None, horizon: int = 192) -> None:
     """The reference load looks a day around each slot, so the components start a day before the training window."""
     components = stored_components(spark, root, now - timedelta(days=p["train_days"] + 1))
-    run, values = baseline_forecast(components, stored_fusion(spark, root, sites), p,
-                                    now.strftime("%Y-%m-%d %H:%M:%S"), holidays=holidays)
+    slots = stored_slots(spark, root, sites, now, p["train_days"], horizon)
+    run, values = baseline_forecast(components, slots, p, now.strftime("%Y-%m-%d %H:%M:%S"), horizon, holidays)
     tables.append_forecast_run(run, values, root)
