@@ -26,21 +26,18 @@ def grams(data: np.ndarray, offsets: np.ndarray, buckets: int = BUCKETS, orders=
 def _counts(labels: list[str], buckets: int):
     def count(batches):
         number = {label: i for i, label in enumerate(labels)}
-        total, texts = np.zeros((len(labels), buckets), np.int64), np.zeros(len(labels), np.int64)
+        total = np.zeros((len(labels), buckets), np.int64)
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             label = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)
-            texts += np.bincount(label, minlength=len(labels))
             for a, b in slices(offsets):
                 for bucket, at in grams(data, offsets[a:b + 1], buckets):
                     flat = np.repeat(label[a:b], np.diff(at)) * buckets + bucket
                     total += np.bincount(flat, minlength=total.size).reshape(total.shape)
         for i, label in enumerate(labels):
-            if texts[i]:
-                at = np.flatnonzero(total[i])
-                yield pa.RecordBatch.from_pydict({
-                    "label": pa.array([label] * (len(at) + 1)), "bucket": pa.array(np.concatenate(([-1], at)), pa.int64()),
-                    "n": pa.array(np.concatenate(([texts[i]], total[i][at])), pa.int64())})
+            at = np.flatnonzero(total[i])
+            yield pa.RecordBatch.from_pydict({
+                "label": pa.array([label] * len(at), pa.string()), "bucket": pa.array(at, pa.int64()), "n": pa.array(total[i][at], pa.int64())})
     return count
 
 
@@ -55,8 +52,8 @@ def fit(examples: DataFrame, label: str, column: str = "text", key: str = "doc_i
         buckets: int = BUCKETS, smoothing: float = 0.5, max_labels: int = 512) -> Model:
     """Naive Bayes model of ``examples``; rows without label or text are left out.
 
-    About ``sample`` rows of each label are used, chosen by a hash of ``key``. The matrix has ``buckets`` x labels
-    entries and is broadcast, so the number of labels is checked against ``max_labels`` first. No examples: no labels.
+    The priors are the shares of all examples; the matrix counts about ``sample`` rows of each label, chosen by a hash of
+    ``key``. It has ``buckets`` x labels entries and is broadcast, so the number of labels is checked against ``max_labels`` first. No examples: no labels.
     """
     spark = examples.sparkSession
     known = examples.where(F.col(label).isNotNull() & F.col(column).isNotNull())
@@ -73,13 +70,13 @@ def fit(examples: DataFrame, label: str, column: str = "text", key: str = "doc_i
     counted = known.where(place < limit).select(F.col(label).alias("label"), F.col(column).alias("text")) \
         .mapInArrow(_counts(labels, buckets), "label string, bucket long, n long") \
         .groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    total, texts = np.full((buckets, len(labels)), smoothing), np.zeros(len(labels))
+    total = np.full((buckets, len(labels)), smoothing)
     for i, name in enumerate(labels):
         mine = counted[counted["label"] == name]
         bucket, n = mine["bucket"].to_numpy(), mine["n"].to_numpy()
-        total[bucket[bucket >= 0], i] += n[bucket >= 0]
-        texts[i] = n[bucket < 0].sum()
-    prior = np.log(np.maximum(texts, 0.5) / max(texts.sum(), 1))
+        total[bucket, i] += n
+    texts = np.array([sizes[name] for name in labels], np.float64)  # of all rows: the sample has about as many of each
+    prior = np.log(texts / texts.sum())
     return Model(labels, np.log(total / total.sum(axis=0)).astype(np.float32), prior)
 
 
