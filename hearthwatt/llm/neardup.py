@@ -115,7 +115,7 @@ def common_counts(left: np.ndarray, left_at: np.ndarray, right: np.ndarray, righ
     multiplied, a block of columns at a time; members of few sets are counted pair by pair.
     """
     rows, columns = len(left_at) - 1, len(right_at) - 1
-    total = np.zeros((rows, columns), np.float32)
+    total = np.zeros((rows, columns), np.int64)
     both = np.intersect1d(left, right)
     sides = []
     for values, at in ((left, left_at), (right, right_at)):
@@ -135,7 +135,7 @@ def common_counts(left: np.ndarray, left_at: np.ndarray, right: np.ndarray, righ
             sizes = np.diff(at)[block]
             matrix[owner[_ranges(at[block], sizes)], np.repeat(np.arange(len(block)), sizes)] = 1
             matrices.append(matrix)
-        total += matrices[0] @ matrices[1].T
+        total += (matrices[0] @ matrices[1].T).astype(np.int64)  # exact: at most 4096 each
     sparse = np.flatnonzero((pairs > 0) & (pairs < 4096))
     for part in np.split(sparse, np.searchsorted(np.cumsum(pairs[sparse]), np.arange(1 << 22, pairs[sparse].sum(), 1 << 22))):
         n, m = np.diff(one_at)[part], np.diff(two_at)[part]
