@@ -31,6 +31,9 @@ DIGESTS = (32, 40, 56, 64, 96, 128)
 _HEX = np.array([chr(b) in "0123456789abcdef" for b in range(256)])
 _TOKEN = np.array([bool(re.match(r"[A-Za-z0-9+/_=-]", chr(b))) and b < 128 for b in range(256)])
 _IDENTIFIER = re.compile(rb"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9_+/=-]+|[A-Za-z]+([_/-]+[A-Za-z]+)*[_/=-]*[0-9]{0,6}|(.)\3*", re.S)
+#: What separates the parts of a run; a UUID is one part.
+_PARTS = re.compile(rb"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[^/_=-]+")
+_WORD = re.compile(rb"[A-Za-z]+[0-9]{0,6}")
 
 
 @functools.lru_cache(2)
@@ -53,9 +56,45 @@ def is_random(value: bytes, tokens) -> bool:
     """Whether a string has letters and digits, is no digest or identifier, and gets few characters per token."""
     if not (re.search(rb"[0-9]", value) and re.search(rb"[A-Za-z]", value)) or _IDENTIFIER.fullmatch(value):
         return False
-    if len(value) in DIGESTS and re.fullmatch(rb"[0-9a-f]+|[0-9A-F]+", value):
-        return False
-    return len(value) / len(tokens.encode_ordinary(value.decode("ascii"))) <= RANDOM_RATIO
+    return not _is_digest(value) and _ratio(value, tokens) <= RANDOM_RATIO
+
+
+def _is_digest(value: bytes) -> bool:
+    return len(value) in DIGESTS and bool(re.fullmatch(rb"[0-9a-f]+|[0-9A-F]+", value))
+
+
+def _ratio(value: bytes, tokens) -> float:
+    return len(value) / len(tokens.encode_ordinary(value.decode("ascii")))
+
+
+def random_spans(value: bytes, tokens) -> list[tuple[int, int]]:
+    """Start and end of the random strings in a run: the run itself, or else its parts, alone or several in a row.
+
+    Words, numbers and known forms end a row, so words that are joined to a random string do not raise its ratio.
+    """
+    if is_random(value, tokens):
+        return [(0, len(value))]
+    if not re.search(rb"[0-9]", value):
+        return []
+    out, row = [], []
+
+    def close():
+        if row and row[-1] - row[0] >= RANDOM_LEAST and is_random(value[row[0]:row[-1]], tokens):
+            out.append((row[0], row[-1]))
+        row.clear()
+
+    for part in _PARTS.finditer(value):
+        text = part.group()
+        alone = len(text) >= RANDOM_LEAST and is_random(text, tokens)
+        plain = _ratio(text, tokens) > RANDOM_RATIO if _WORD.fullmatch(text) else _IDENTIFIER.fullmatch(text) or _is_digest(text)
+        if alone or plain:
+            close()
+        if alone:
+            out.append(part.span())
+        elif not plain:
+            row += part.span()
+    close()
+    return out
 
 
 def long_runs(data: np.ndarray, offsets: np.ndarray, member: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,8 +115,7 @@ def scan(data: np.ndarray, offsets: np.ndarray, tokens) -> list[list[tuple[int,
             found[a + text].append((start, 2, end))
         for text, start, end in zip(*map(np.ndarray.tolist, long_runs(data, window, _TOKEN, RANDOM_LEAST))):
             at = int(offsets[a + text])
-            if is_random(data[at + start:at + end].tobytes(), tokens):
-                found[a + text].append((start, 3, end))
+            found[a + text] += [(start + x, 3, start + y) for x, y in random_spans(data[at + start:at + end].tobytes(), tokens)]
         for i in range(a, b):
             text = data[offsets[i]:offsets[i + 1]].tobytes()
             if b"AKIA" in text:
@@ -100,7 +138,7 @@ def secrets(documents: DataFrame, column: str = "text", path: str | None = None)
 
     The kinds ``assign``, ``access`` and ``hex`` follow fixed patterns, leftmost and without overlap within a kind. Kind
     ``random`` are strings of 20 characters or more without white space that the vocabulary at ``path`` covers with at
-    most 2.2 characters a token; digests of known lengths, UUIDs, numbers and plain words are excluded. A null or empty
+    most 2.2 characters a token, or parts of such strings between ``/``, ``_``, ``=`` and ``-``; digests of known lengths, UUIDs, numbers and plain words are excluded. A null or empty
     text has none; repeated rows are scanned one by one. A column named ``secrets`` is replaced.
     """
     kept = [c for c in documents.columns if c != "secrets"]
