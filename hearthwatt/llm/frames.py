@@ -25,3 +25,9 @@ def remainder(key: str, of: int) -> Column:
 
 def per_partition(rows: int, each: int) -> int:
     return max(1, -(-rows // each))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to as many partitions as tasks can run at once, unless it has as many anyway."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
