@@ -179,7 +179,7 @@ def _alike(rows: np.ndarray, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarra
     width = max(rows.shape[1], anchors.shape[1], 1)
     rows, anchors = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (rows, anchors))
     bound = np.prod([np.sqrt((x.astype(np.float64) ** 2).sum(axis=1).max(initial=0)) for x in (rows, anchors)])
-    if bound >= 2.0 ** 62:
+    if bound >= 2.0 ** 61:
         raise ValueError("scores would not fit in 64 bits")
     return (rows.astype(np.float64), anchors.astype(np.float64)) if bound < 2.0 ** 52 else (rows, anchors)
 
@@ -230,7 +230,7 @@ def hard_negatives(vectors: DataFrame, positives: int = POSITIVES, negatives: in
 
     Rows without label or vector take no part; a row without id is no anchor, comes after all ids and stays null in the
     results. Repeated rows are rows of their own. An anchor without other rows of its label, and a positive without
-    rows in its window (as all with a score below zero), give no rows, nor does an empty table. Scores of 2**62 are an error.
+    rows in its window (as all with a score below zero), give no rows, nor does an empty table. Scores from 2**61 on are an error.
 
     The anchors are a query set: blocks of bounded size are broadcast one after another, and each block is searched in all
     rows, where a task keeps only as many rows per window as are asked for. Nothing is shuffled but those. A task that is
@@ -251,8 +251,9 @@ def hard_negatives(vectors: DataFrame, positives: int = POSITIVES, negatives: in
         sent = spark.sparkContext.broadcast(block)
         pairs = _first(searched.mapInArrow(_search(sent), _FOUND), positives).orderBy("window", "rank").collect()
         sent.unpersist()
-        owner, score = (np.array([r[name] for r in pairs], np.int64) for name in ("window", "score"))
-        block = Block(block.vectors, block.labels, block.rows, owner, -((-low * score) // 100), (high * score) // 100, negatives, False)
+        least, most = ([min(x // 100, _NO_ID) for x in xs] for xs in ([low * r["score"] + 99 for r in pairs], [high * r["score"] for r in pairs]))
+        owner = np.array([r["window"] for r in pairs], np.int64)
+        block = Block(block.vectors, block.labels, block.rows, owner, np.array(least, np.int64), np.array(most, np.int64), negatives, False)
         sent = spark.sparkContext.broadcast(block)
         named = spark.createDataFrame(
             [(i, taken[r["window"]]["vec_id"], None if r["vec_id"] == _NO_ID else r["vec_id"], r["score"]) for i, r in enumerate(pairs)],
