@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from hearthwatt.llm import (  # noqa: F401  (they register their queries)
-    clusters, decontamination, language, negatives, neardup, packing, quality, repeats, secrets, toxicity, vectors, warc,
+    clusters, decontamination, language, licenses, negatives, neardup, packing, quality, repeats, secrets, toxicity, vectors, warc,
 )
 from hearthwatt.llm.registry import ORACLES, QUERIES  # noqa: F401
