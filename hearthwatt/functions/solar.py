@@ -12,7 +12,18 @@ from pyspark.sql import Column, functions as F
 from .timeparts import as_col
 
 
-def sun_position(ts: Column | str, lat: float, lon: float) -> dict[str, Column]:
+def _number(x: Column | float) -> Column:
+    return x if isinstance(x, Column) else F.lit(float(x))
+
+
+def _sin_cos(degrees: Column | float) -> tuple[Column, Column]:
+    """Sine and cosine of an angle, which may differ by row."""
+    if isinstance(degrees, Column):
+        return F.sin(F.radians(degrees)), F.cos(F.radians(degrees))
+    return F.lit(math.sin(math.radians(degrees))), F.lit(math.cos(math.radians(degrees)))
+
+
+def sun_position(ts: Column | str, lat: Column | float, lon: Column | float) -> dict[str, Column]:
     """Declination and hour angle (radians) and elevation (degrees) at a UTC time."""
     ts = as_col(ts)
     day = F.dayofyear(ts).cast("double")
@@ -20,10 +31,9 @@ def sun_position(ts: Column | str, lat: float, lon: float) -> dict[str, Column]:
     b = F.radians(F.lit(360.0 / 365.0) * (day - 81.0))
     equation_of_time = 9.87 * F.sin(2.0 * b) - 7.53 * F.cos(b) - 1.5 * F.sin(b)
     declination = F.lit(math.radians(23.45)) * F.sin(F.radians(F.lit(360.0 / 365.0) * (day + 284.0)))
-    hour_angle = F.radians(15.0 * ((minutes + F.lit(4.0 * lon) + equation_of_time) / 60.0 - 12.0))
-    phi = math.radians(lat)
-    sin_elevation = (F.lit(math.sin(phi)) * F.sin(declination)
-                     + F.lit(math.cos(phi)) * F.cos(declination) * F.cos(hour_angle))
+    hour_angle = F.radians(15.0 * ((minutes + F.lit(4.0) * _number(lon) + equation_of_time) / 60.0 - 12.0))
+    sin_lat, cos_lat = _sin_cos(lat)
+    sin_elevation = sin_lat * F.sin(declination) + cos_lat * F.cos(declination) * F.cos(hour_angle)
     return {
         "declination": declination,
         "hour_angle": hour_angle,
@@ -31,14 +41,15 @@ def sun_position(ts: Column | str, lat: float, lon: float) -> dict[str, Column]:
     }
 
 
-def cos_incidence(declination: Column, hour_angle: Column, lat: float, tilt_deg: float, azimuth_deg: float) -> Column:
+def cos_incidence(declination: Column, hour_angle: Column, lat: Column | float, tilt_deg: Column | float,
+                  azimuth_deg: Column | float) -> Column:
     """Cosine of the angle between the sun and the panel normal; azimuth is from north, 90 = east."""
-    phi, tilt, gamma = math.radians(lat), math.radians(tilt_deg), math.radians(azimuth_deg - 180.0)
-    flat = math.sin(phi) * math.cos(tilt) - math.cos(phi) * math.sin(tilt) * math.cos(gamma)
-    noon = math.cos(phi) * math.cos(tilt) + math.sin(phi) * math.sin(tilt) * math.cos(gamma)
-    side = math.sin(tilt) * math.sin(gamma)
-    return (F.sin(declination) * F.lit(flat) + F.cos(declination) * F.cos(hour_angle) * F.lit(noon)
-            + F.cos(declination) * F.sin(hour_angle) * F.lit(side))
+    (sin_lat, cos_lat), (sin_tilt, cos_tilt), (sin_turn, cos_turn) = _sin_cos(lat), _sin_cos(tilt_deg), _sin_cos(azimuth_deg - 180.0)
+    flat = sin_lat * cos_tilt - cos_lat * sin_tilt * cos_turn
+    noon = cos_lat * cos_tilt + sin_lat * sin_tilt * cos_turn
+    side = sin_tilt * sin_turn
+    return (F.sin(declination) * flat + F.cos(declination) * F.cos(hour_angle) * noon
+            + F.cos(declination) * F.sin(hour_angle) * side)
 
 
 def cloud_factor(cloud_pct: Column | str, floor: float, exponent: float) -> Column:

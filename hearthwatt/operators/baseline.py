@@ -97,6 +97,36 @@ def predict(features: Sequence[str] = tuple(WEATHER)) -> Column:
     return yhat + F.when(F.col("is_holiday"), F.col("holiday_coef")).otherwise(0.0)
 
 
+def _feature_columns(features: Sequence[str]) -> list[tuple[Column, Column]]:
+    """Every feature of a row, as a number, with its coefficient in the model columns."""
+    weather = [(F.col(name), F.element_at("weather_coef", i + 1)) for i, name in enumerate(features)]
+    flags = [*((F.col("hour_of_day") == h, F.element_at("hour_coef", h + 1)) for h in range(1, 24)),
+             *((F.col("day_of_week") == d, F.element_at("weekday_coef", d)) for d in range(2, 8)),
+             (F.col("is_weekend"), F.col("weekend_coef")), (F.col("is_holiday"), F.col("holiday_coef"))]
+    return weather + [(flag.cast("double"), coef) for flag, coef in flags]
+
+
+def normal_residual(train: DataFrame, models: DataFrame, alpha: float, features: Sequence[str] = tuple(WEATHER)) -> DataFrame:
+    """How well each site's model solves its normal equations over the rows it was fitted on.
+
+    The slope of the penalised squared error is zero in every coefficient at the solution. ``largest_slope`` is the largest of
+    them per sample and standard deviation of the feature, ``mean_error`` the slope of the intercept. One pass of sums per site.
+    """
+    rows = train.dropna(subset=[*features, "baseline_actual_w"]).join(models, "site_id")
+    error = F.col("baseline_actual_w") - predict(features)
+    parts = _feature_columns(features)
+    sums = rows.groupBy("site_id").agg(
+        F.first("n_samples").alias("n_samples"), F.first("residual_std").alias("residual_std"), F.avg(error).alias("mean_error"),
+        F.sum(error * error).alias("_sse"), (F.var_pop("baseline_actual_w") * F.count("*")).alias("_total"),
+        *[F.struct(F.sum(x * error).alias("xe"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.first(coef).alias("coef")).alias(f"_f{i}")
+          for i, (x, coef) in enumerate(parts)])
+    slope = [F.when(F.col(f"_f{i}.std") > 1e-9, F.abs(
+        (F.col(f"_f{i}.xe") - F.col(f"_f{i}.mean") * F.col("mean_error") * F.col("n_samples")) / F.col(f"_f{i}.std")
+        - F.lit(alpha) * F.col(f"_f{i}.coef") * F.col(f"_f{i}.std"))).otherwise(0.0) for i in range(len(parts))]
+    return sums.select("site_id", "n_samples", "residual_std", (1 - F.col("_sse") / F.col("_total")).alias("r2"), "mean_error",
+                       (F.greatest(*slope) / F.col("n_samples")).alias("largest_slope"))
+
+
 def residual_std(pairs: DataFrame, by: Sequence[str] = ("site_id",)) -> DataFrame:
     """Spread of ``actual - yhat`` over the rows that have both."""
     return pairs.groupBy(*by).agg(F.stddev_samp(F.col("actual") - F.col("yhat")).alias("residual_std"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.solar import cloud_factor, cos_incidence, panel_gain, sun_position
 from ..functions.timeparts import file_stamp, shift, ts_lit
 from ..schemas import PV_PRODUCTION
+from .chunked import spread_join
 
 RAD, CLOUD, PV = "fc_shortwave_radiation_w_m2", "fc_cloud_cover_pct", "station_pv_feed_in_w"
 HALF_SLOT_SECONDS = 450
@@ -24,6 +25,32 @@ def effective_radiation(df: DataFrame, p: Mapping[str, Any] = PV_PRODUCTION) ->
         "effective_rad", light * panel_gain(F.col("cos_aoi"), p["diffuse_floor"]))
 
 
+def roof_radiation(df: DataFrame, roofs: DataFrame, p: Mapping[str, Any] = PV_PRODUCTION) -> DataFrame:
+    """Add ``elevation_deg``, ``effective_rad`` and ``max_pv_w`` from the roofs that a site has at the time of each slot.
+
+    ``roofs`` has ``site_id, valid_from, valid_to, lat, lon, panel_tilt_deg, panel_azimuth_deg, share, max_w``: a row per roof and
+    time for which it stands like this, the end left out, a null end open. The light of several roofs is added up by ``share``,
+    their caps too. A slot without a roof has no effective radiation. The few rows of a site travel as one array, so no row of
+    ``df`` is multiplied, and the position of the sun is that of the site's first roof.
+    """
+    known = roofs.groupBy("site_id").agg(F.sort_array(F.collect_list(F.struct(
+        "valid_from", "valid_to", "lat", "lon", "panel_tilt_deg", "panel_azimuth_deg", "share", "max_w"))).alias("_roofs"))
+    standing = F.filter("_roofs", lambda r: (F.col("ts") >= r["valid_from"]) & (r["valid_to"].isNull() | (F.col("ts") < r["valid_to"])))
+    rows = spread_join(df, known, ["site_id"], ["ts"]).withColumn("_roofs", standing)
+    first = F.try_element_at("_roofs", F.lit(1))
+    sun = sun_position(shift("ts", HALF_SLOT_SECONDS), first["lat"], first["lon"])
+    rows = rows.withColumns({"elevation_deg": F.when(F.size("_roofs") > 0, sun["elevation_deg"]), "_declination": sun["declination"], "_hour_angle": sun["hour_angle"]})
+    gains = F.transform("_roofs", lambda r: r["share"] * panel_gain(
+        cos_incidence(F.col("_declination"), F.col("_hour_angle"), r["lat"], r["panel_tilt_deg"], r["panel_azimuth_deg"]), p["diffuse_floor"]))
+    light = F.col(RAD) * cloud_factor(CLOUD, p["cloud_floor"], p["cloud_exp"])
+
+    def total(parts: Column) -> Column:
+        return F.when(F.size("_roofs") > 0, F.aggregate(parts, F.lit(0.0), lambda a, x: a + x))
+
+    caps = F.transform("_roofs", lambda r: r["max_w"].cast("double"))
+    return rows.withColumns({"effective_rad": light * total(gains), "max_pv_w": total(caps)}).drop("_roofs", "_declination", "_hour_angle")
+
+
 def training_window(ts: str, now: Column, cutoff: str | None, days: int) -> Column:
     """Rows before ``now``, not before the cutoff and at most ``days`` old."""
     oldest = F.timestamp_add("DAY", F.lit(-days), now)
@@ -78,10 +105,14 @@ def horizon_filter(ts: str, issued: Column, slots: int) -> Column:
     return (F.col(ts) > issued) & (F.col(ts) <= F.timestamp_add("MINUTE", F.lit(15 * slots), issued))
 
 
-def pv_forecast(fusion: DataFrame, p: Mapping[str, Any], issue_ts: str, horizon: int = 96) -> tuple[DataFrame, DataFrame]:
-    """Run header and values for the ``horizon`` slots after ``issue_ts``."""
-    issued = ts_lit(issue_ts)
-    lit = effective_radiation(fusion.select("site_id", "ts", RAD, CLOUD, PV), p)
+def pv_forecast(fusion: DataFrame, p: Mapping[str, Any], issue_ts: str, horizon: int = 96,
+                roofs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Run header and values for the ``horizon`` slots after ``issue_ts``. With ``roofs`` (see :func:`roof_radiation`) panels and
+    cap are those of each site at the time of the slot, and not those of ``p``."""
+    issued, slots = ts_lit(issue_ts), fusion.select("site_id", "ts", RAD, CLOUD, PV)
+    lit = effective_radiation(slots, p) if roofs is None else roof_radiation(slots, roofs, p)
+    if roofs is not None:
+        p = {**p, "max_pv_w": F.col("max_pv_w")}
     future = lit.filter(horizon_filter("ts", issued, horizon))
     ratios = fit_ratio(lit, p, issued, future)
     values = predict_pv(future.join(ratios, "site_id"), p).select(

@@ -210,15 +210,17 @@ def readable(spark: SparkSession, name: str, open_table: Callable[[], DataFrame]
     return _rows(one, F.lit(name), "readable", F.lit(status), F.lit(None), 0.0, F.lit(detail))
 
 
-def health_report(tables: Mapping[str, DataFrame], now: datetime, p: Mapping[str, Any] = HEALTH_DEFAULTS) -> DataFrame:
+def health_report(tables: Mapping[str, DataFrame], now: datetime, p: Mapping[str, Any] = HEALTH_DEFAULTS,
+                  stores: Mapping[str, Callable[[], DataFrame]] | None = None) -> DataFrame:
     """All checks for which a table was passed.
 
     ``sites`` (site_id, zone) is required, so that a site that sends nothing is reported. Others: ``station``,
-    ``forecast``, ``values`` with ``runs``, ``prices``, ``manifest``.
+    ``forecast``, ``values`` with ``runs``, ``prices``, ``manifest``. Each of ``stores`` opens a stored table and is reported as readable
+    or not; open it there and not before, so that one that can't be read becomes a row and not the end of the report.
     """
     at = F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     sites = tables["sites"]
-    parts = []
+    parts = [readable(sites.sparkSession, name, open_table) for name, open_table in (stores or {}).items()]
     if "station" in tables:
         parts.append(station_check(tables["station"], sites, at, p))
     if "forecast" in tables:
@@ -252,9 +254,14 @@ def overall_status(report: DataFrame, now: Column, by: Sequence[str] = ()) -> Da
 
 def require_fresh(version: str, now: datetime, minutes: int = 30) -> None:
     """Raise unless the 14 digits that end the version's name are a time at most ``minutes`` before ``now``."""
-    digits = [c for c in version if c.isdigit()][-14:]
-    year, *rest = (int("".join(digits[a:b])) for a, b in ((0, 4), (4, 6), (6, 8), (8, 10), (10, 12), (12, 14)))
-    age = (now - datetime(year, *rest)).total_seconds() / 60.0
+    digits = "".join(c for c in version if c in "0123456789")[-14:]
+    try:
+        made = datetime.strptime(digits, "%Y%m%d%H%M%S") if len(digits) == 14 else None
+    except ValueError:
+        made = None
+    if made is None:
+        raise ValueError(f"{version}: its name does not end in the time at which it was made")
+    age = (now - made).total_seconds() / 60.0
     if age > minutes:
         raise ValueError(f"{version}: made {age:.2f} min ago, at most {minutes} min are allowed")
 

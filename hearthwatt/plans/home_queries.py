@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.solar import cos_incidence, sun_position
 from ..functions.timeparts import ts_lit, with_slot
-from ..operators.baseline import baseline_forecast, gram, residual_std, training_rows
+from ..operators.baseline import baseline_forecast, fit_ridge, gram, normal_residual, residual_std, training_rows
 from ..operators.consumption import (
     component_energy, consumption_components, daily_kpi, event_islands, event_summary,
     home_consumption, reference_load,
@@ -16,7 +16,7 @@ from ..operators.control import (
 )
 from ..operators.grid import span_grid
 from ..operators.keyed import newest_per_target, run_values
-from ..operators.pv import effective_radiation, fit_ratio, pv_forecast
+from ..operators.pv import effective_radiation, fit_ratio, pv_forecast, roof_radiation
 from ..operators.scoring import (
     actual_and_forecast, consumption_page, forecast_error, forecast_error_windows, forecast_vs_actual, rolling_error,
 )
@@ -252,10 +252,10 @@ def spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- sun and solar forecast --------------------------------------------------------------------------------------
 
-def _sun_sql(source: str, ts: str, keep: str) -> str:
+def _sun_sql(source: str, ts: str, keep: str, lat: str = f"{PV_P['lat']!r}::DOUBLE", lon: str = f"{PV_P['lon']!r}::DOUBLE",
+             tilt: str = f"{PV_P['panel_tilt_deg']!r}::DOUBLE", azimuth: str = f"{PV_P['panel_azimuth_deg']!r}::DOUBLE") -> str:
     """Sun elevation and incidence on the panel, as further columns of ``source``."""
-    lat, lon = f"radians({PV_P['lat']!r}::DOUBLE)", f"{PV_P['lon']!r}::DOUBLE"
-    tilt, gamma = f"radians({PV_P['panel_tilt_deg']!r}::DOUBLE)", f"radians({PV_P['panel_azimuth_deg'] - 180.0!r}::DOUBLE)"
+    lat, tilt, gamma = f"radians({lat})", f"radians({tilt})", f"radians({azimuth} - 180.0)"
     return f"""
 SELECT {keep}, degrees(asin(greatest(-1.0, least(1.0, sin({lat}) * sin(d) + cos({lat}) * cos(d) * cos(w))))) AS elevation_deg,
   sin(d) * sin({lat}) * cos({tilt}) - sin(d) * cos({lat}) * sin({tilt}) * cos({gamma})
@@ -332,23 +332,62 @@ def solar_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pv_forecast(wide_series(spark, sf_dir), PV_P, ISSUE)[0].drop("notes")
 
 
+# Sites with an even name have two roofs, of which one gets another tilt in the middle of the month; the others have one, from the 5th on.
+_ROOFS = [(0, "2024-01-01 00:00:00", "2024-01-17 12:00:00", 11.0, 90.0, 0.5), (0, "2024-01-17 12:00:00", None, 35.0, 90.0, 0.5),
+          (0, "2024-01-01 00:00:00", None, 20.0, 250.0, 0.75), (1, "2024-01-05 00:00:00", None, 45.0, 180.0, 1.25)]
+SQL["roofs"] = """
+SELECT site_id, valid_from, valid_to, 60.0::DOUBLE + length(site_id) / 10.0::DOUBLE AS lat, 25.0::DOUBLE - length(site_id) / 10.0::DOUBLE AS lon,
+  tilt, azimuth, share, share * 30000 AS max_w FROM sites JOIN (VALUES """ + ", ".join(
+    f"({odd}, TIMESTAMP '{start}', {f'TIMESTAMP {end!r}' if end else 'NULL'}, {tilt}::DOUBLE, {azimuth}::DOUBLE, {share}::DOUBLE)"
+    for odd, start, end, tilt, azimuth, share in _ROOFS) + ") t(odd, valid_from, valid_to, tilt, azimuth, share) ON length(site_id) % 2 = odd"
+
+
+def _roofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = F.array(*[F.struct(
+        F.lit(odd).alias("odd"), ts_lit(start).alias("valid_from"), F.lit(end).cast("timestamp_ntz").alias("valid_to"), F.lit(tilt).alias("panel_tilt_deg"),
+        F.lit(azimuth).alias("panel_azimuth_deg"), F.lit(share).alias("share"), F.lit(share * 30000).alias("max_w")) for odd, start, end, tilt, azimuth, share in _ROOFS])
+    named = a.sites(spark, sf_dir).select("site_id", F.inline(kinds)).filter("length(site_id) % 2 = odd").drop("odd")
+    offset = F.length("site_id") / F.lit(10.0)
+    return named.withColumns({"lat": F.lit(60.0) + offset, "lon": F.lit(25.0) - offset})
+
+
+_LIGHT = f"""fc_shortwave_radiation_w_m2 * ({PV_P['cloud_floor']}::DOUBLE + (1.0 - {PV_P['cloud_floor']}::DOUBLE)
+  * pow(CASE WHEN fc_cloud_cover_pct IS NOT NULL THEN greatest(1.0 - fc_cloud_cover_pct / 100.0, 0.0) END, {PV_P['cloud_exp']}::DOUBLE))"""
+
+
+@query("pv_roofs", ctes(*FUSION, "mid", "roofs") + f""", on_roof AS (
+  SELECT m.*, lat, lon, tilt, azimuth, share, max_w FROM mid m JOIN roofs f ON f.site_id = m.site_id AND m.ts >= valid_from AND (valid_to IS NULL OR m.ts < valid_to)),
+lit_roof AS ({_sun_sql('on_roof', 'mid', 'site_id, ts, share, max_w', 'lat', 'lon', 'tilt', 'azimuth')}),
+gain AS (SELECT site_id, ts, max(elevation_deg) AS elevation_deg, sum(max_w) AS max_pv_w,
+  sum(share * ({PV_P['diffuse_floor']}::DOUBLE + (1.0 - {PV_P['diffuse_floor']}::DOUBLE) * greatest(0.0, cos_aoi))) AS gain FROM lit_roof GROUP BY 1, 2)
+SELECT site_id, ts, {r('elevation_deg', 5)} AS elevation_deg, max_pv_w, {r(f'{_LIGHT} * gain', 4)} AS effective_rad
+FROM mid LEFT JOIN gain USING (site_id, ts)""")
+def several_roofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = roof_radiation(wide_series(spark, sf_dir), _roofs(spark, sf_dir), PV_P).select("site_id", "ts", "elevation_deg", "max_pv_w", "effective_rad")
+    return rounded(out, {"elevation_deg": 5, "effective_rad": 4})
+
+
 # ---- baseline forecast -------------------------------------------------------------------------------------------
 
 _BASE_P = {**BASELINE_DEFAULTS, "train_days": 14}
 _W = ["fc_temperature_c", "fc_wind_speed_ms", "fc_cloud_cover_pct", "fc_shortwave_radiation_w_m2"]
 
 
-@query("baseline_gram", ctes(*COMPONENTS, *FUSION) + f""", train AS (
-  SELECT c.site_id, c.baseline_actual_w AS t, {_local('c.ts')} AS l, """ + ", ".join(f"f.{w} AS x{i}" for i, w in enumerate(_W)) + f"""
+SQL["train"] = f"""
+SELECT * FROM (SELECT c.site_id, c.baseline_actual_w AS t, {_local('c.ts')} AS l, {", ".join(f"f.{w} AS x{i}" for i, w in enumerate(_W))}
   FROM components c JOIN fusion f ON f.site_id = c.site_id AND f.ts = c.ts
-  WHERE c.ts >= TIMESTAMP '{ISSUE}' - INTERVAL 14 DAYS AND c.ts < TIMESTAMP '{ISSUE}'),
-full_rows AS (SELECT * FROM train WHERE t IS NOT NULL AND """ + " AND ".join(f"x{i} IS NOT NULL" for i in range(4)) + """)
+  WHERE c.ts >= TIMESTAMP '{ISSUE}' - INTERVAL 14 DAYS AND c.ts < TIMESTAMP '{ISSUE}')
+WHERE t IS NOT NULL AND """ + " AND ".join(f"x{i} IS NOT NULL" for i in range(4))
+TRAIN = tuple(dict.fromkeys((*COMPONENTS, *FUSION, "train")))
+
+
+@query("baseline_gram", ctes(*TRAIN) + """
 SELECT site_id, CAST(hour(l) AS INTEGER) AS hour_of_day, CAST(dayofweek(l) + 1 AS INTEGER) AS day_of_week, count(*) AS n,
 """ + ", ".join([f"{r('sum(t)', 2)} AS y", f"{r('sum(t * t)', 0)} AS yy"]
                 + [f"{r(f'sum(x{i})', 3)} AS x{i}" for i in range(4)]
                 + [f"{r(f'sum(x{i} * t)', 1)} AS x{i}y" for i in range(4)]
                 + [f"{r(f'sum(x{i} * x{j})', 2)} AS x{i}x{j}" for i in range(4) for j in range(i, 4)])
-    + " FROM full_rows GROUP BY 1, 2, 3")
+    + " FROM train GROUP BY 1, 2, 3")
 def gram_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training_rows(components(spark, sf_dir), wide_series(spark, sf_dir), _BASE_P, ISSUE)
     digits = {"y": 2, "yy": 0, **{f"x{i}": 3 for i in range(4)}, **{f"x{i}y": 1 for i in range(4)},
@@ -356,17 +395,91 @@ def gram_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(gram(rows).drop("is_holiday"), digits)
 
 
-@query("baseline_forecast")
+def _design(x: list[str], local: str) -> str:
+    """The features of a row: weather, hours, days of the week, weekend, holiday (none is known here)."""
+    return (f"[{', '.join(x)}] || list_transform(range(1, 24), lambda h: CAST(hour({local}) = h AS DOUBLE)) || list_transform(range(2, 8), "
+            f"lambda d: CAST(dayofweek({local}) + 1 = d AS DOUBLE)) || [CAST(dayofweek({local}) IN (0, 6) AS DOUBLE), 0.0::DOUBLE]")
+
+
+_P = 35
+SQL["design"] = f"SELECT site_id, t, {_design([f'x{i}' for i in range(4)], 'l')} AS z FROM train"
+SQL["totals"] = "SELECT site_id, count(*) AS n, avg(t) AS mean_y, sum(t * t) - count(*) * avg(t) * avg(t) AS cyy FROM design GROUP BY 1"
+SQL["sums"] = f"""
+SELECT site_id, i, avg(z[i]) AS m, sum(z[i] * t) - count(*) * avg(z[i]) * avg(t) AS cy,
+  sqrt(greatest((sum(z[i] * z[i]) - count(*) * avg(z[i]) * avg(z[i])) / count(*), 0.0)) AS s
+FROM design, (SELECT unnest(range(1, {_P + 1})) AS i) GROUP BY 1, 2"""
+SQL["crossed"] = f"""
+SELECT site_id, i, j, sum(z[i] * z[j]) - count(*) * avg(z[i]) * avg(z[j]) AS c
+FROM design, (SELECT unnest(range(1, {_P + 1})) AS i), (SELECT unnest(range(1, {_P + 1})) AS j) GROUP BY 1, 2, 3"""
+# The normal equations of the standardised features: a row for each, its last entry the right side. A feature without
+# spread has a unit row, so its coefficient is zero.
+SQL["equations"] = f"""
+SELECT site_id, list(r ORDER BY i) AS m FROM (
+  SELECT x.site_id, x.i, list(CASE WHEN a.s > 1e-9 AND b.s > 1e-9 THEN c / (a.s * b.s) ELSE 0.0 END
+      + CASE WHEN x.i <> x.j THEN 0.0 WHEN a.s > 1e-9 THEN {_BASE_P['alpha']} ELSE 1.0 END ORDER BY x.j)
+    || [CASE WHEN first(a.s) > 1e-9 THEN first(a.cy) / first(a.s) ELSE 0.0 END] AS r
+  FROM crossed x JOIN sums a ON a.site_id = x.site_id AND a.i = x.i JOIN sums b ON b.site_id = x.site_id AND b.i = x.j
+  GROUP BY x.site_id, x.i) GROUP BY site_id"""
+# Elimination: step k divides equation k by its pivot and takes it from all others.
+SQL["solving"] = f"""
+SELECT site_id, 1 AS k, m FROM equations
+UNION ALL
+SELECT site_id, k + 1, list_transform(range(1, {_P + 1}), lambda i: list_transform(range(1, {_P + 2}), lambda j:
+  CASE WHEN i = k THEN m[k][j] / m[k][k] ELSE m[i][j] - m[i][k] * m[k][j] / m[k][k] END))
+FROM solving WHERE k <= {_P}"""
+SQL["beta"] = f"""
+SELECT g.site_id, i, s, mean, cy, CASE WHEN s > 1e-9 THEN g.m[i][{_P + 1}] / s ELSE 0.0 END AS b
+FROM (SELECT site_id, m FROM solving WHERE k = {_P + 1}) g JOIN (SELECT site_id, i, s, m AS mean, cy FROM sums) USING (site_id)"""
+SQL["quadratic"] = """
+SELECT x.site_id, sum(a.b * c * d.b) AS q FROM crossed x JOIN beta a ON a.site_id = x.site_id AND a.i = x.i
+JOIN beta d ON d.site_id = x.site_id AND d.i = x.j GROUP BY 1"""
+SQL["model"] = """
+SELECT site_id, n, cyy, mean_y - bm AS intercept, betas, sqrt(greatest(cyy - 2 * bc + q, 0.0) / (n - 1)) AS std, greatest(cyy - 2 * bc + q, 0.0) AS sse
+FROM totals JOIN quadratic USING (site_id)
+JOIN (SELECT site_id, sum(b * mean) AS bm, sum(b * cy) AS bc, list(b ORDER BY i) AS betas FROM beta GROUP BY 1) USING (site_id)"""
+MODEL = (*TRAIN, "design", "totals", "sums", "crossed", "equations", "solving", "beta", "quadratic", "model")
+
+
+def _model_ctes() -> str:
+    return ctes(*MODEL).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_BASE_ID = f"md5(site_id || '|{_BASE_P['model_name']}|{_BASE_P['model_version']}|20240128_000000')"
+
+
+@query("baseline_forecast", _model_ctes() + f""", future AS (
+  SELECT site_id, ts, {" + ".join(_W)} IS NOT NULL AS known, {_design(_W, _local('ts'))} AS z FROM fusion
+  WHERE ts > TIMESTAMP '{ISSUE}' AND ts <= TIMESTAMP '{ISSUE}' + INTERVAL 48 HOURS),
+p50 AS (SELECT site_id, ts, std, CASE WHEN known THEN intercept + list_dot_product(betas, list_transform(z, lambda v: coalesce(v, 0.0))) END AS p50 FROM future JOIN model USING (site_id))
+SELECT {_BASE_ID} AS run_id, site_id, 'baseline_w' AS target, ts AS target_ts, {r('p50', 2)} AS yhat_p50,
+  {r('p50 - 1.2816::DOUBLE * std', 2)} AS yhat_p10, {r('p50 + 1.2816::DOUBLE * std', 2)} AS yhat_p90 FROM p50""")
 def baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, values = baseline_forecast(components(spark, sf_dir), wide_series(spark, sf_dir), _BASE_P, ISSUE)
     return rounded(values, {c: 2 for c in _BANDS})
 
 
-@query("baseline_run_header")
+@query("baseline_run_header", _model_ctes() + f"""
+SELECT {_BASE_ID} AS run_id, site_id, '{_BASE_P['model_name']}' AS model_name, '{_BASE_P['model_version']}' AS model_version,
+  TIMESTAMP '{ISSUE}' AS issued_at, CAST(NULL AS VARCHAR) AS ratio_source, 'n=' || n || ' residual_std=' || round(std, 1) AS notes FROM model""")
 def baseline_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return baseline_forecast(components(spark, sf_dir), wide_series(spark, sf_dir), _BASE_P, ISSUE)[0]
 
 
+@query("baseline_normal_equations", _model_ctes() + f""", errors AS (
+  SELECT site_id, t - intercept - list_dot_product(betas, z) AS e, z FROM design JOIN model USING (site_id)),
+slopes AS (
+  SELECT site_id, max(abs(g)) AS largest FROM (
+    SELECT e.site_id, CASE WHEN first(s) > 1e-9 THEN sum((z[i] - mean) * e) / first(s) - {_BASE_P['alpha']} * first(b) * first(s) ELSE 0.0 END AS g
+    FROM errors e JOIN beta b ON b.site_id = e.site_id GROUP BY e.site_id, i) GROUP BY 1)
+SELECT site_id, n AS n_samples, {r('std', 2)} AS residual_std, {r('1.0 - sse / cyy', 5)} AS r2,
+  {r('mean_e', 4)} AS mean_error, {r('largest / n', 4)} AS largest_slope
+FROM model JOIN slopes USING (site_id) JOIN (SELECT site_id, avg(e) AS mean_e FROM errors GROUP BY 1) USING (site_id)""")
+def normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train = training_rows(components(spark, sf_dir), wide_series(spark, sf_dir), _BASE_P, ISSUE)
+    out = normal_residual(train, fit_ridge(gram(train), _BASE_P["alpha"]), _BASE_P["alpha"])
+    return rounded(out, {"residual_std": 2, "r2": 5, "mean_error": 4, "largest_slope": 4})
+
+
 # ---- control -----------------------------------------------------------------------------------------------------
 
 @query("command_intervals", ctes("commands", "valid_commands") + """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.timeparts import ts_lit
 from ..operators.chunked import spread_join
@@ -14,6 +14,7 @@ from ..operators.planning import (
     BATTERY_DEFAULTS, COMFORT_DEFAULTS, GOLDEN, battery_forecast, comfort_class, confidence, deferral, discomfort_factor, ev_start,
     event_forecast, event_probability, event_scores, feedback_metrics, net_import, retrain_gate, savings_summary,
 )
+from ..operators.scenarios import ev_start_confidence, import_backtest
 from . import adapters as a
 from .adapters import SQL, ctes, table
 from .home_queries import COMPONENTS, ISSUE, TZ, best, components
@@ -149,26 +150,82 @@ def comfort(spark: SparkSession, sf_dir: str) -> DataFrame:
 _GOLDEN, _ROOT2, _ROOT3 = GOLDEN, math.sqrt(2) - 1, math.sqrt(3) - 1
 
 
-@query("net_import_mc", ctes("runs", "run_values", "best") + f""", bands AS (
-  SELECT site_id, target_ts AS ts, yhat_p10 AS b10, yhat_p50 AS b50, yhat_p90 AS b90, yhat_p50 * 0.25 AS s10,
-    yhat_p50 * 0.5 AS s50, yhat_p50 * 0.75 AS s90 FROM best),
-draws AS (SELECT site_id, ts, b50 + (b90 - b10) / 2.5632::DOUBLE * radius * cos(angle)
+SQL["bands"] = """
+SELECT site_id, target_ts AS ts, yhat_p10 AS b10, yhat_p50 AS b50, yhat_p90 AS b90, yhat_p50 * 0.25 AS s10, yhat_p50 * 0.5 AS s50, yhat_p50 * 0.75 AS s90 FROM best"""
+
+
+def _draws_sql(n: int, bands: str = "bands") -> str:
+    """Each row in ``n`` draws, which have the same ranks in every slot."""
+    return f"""
+SELECT x.*, i, b50 + (b90 - b10) / 2.5632::DOUBLE * radius * cos(angle)
     - greatest(0.0, s50 + (s90 - s10) / 2.5632::DOUBLE * radius * sin(angle)) - 500
     + CASE WHEN ((i * {_ROOT2!r}::DOUBLE) % 1.0) * 100.0 < 30 THEN 6500 ELSE 0 END
     + CASE WHEN ((i * {_ROOT3!r}::DOUBLE) % 1.0) * 100.0 < 10 THEN 11000 ELSE 0 END AS w
-  FROM bands CROSS JOIN (SELECT i, sqrt(-2.0 * ln((i + 0.5) / 1000.0::DOUBLE)) AS radius,
-    2.0 * pi() * ((i * {_GOLDEN!r}::DOUBLE) % 1.0) AS angle FROM range(1000) t(i)))
-SELECT site_id, ts AS target_ts, {r('quantile_cont(w, 0.1)', 3)} AS import_p10_w, {r('quantile_cont(w, 0.5)', 3)} AS import_p50_w,
-  {r('quantile_cont(w, 0.9)', 3)} AS import_p90_w FROM draws GROUP BY 1, 2""")
-def import_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p50 = F.col("yhat_p50")
+  FROM {bands} x CROSS JOIN (SELECT i, sqrt(-2.0 * ln((i + 0.5) / {n}.0::DOUBLE)) AS radius,
+    2.0 * pi() * ((i * {_GOLDEN!r}::DOUBLE) % 1.0) AS angle FROM range({n}) t(i))"""
+
+
+SQL["draws"] = _draws_sql(1000)
+SQL["risk"] = """
+SELECT site_id, ts, quantile_cont(w, 0.1) AS p10, quantile_cont(w, 0.5) AS p50, quantile_cont(w, 0.9) AS p90 FROM draws GROUP BY 1, 2"""
+RISK = ("runs", "run_values", "best", "bands", "draws", "risk")
+
+
+def _risk_inputs(p50: Column, p10: Column, p90: Column) -> list[Column]:
     kinds = F.array(*[F.struct(F.lit(share).alias("probability_pct"), F.lit(watts).alias("power_w"))
                       for share, watts in ((30.0, 6500.0), (10.0, 11000.0))])
-    inputs = best(spark, sf_dir).select(
-        "site_id", F.col("target_ts").alias("ts"), F.col("yhat_p10").alias("baseline_p10"), p50.alias("baseline_p50"),
-        F.col("yhat_p90").alias("baseline_p90"), (p50 * 0.25).alias("pv_p10"), (p50 * 0.5).alias("pv_p50"),
-        (p50 * 0.75).alias("pv_p90"), F.lit(500.0).alias("battery_w"), kinds.alias("events"))
-    return rounded(net_import(inputs), {f"import_p{q}_w": 3 for q in (10, 50, 90)})
+    return [p10.alias("baseline_p10"), p50.alias("baseline_p50"), p90.alias("baseline_p90"), (p50 * 0.25).alias("pv_p10"),
+            (p50 * 0.5).alias("pv_p50"), (p50 * 0.75).alias("pv_p90"), F.lit(500.0).alias("battery_w"), kinds.alias("events")]
+
+
+def _risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bands = _risk_inputs(F.col("yhat_p50"), F.col("yhat_p10"), F.col("yhat_p90"))
+    return net_import(best(spark, sf_dir).select("site_id", F.col("target_ts").alias("ts"), *bands))
+
+
+@query("net_import_mc", ctes(*RISK) + f"""
+SELECT site_id, ts AS target_ts, {r('p10', 3)} AS import_p10_w, {r('p50', 3)} AS import_p50_w, {r('p90', 3)} AS import_p90_w FROM risk""")
+def import_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_risk(spark, sf_dir), {f"import_p{q}_w": 3 for q in (10, 50, 90)})
+
+
+_BACKTEST = {"rmse_w": 2, "bias_w": 2, "coverage_pct": 4, "loss_p10_w": 2, "loss_p50_w": 2, "loss_p90_w": 2}
+
+
+@query("net_import_backtest", ctes(*RISK, "load") + f""", tried AS (
+  SELECT site_id, ts, x, x - p10 AS e10, x - p50 AS e50, x - p90 AS e90
+  FROM risk JOIN (SELECT site_id, ts, total_actual_w - 2500 AS x FROM load) USING (site_id, ts)
+  WHERE ts >= TIMESTAMP '{a.NOW}' - INTERVAL 30 DAYS AND ts < TIMESTAMP '{a.NOW}')
+SELECT site_id, count(*) AS n, {r('sqrt(avg(e50 * e50))', 2)} AS rmse_w, {r('avg(e50)', 2)} AS bias_w,
+  {r('100.0 * avg(CASE WHEN e10 >= 0 AND e90 <= 0 THEN 1 ELSE 0 END)', 4)} AS coverage_pct,
+  {r('avg(greatest(0.1::DOUBLE * e10, -0.9::DOUBLE * e10))', 2)} AS loss_p10_w, {r('avg(greatest(0.5::DOUBLE * e50, -0.5::DOUBLE * e50))', 2)} AS loss_p50_w,
+  {r('avg(greatest(0.9::DOUBLE * e90, -0.1::DOUBLE * e90))', 2)} AS loss_p90_w, sqrt(avg(e50 * e50)) < 500 AS acceptable FROM tried GROUP BY 1""")
+def backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    actual = a.load(spark, sf_dir).select("site_id", "ts", (F.col("total_actual_w") - 2500).alias("net_import_w"))
+    return rounded(import_backtest(_risk(spark, sf_dir), actual, a.NOW), _BACKTEST)
+
+
+SQL["charging_bands"] = """
+SELECT site_id, ts, price_eur_per_mwh, 0.8::DOUBLE * x AS b10, x AS b50, 1.2::DOUBLE * x AS b90, x * 0.25 AS s10, x * 0.5 AS s50, x * 0.75 AS s90
+FROM (SELECT site_id, ts, price_eur_per_mwh, (net_import_w + 2500) * 0.25::DOUBLE AS x FROM net)"""
+_START = {"expected_eur": 5, "cost_p10_eur": 5, "cost_p50_eur": 5, "cost_p90_eur": 5, "confidence_pct": 3}
+
+
+@query("ev_start_confidence", ctes(*NET, "charging_bands") + f""", drawn AS ({_draws_sql(100, "charging_bands")}),
+costs AS (SELECT site_id, ts, i, greatest(0.0, least(w + 6500, 6500)) * price_eur_per_mwh * 0.25e0 / 1e6 AS cost FROM drawn),
+runs_from AS (SELECT site_id, ts, i, sum(cost) OVER w AS cost, count(cost) OVER w AS n, timezone('{TZ}', timezone('UTC', ts)) AS l FROM costs
+  WINDOW w AS (PARTITION BY site_id, i ORDER BY ts RANGE BETWEEN CURRENT ROW AND INTERVAL 210 MINUTES FOLLOWING)),
+starts AS (SELECT *, CAST(l AS DATE) AS local_date, min(cost) OVER (PARTITION BY site_id, CAST(l AS DATE), i) AS cheapest
+  FROM runs_from WHERE n = 15 AND strftime(l, '%H:%M') BETWEEN '06:30' AND '22:30'),
+rated AS (SELECT site_id, local_date, ts, round(avg(cost), 9) AS expected, quantile_cont(cost, 0.1) AS p10, quantile_cont(cost, 0.5) AS p50,
+  quantile_cont(cost, 0.9) AS p90, 100.0 * avg(CASE WHEN cost <= cheapest * 1.05::DOUBLE + 0.005::DOUBLE THEN 1 ELSE 0 END) AS sure FROM starts GROUP BY 1, 2, 3)
+SELECT site_id, local_date, CAST(row_number() OVER (PARTITION BY site_id, local_date ORDER BY expected, ts) AS INTEGER) AS rank, ts AS start_ts,
+  {r('expected', 5)} AS expected_eur, {r('p10', 5)} AS cost_p10_eur, {r('p50', 5)} AS cost_p50_eur, {r('p90', 5)} AS cost_p90_eur, {r('sure', 3)} AS confidence_pct
+FROM rated QUALIFY rank <= 3""")
+def charging_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    level = (F.col("net_import_w") + 2500) * 0.25
+    bands = _risk_inputs(level, level * 0.8, level * 1.2)
+    return rounded(ev_start_confidence(net(spark, sf_dir).select("site_id", "ts", "price_eur_per_mwh", *bands)), _START)
 
 
 _B = BATTERY_DEFAULTS

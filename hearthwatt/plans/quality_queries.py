@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -177,14 +178,14 @@ UNION ALL SELECT kind, kind || '_freshness', CASE WHEN age <= age_limit AND size
 _HEALTH_CTES = (*STATION, "prices", "sites", "hourly", "runs", "run_values", "backups")
 
 
-def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _health(spark: SparkSession, sf_dir: str, stores: dict[str, Callable[[], DataFrame]] | None = None) -> DataFrame:
     known = a.sites(spark, sf_dir)
     silent = spark.range(1).select(F.lit("silent").alias("site_id"), F.lit("Z9").alias("zone"))
     tables = {
         "sites": known.unionByName(silent), "station": a.station(spark, sf_dir, ["temperature_c"]),
         "forecast": a.hourly(spark, sf_dir), "values": a.run_values(spark, sf_dir), "runs": a.runs(spark, sf_dir),
         "prices": a.prices(spark, sf_dir), "manifest": a.backups(spark, sf_dir)}
-    return health_report(tables, NOW, HEALTH_DEFAULTS)
+    return health_report(tables, NOW, HEALTH_DEFAULTS, stores)
 
 
 @query("health_report", ctes(*_HEALTH_CTES) + f""", {SITES_PLUS}, {_HEALTH}
@@ -193,6 +194,15 @@ def health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_health(spark, sf_dir), {"observed": 4})
 
 
+@query("health_stores", ctes(*_HEALTH_CTES) + f""", {SITES_PLUS}, {_HEALTH}
+SELECT scope, "check", status, {r('observed', 4)} AS observed, threshold, detail FROM health
+UNION ALL SELECT 'events', 'readable', 'ok', NULL, 0.0::DOUBLE, 'readable' UNION ALL SELECT 'lost', 'readable', 'error', NULL, 0.0::DOUBLE, 'AnalysisException'""")
+def health_with_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole report with a stored table that can and one that can't be opened."""
+    stores = {"events": lambda: table(spark, sf_dir, "events"), "lost": lambda: table(spark, sf_dir, "lost")}
+    return rounded(_health(spark, sf_dir, stores), {"observed": 4})
+
+
 @query("overall_status", ctes(*_HEALTH_CTES) + f""", {SITES_PLUS}, {_HEALTH}
 SELECT scope, CASE WHEN bool_or(status = 'error') THEN 'error' WHEN bool_or(status = 'warn') THEN 'warn' ELSE 'ok' END AS overall_status,
   count(*) FILTER (WHERE status <> 'ok') AS n_failures,

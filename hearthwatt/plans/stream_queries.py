@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.timeparts import ts_lit
 from ..schemas import SCALARS
 from ..sources.shared import run_folder
 from ..streaming.jobs import (
-    EVENT_TIME, read_retained, read_rows, start_batches, start_files, start_upserts, stored, stream_avg_15min, stream_avg_registers,
+    EVENT_TIME, command_states, read_retained, read_rows, start_batches, start_files, start_upserts, stored, stream_avg_15min, stream_avg_registers,
     stream_command_state, stream_dedupe, stream_retained, stream_stale_alerts, with_event_time, with_rocksdb,
 )
 from . import adapters as a
@@ -95,11 +96,8 @@ def retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_retained(spark, f"{folder}/out")
 
 
-SQL["second_commands"] = "SELECT * REPLACE (date_trunc('milliseconds', ts) AS ts) FROM valid_commands"
-
-
-@query("stream_command_state", ctes("commands", "valid_commands", "second_commands") + f""", following AS (
-  SELECT *, lead(ts) OVER (PARTITION BY site_id ORDER BY ts) AS next_ts, ts + INTERVAL 1 MINUTE * minutes AS until FROM second_commands)
+@query("stream_command_state", ctes("commands", "valid_commands") + f""", following AS (
+  SELECT *, lead(ts) OVER (PARTITION BY site_id ORDER BY ts) AS next_ts, ts + INTERVAL 1 MINUTE * minutes AS until FROM valid_commands)
 SELECT site_id, ts, mode, 'command' AS cause FROM following
 UNION ALL SELECT site_id, until, 'ALLOW', 'timeout' FROM following
 WHERE until <= next_ts OR (next_ts IS NULL AND until <= {_CLOSED} - INTERVAL 10 MINUTES)""")
@@ -108,8 +106,24 @@ def command_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_custom_state(spark, lambda: as_table(spark, "commands", stream_command_state(rows)))
 
 
+_RESTART = "2024-01-16 00:00:00"
+
+
+@query("stream_restart", ctes("commands", "valid_commands") + f""", following AS (
+  SELECT *, lead(ts) OVER (PARTITION BY site_id ORDER BY ts) AS next_ts, ts + INTERVAL 1 MINUTE * minutes AS until FROM valid_commands)
+SELECT site_id, ts, mode, 'command' AS cause FROM following WHERE ts >= TIMESTAMP '{_RESTART}'
+UNION ALL SELECT site_id, until, 'ALLOW', 'timeout' FROM following
+WHERE until > TIMESTAMP '{_RESTART}' AND (until <= next_ts OR (next_ts IS NULL AND until <= {_CLOSED} - INTERVAL 10 MINUTES))""")
+def restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The command stream of the second half, started without a checkpoint from what the first half has left."""
+    first = a.commands(spark, sf_dir).filter(F.col("ts") < ts_lit(_RESTART))
+    rows = a.commands_from(streamed(spark, sf_dir).filter(F.col("ts") >= ts_lit(_RESTART)))
+    changes = lambda: stream_command_state(rows, history=command_states(first, _RESTART))
+    return with_custom_state(spark, lambda: as_table(spark, "restart", changes()))
+
+
 @query("stream_stale_alerts", f"""
-WITH t AS (SELECT event_type AS site_id, date_trunc('milliseconds', ts) AS ts FROM events),
+WITH t AS (SELECT event_type AS site_id, ts FROM events),
 n AS (SELECT site_id, ts, lead(ts) OVER (PARTITION BY site_id ORDER BY ts) AS next_ts FROM t)
 SELECT site_id, ts + INTERVAL 60 MINUTES AS ts, ts AS last_seen_ts FROM n
 WHERE next_ts - ts > INTERVAL 60 MINUTES OR (next_ts IS NULL AND ts + INTERVAL 60 MINUTES <= {_CLOSED} - INTERVAL 10 MINUTES)""")

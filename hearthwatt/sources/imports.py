@@ -2,14 +2,17 @@
 
 Any scheduler can start them; nothing in here waits or repeats. ``root`` is a folder of tables on shared storage:
 ``telemetry_raw``, ``landed_days``, ``station_15min``, ``prices``, ``forecast_hourly``, ``forecast_run``,
-``forecast_value``, ``exports``.
+``forecast_value``, ``exports``; with versioned tables also ``station_partials``, ``dayahead_known`` and ``forecast_known``.
+
+Jobs that upsert write versioned tables (see :mod:`.versions`) where :func:`prepare_versioned` has made them, and plain
+partitioned ones otherwise.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,23 +23,79 @@ from ..operators.baseline import baseline_forecast
 from ..operators.consumption import consumption_components, home_consumption
 from ..operators.fusion import power_from_accumulation, weather_fusion, with_weather
 from ..operators.grid import split_aligned, time_grid
+from ..operators.partials import add_partials, means_of_partials, slot_partials
 from ..operators.pv import pv_forecast
 from ..operators.quality import row_parity
 from ..schemas import ALLOWED_AVERAGES, BASELINE_DEFAULTS, FORECAST_COLUMNS, PV_PRODUCTION, TELEMETRY
-from . import landing, snapshots, tables
-from .shared import remove, run_folder
+from . import landing, revisions, snapshots, tables, versions
+from .shared import checkpoint_id, remove, run_folder
+
+UPSERTED = ("station_15min", "prices", "forecast_hourly")
+
+
+def prepare_versioned(spark: SparkSession, root: str, names: Sequence[str] = UPSERTED) -> None:
+    """Make tables that jobs upsert into versioned: readers keep what they began to read, and an upsert that dies shows nothing."""
+    for name in names:
+        versions.create(spark, f"{root}/{name}")
+
+
+def _upsert(spark: SparkSession, rows: DataFrame, path: str, key: Sequence[str], now: datetime) -> None:
+    store = versions.upsert_versioned if versions.is_versioned(spark, path) else tables.upsert_stored
+    store(spark, rows, path, key, ts_lit(now))
+
 
+def stored_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of either kind; of a versioned one the newest version, whatever is committed while the frame is in use."""
+    path = f"{root}/{name}"
+    return versions.read(spark, path) if versions.is_versioned(spark, path) else spark.read.parquet(path)
 
-def import_archives(spark: SparkSession, inbox: str, root: str, processed: str | None = None) -> None:
-    """Nightly: raw archives from the inbox, rows that are already there ignored."""
 
-    def store(batch: DataFrame, _: int) -> None:
-        tables.insert_ignore_stored(batch.sparkSession, batch, f"{root}/telemetry_raw", ["site_id", "ts"], ["merged_at"])
+def import_archives(spark: SparkSession, inbox: str, root: str, processed: str | None = None,
+                    averaged: Sequence[str] | None = None) -> None:
+    """Nightly: raw archives from the inbox, rows that are already there ignored.
+
+    With ``averaged`` the sums of these columns over the new rows are added to the pieces of their slots in ``station_partials``, from
+    which :func:`publish_station_means` takes means without reading raw rows. A batch that is repeated after a crash is
+    added once: its number is part of the version that holds its sums.
+    """
+    checkpoint = f"{root}/_checkpoints/archives"
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+
+        def add(new: DataFrame) -> None:
+            versions.merge(session, f"{root}/station_partials", slot_partials(new, averaged),
+                           lambda old, pieces: pieces if old is None else add_partials(old, pieces),
+                           (checkpoint_id(session, checkpoint), batch_id))
+
+        tables.insert_ignore_stored(session, batch, f"{root}/telemetry_raw", ["site_id", "ts"], ["merged_at"], add if averaged else None)
         # After the rows, and from all rows of the batch: a batch that is repeated after a crash logs its days then.
         _log_days(tables.with_day(batch).select("site_id", "dt").distinct(), root, "landed")
 
     (landing.read_archive(spark, inbox, TELEMETRY, processed).writeStream.foreachBatch(store)
-     .option("checkpointLocation", f"{root}/_checkpoints/archives").trigger(availableNow=True).start().awaitTermination())
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+
+
+def publish_station_means(spark: SparkSession, root: str, now: datetime, cols: Sequence[str] = tuple(ALLOWED_AVERAGES)) -> list[str]:
+    """Every quarter hour: means of all complete slots whose pieces have changed, upserted. Returns the days that were read.
+
+    These are the days that differ between the version of ``station_partials`` that was published last and the newest one, and
+    those whose last slots were not complete then. What is read is bounded by what has landed, however old it is.
+    """
+    source, target = f"{root}/station_partials", f"{root}/station_15min"
+    end = now.replace(minute=now.minute - now.minute % 15, second=0, microsecond=0)
+    pieces, shown = versions.load(spark, source), versions.create(spark, target)
+    if pieces is None:
+        return []
+    days = set(versions.changed_days(versions.known(spark, source, shown.sources.get("partials")), pieces))
+    until = shown.sources.get("until")
+    if until is not None:
+        first = (datetime(1970, 1, 1) + timedelta(seconds=until)).date().isoformat()
+        days |= {day for day in pieces.days if first <= day <= end.date().isoformat()}
+    rows = means_of_partials(versions.read(spark, source, pieces, days), cols).filter(F.col("ts") <= ts_lit(end)).drop("rows_used")
+    notes = {"partials": pieces.number, "until": int((end - datetime(1970, 1, 1)).total_seconds())}
+    versions.upsert_versioned(spark, rows, target, ["site_id", "ts"], ts_lit(now), notes=notes)
+    return sorted(days)
 
 
 def _log_days(days: DataFrame, root: str, kind: str) -> None:
@@ -64,12 +123,12 @@ def import_station_means(spark: SparkSession, root: str, now: datetime, cols: Se
     folder = run_folder(spark, "landed-days")  # kept: the rows off the grid are read after the log has changed
     landed.filter("dt IS NOT NULL").distinct().write.parquet(folder)
     landed = spark.read.schema("site_id string, dt date").parquet(folder)
-    first = landed.agg(F.min("dt")).first()[0]
-    first = start.date() if first is None else min(first, start.date())
-    raw = raw.filter(F.col("dt") >= F.lit(first)).join(landed.withColumn("_landed", F.lit(True)), ["site_id", "dt"], "left") \
-        .filter((F.col("ts") >= ts_lit(start)) | F.col("_landed")).drop("_landed")
-    good, quarantine = split_aligned(avg_15min(raw, cols).drop("rows_used"))
-    tables.upsert_stored(spark, good, f"{root}/station_15min", ["site_id", "ts"], ts_lit(now))
+    # Two reads with literal days, so that no other day is listed: the last hours, and older rows of the landed site-days.
+    days = [row["dt"] for row in landed.select("dt").distinct().collect()]
+    recent = raw.filter((F.col("dt") >= F.lit(start.date())) & (F.col("ts") >= ts_lit(start)))
+    older = raw.filter(F.col("dt").isin(days) & (F.col("ts") < ts_lit(start))).join(landed, ["site_id", "dt"], "left_semi")
+    good, quarantine = split_aligned(avg_15min(recent.unionByName(older), cols).drop("rows_used"))
+    _upsert(spark, good, f"{root}/station_15min", ["site_id", "ts"], now)
     mark = spark.createDataFrame([(None, None)], landed.schema)  # an entry without rows would leave no file
     _log_days(landed.filter(F.col("dt") >= F.lit(end.date())).unionByName(mark), root, "kept")
     for entry in entries:
@@ -81,28 +140,65 @@ def import_dayahead(spark: SparkSession, documents: str, root: str, now: datetim
     """Prices of the landed documents, gaps filled forward, upserted. Returns the rows off the grid."""
     filled = landing.fill_dayahead(*landing.read_dayahead_xml(spark, documents))
     good, quarantine = split_aligned(filled.select("zone", "ts", "price_eur_per_mwh"))
-    tables.upsert_stored(spark, good, f"{root}/prices", ["zone", "ts"], ts_lit(now))
+    _upsert(spark, good, f"{root}/prices", ["zone", "ts"], now)
     return quarantine
 
 
+def import_dayahead_documents(spark: SparkSession, inbox: str, root: str, now: datetime) -> DataFrame:
+    """Prices of the documents that have come in since the last run; returns the rows off the grid.
+
+    Every document is read once, into ``dayahead_known``. The days on which something new is known are filled forward, each with the
+    day before it at hand, and upserted into ``prices``, which is a versioned table.
+    """
+    known, target = f"{root}/dayahead_known", f"{root}/prices"
+    revisions.store_dayahead(spark, inbox, known, f"{root}/_checkpoints/dayahead")
+    rows, days, notes = _new_days(spark, known, target, back=1)
+    filled = revisions.known_prices(rows).filter(F.col("ts").cast("date").isin(days)).select("zone", "ts", "price_eur_per_mwh")
+    good, quarantine = split_aligned(filled)
+    versions.upsert_versioned(spark, good, target, ["zone", "ts"], ts_lit(now), notes=notes)
+    return quarantine
+
+
+def import_forecast_documents(spark: SparkSession, inbox: str, root: str, now: datetime, allow_accumulation: bool = False,
+                              mode: str = "hourly") -> None:
+    """Weather forecast of the documents that have come in since the last run, by way of ``forecast_known``."""
+    known, target = f"{root}/forecast_known", f"{root}/forecast_hourly"
+    revisions.store_forecast(spark, inbox, known, f"{root}/_checkpoints/forecast")
+    rows, days, notes = _new_days(spark, known, target, back=1)
+    hours = revisions.known_forecast(rows)
+    hours = (power_from_accumulation(hours, mode) if allow_accumulation else hours).filter(F.col("ts").cast("date").isin(days))
+    versions.upsert_versioned(spark, hours.select("site_id", "ts", *FORECAST_COLUMNS), target, ["site_id", "ts"], ts_lit(now), notes=notes)
+
+
+def _new_days(spark: SparkSession, source: str, target: str, back: int) -> tuple[DataFrame, list[date], dict[str, int]]:
+    """Rows of the days of ``source`` that ``target`` has not taken in yet and of ``back`` days before each, these days, and a note
+    of how far ``target`` will be."""
+    name, newest, shown = source.rsplit("/", 1)[-1], versions.load(spark, source), versions.create(spark, target)
+    if newest is None:
+        raise ValueError(f"nothing has been read into {source} yet")
+    before = versions.known(spark, source, shown.sources.get(name))
+    days = [date.fromisoformat(day) for day in versions.changed_days(before, newest) if day != versions.NO_DAY]
+    near = {day - timedelta(days=i) for day in days for i in range(back + 1)}
+    return versions.read(spark, source, newest, near), days, {name: newest.number}
+
+
 def import_forecast(spark: SparkSession, documents: str, root: str, now: datetime, allow_accumulation: bool = False,
                     mode: str = "hourly") -> None:
     """Hourly weather forecast, upserted. Accumulated radiation stands in for the missing power only if allowed."""
     rows = landing.read_forecast_xml(spark, documents)
     rows = power_from_accumulation(rows, mode) if allow_accumulation else rows
-    tables.upsert_stored(spark, rows.select("site_id", "ts", *FORECAST_COLUMNS), f"{root}/forecast_hourly",
-                         ["site_id", "ts"], ts_lit(now))
+    _upsert(spark, rows.select("site_id", "ts", *FORECAST_COLUMNS), f"{root}/forecast_hourly", ["site_id", "ts"], now)
 
 
 def stored_fusion(spark: SparkSession, root: str, sites: DataFrame) -> DataFrame:
     """The wide series over the stored tables; a plan, nothing to refresh."""
-    return weather_fusion(spark.read.parquet(f"{root}/prices"), spark.read.parquet(f"{root}/forecast_hourly"),
-                          spark.read.parquet(f"{root}/station_15min"), sites)
+    prices, forecast, station = (stored_table(spark, root, name) for name in ("prices", "forecast_hourly", "station_15min"))
+    return weather_fusion(prices, forecast, station, sites)
 
 
 def stored_components(spark: SparkSession, root: str, since: datetime | None = None) -> DataFrame:
     """Consumption components over the stored quarter hours; ``since`` reads only the days that are needed."""
-    station = spark.read.parquet(f"{root}/station_15min")
+    station = stored_table(spark, root, "station_15min")
     if since is not None:
         station = station.filter((F.col("dt") >= ts_lit(since).cast("date")) & (F.col("ts") >= ts_lit(since)))
     return consumption_components(home_consumption(station).select(
@@ -130,8 +226,8 @@ def stored_slots(spark: SparkSession, root: str, sites: DataFrame, now: datetime
     grid = time_grid(sites.select("site_id").distinct(), ts_lit(start), ts_lit(end))
     hour = timedelta(hours=1)  # the slots of an hour need the hour before and after them
     near = F.col("dt").between(ts_lit(start - hour).cast("date"), ts_lit(end + hour).cast("date"))
-    return with_weather(grid, spark.read.parquet(f"{root}/forecast_hourly").filter(near),
-                        spark.read.parquet(f"{root}/station_15min").filter(near))
+    return with_weather(grid, stored_table(spark, root, "forecast_hourly").filter(near),
+                        stored_table(spark, root, "station_15min").filter(near))
 
 
 def run_pv_forecast(spark: SparkSession, root: str, sites: DataFrame, now: datetime,

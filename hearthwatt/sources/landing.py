@@ -121,4 +121,5 @@ def read_commands(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_commands(commands: DataFrame, path: str) -> None:
-    commands.select("site_id", "ts", "command").write.mode("append").json(path)
+    """JSON lines with times to the microsecond, which decides between commands."""
+    commands.select("site_id", "ts", "command").write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)

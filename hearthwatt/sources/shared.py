@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,3 +29,13 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run."""
     return f"{shared_root(spark)}/hearthwatt/{name}-{uuid.uuid4().hex}"
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """Name of a running stream that its checkpoint keeps for good; a new checkpoint, whose batches start at 0 again, has another."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        return json.loads(bytes(stream.readAllBytes()))["id"]
+    finally:
+        stream.close()

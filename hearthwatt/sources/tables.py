@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -42,8 +42,10 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
 def _replace_days(spark: SparkSession, merged: DataFrame, path: str) -> None:
     """Put the rebuilt days in place. They are written aside first: a folder cannot be read and replaced in one job."""
     staging, rebuilt = _aside(spark, merged)
-    write_partitioned(rebuilt.drop(DT), path, mode="overwrite")
-    remove(spark, staging)
+    try:
+        write_partitioned(rebuilt.drop(DT), path, mode="overwrite")
+    finally:
+        remove(spark, staging)
 
 
 def _aside(spark: SparkSession, df: DataFrame) -> tuple[str, DataFrame]:
@@ -54,12 +56,10 @@ def _aside(spark: SparkSession, df: DataFrame) -> tuple[str, DataFrame]:
 
 
 def _touched(stored: DataFrame, updates: DataFrame) -> DataFrame:
-    """Stored rows of the days that the updates reach. The first and the last day are literals, so only partitions
-    between them, and the one of rows without a time, are listed and read."""
-    days = with_day(updates).select(F.col(DT).alias("_day")).distinct()
-    first, last = days.agg(F.min("_day"), F.max("_day")).first()
-    near = F.col(DT).isNull() if first is None else F.col(DT).isNull() | F.col(DT).between(F.lit(first), F.lit(last))
-    return stored.filter(near).join(days, F.col(DT).eqNullSafe(F.col("_day")), "left_semi")
+    """Stored rows of the days that the updates reach. The days are literals, so no other partition is listed or read."""
+    days = [row[0] for row in with_day(updates).select(DT).distinct().collect()]
+    named = F.col(DT).isin([day for day in days if day is not None])
+    return stored.filter(named | F.col(DT).isNull() if None in days else named)
 
 
 def upsert_stored(spark: SparkSession, updates: DataFrame, path: str, key: Sequence[str], now: Column,
@@ -80,16 +80,25 @@ def upsert_stored(spark: SparkSession, updates: DataFrame, path: str, key: Seque
         remove(spark, staging)
 
 
-def insert_ignore_stored(spark: SparkSession, updates: DataFrame, path: str, key: Sequence[str], order: Sequence[str]) -> None:
-    """First write wins: append only the keys that are not stored yet."""
-    stored = read_stored(spark, path)
-    if stored is None:
-        write_partitioned(dedupe(updates, key, order, keep="first"), path)
-        return
+def insert_ignore_stored(spark: SparkSession, updates: DataFrame, path: str, key: Sequence[str], order: Sequence[str],
+                         before: Callable[[DataFrame], None] | None = None) -> None:
+    """First write wins: append only the keys that are not stored yet. ``before`` is handed these rows before they are."""
     staging, updates = _aside(spark, updates)
-    new = updates.join(_touched(stored, updates).select(*key), list(key), "left_anti")
-    write_partitioned(dedupe(new, key, order, keep="first"), path)
-    remove(spark, staging)
+    try:
+        stored = read_stored(spark, path)
+        new = updates if stored is None else updates.join(_touched(stored, updates).select(*key), list(key), "left_anti")
+        new = dedupe(new, key, order, keep="first")
+        if before is not None:
+            folder, new = _aside(spark, new)
+            try:
+                before(new)
+                write_partitioned(new, path)
+            finally:
+                remove(spark, folder)
+        else:
+            write_partitioned(new, path)
+    finally:
+        remove(spark, staging)
 
 
 def append_forecast_run(run: DataFrame, values: DataFrame, root: str) -> None:

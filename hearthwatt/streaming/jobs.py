@@ -14,9 +14,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.quantities import wind_components, wind_from_components
 from ..functions.timeparts import epoch_seconds, from_epoch_seconds, ts_lit
+from ..operators.control import parse_commands
 from ..operators.keyed import dedupe
-from ..schemas import SCALARS
+from ..operators.partials import add_partials, slot_partials
+from ..schemas import ALLOWED_AVERAGES, SCALARS
+from ..sources.shared import checkpoint_id
 from ..sources.tables import upsert_stored
+from ..sources.versions import merge, upsert_versioned
 from .stateful import AutoRevert, StaleAlerts
 
 EVENT_TIME = "event_time"
@@ -30,16 +34,21 @@ def read_rows(spark: SparkSession, path: str, schema: T.StructType, files_per_ba
 
 
 def instant(ts: Column | str) -> Column:
-    """Event time to the millisecond, the resolution of timers."""
-    return F.timestamp_millis(epoch_seconds(ts) * 1000 + F.date_format(ts, "SSS").cast("bigint"))
+    """Event time of a UTC time."""
+    return F.timestamp_micros(micros(ts))
+
+
+def micros(ts: Column | str) -> Column:
+    """Microseconds since 1970 of a UTC time."""
+    return epoch_seconds(ts) * 1_000_000 + F.date_format(ts, "SSSSSS").cast("bigint")
 
 
 def stored(at: Column) -> Column:
     return from_epoch_seconds(F.unix_seconds(at))
 
 
-def from_millis(ms: str) -> Column:
-    return F.timestamp_add("MILLISECOND", F.col(ms), ts_lit("1970-01-01 00:00:00"))
+def from_micros(us: str) -> Column:
+    return F.timestamp_add("MICROSECOND", F.col(us), ts_lit("1970-01-01 00:00:00"))
 
 
 def with_event_time(stream: DataFrame, lateness: str) -> DataFrame:
@@ -75,27 +84,35 @@ def stream_retained(stream: DataFrame) -> DataFrame:
     return stream.groupBy("site_id").agg(F.max("ts").alias("ts"), F.max_by("command", "ts").alias("command"))
 
 
-def stream_command_state(stream: DataFrame, lateness: str = "10 minutes") -> DataFrame:
+def command_states(commands: DataFrame, reported_until: datetime | str) -> DataFrame:
+    """State that a batch of older commands leaves for each site: its newest command, and when that runs out unless it has before
+    ``reported_until``, up to which a return to ALLOW has been reported already."""
+    newest = parse_commands(commands).groupBy("site_id").agg(F.max_by(F.struct("ts", "minutes"), F.struct("ts", "command")).alias("c"))
+    until = F.when(F.col("c.minutes").isNotNull(), micros("c.ts") + F.col("c.minutes").cast("bigint") * 60_000_000)
+    return newest.select("site_id", micros("c.ts").alias("us"), F.when(until > micros(ts_lit(reported_until)), until).alias("until"))
+
+
+def stream_command_state(stream: DataFrame, lateness: str = "10 minutes", history: DataFrame | None = None) -> DataFrame:
     """Mode changes of each site, with the return to ALLOW when a timed prohibition runs out without a new command.
 
-    Rows are ``site_id, ts, mode, cause`` with cause ``command`` or ``timeout``. Of the commands of one millisecond a
-    prohibition counts. A late command is reported, but neither mode nor timer goes back behind a newer one. Append
-    mode; needs RocksDB state.
+    Rows are ``site_id, ts, mode, cause`` with cause ``command`` or ``timeout``. Of the commands of one microsecond a
+    prohibition counts. A late command is reported, but neither mode nor timer goes back behind a newer one. ``history`` (see
+    :func:`command_states`) is where the sites stand when the stream starts without a checkpoint. Append mode; needs RocksDB state.
     """
-    rows = with_event_time(stream, lateness).select("site_id", EVENT_TIME, F.unix_millis(EVENT_TIME).alias("ms"), "command")
+    rows = with_event_time(stream, lateness).select("site_id", EVENT_TIME, micros("ts").alias("us"), "command")
     changes = rows.groupBy("site_id").transformWithStateInPandas(
-        AutoRevert(), outputStructType="site_id string, ms bigint, mode string, cause string", outputMode="append",
-        timeMode="eventTime")
-    return changes.select("site_id", from_millis("ms").alias("ts"), "mode", "cause")
+        AutoRevert(), outputStructType="site_id string, us bigint, mode string, cause string", outputMode="append",
+        timeMode="eventTime", initialState=None if history is None else history.groupBy("site_id"))
+    return changes.select("site_id", from_micros("us").alias("ts"), "mode", "cause")
 
 
 def stream_stale_alerts(stream: DataFrame, minutes: int, lateness: str = "10 minutes") -> DataFrame:
     """One row when a site has sent nothing for ``minutes``, at the time that became true."""
-    rows = with_event_time(stream, lateness).select("site_id", EVENT_TIME, F.unix_millis(EVENT_TIME).alias("ms"))
+    rows = with_event_time(stream, lateness).select("site_id", EVENT_TIME, micros("ts").alias("us"))
     alerts = rows.groupBy("site_id").transformWithStateInPandas(
-        StaleAlerts(minutes), outputStructType="site_id string, ms bigint, since_ms bigint", outputMode="append",
+        StaleAlerts(minutes), outputStructType="site_id string, us bigint, since_us bigint", outputMode="append",
         timeMode="eventTime")
-    return alerts.select("site_id", from_millis("ms").alias("ts"), from_millis("since_ms").alias("last_seen_ts"))
+    return alerts.select("site_id", from_micros("us").alias("ts"), from_micros("since_us").alias("last_seen_ts"))
 
 
 def with_rocksdb(spark: SparkSession) -> str | None:
@@ -113,20 +130,41 @@ def start_files(stream: DataFrame, out: str, checkpoint: str, **trigger: object)
 
 
 def start_upserts(stream: DataFrame, table: str, checkpoint: str, key: Sequence[str], now: datetime | str | None = None,
-                  order: Sequence[str] = (), output_mode: str = "update", **trigger: object) -> StreamingQuery:
+                  order: Sequence[str] = (), output_mode: str = "update", versioned: bool = False, **trigger: object) -> StreamingQuery:
     """Upsert every batch into a table partitioned by day, so late rows correct what was stored.
 
-    A batch that is repeated after a failure writes the same values again.
+    A batch that is repeated after a failure writes the same values again. With ``versioned`` every batch is a version of the table:
+    readers see none of it or all of it, and a repeated batch is left out.
     """
 
-    def write(batch: DataFrame, _: int) -> None:
-        at = ts_lit(now if now is not None else datetime.now(timezone.utc).replace(tzinfo=None))
-        upsert_stored(batch.sparkSession, batch, table, key, at, order)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        at, session = ts_lit(now if now is not None else datetime.now(timezone.utc).replace(tzinfo=None)), batch.sparkSession
+        if versioned:
+            upsert_versioned(session, batch, table, key, at, order, (checkpoint_id(session, checkpoint), batch_id))
+        else:
+            upsert_stored(session, batch, table, key, at, order)
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode(output_mode)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def start_partials(stream: DataFrame, table: str, checkpoint: str, cols: Sequence[str] = tuple(ALLOWED_AVERAGES),
+                   **trigger: object) -> StreamingQuery:
+    """Add every batch of raw rows to the stored pieces of their slots, however late the rows are.
+
+    No watermark and no state: what is read again are the pieces of the days that a batch touches. A repeated batch is left out.
+    The stream must not hold a row twice (see ``stream_dedupe``).
+    """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        merge(session, table, slot_partials(batch, cols), lambda old, new: new if old is None else add_partials(old, new),
+              (checkpoint_id(session, checkpoint), batch_id))
+
+    return (stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def start_batches(stream: DataFrame, out: str, checkpoint: str, output_mode: str = "update", **trigger: object) -> StreamingQuery:
     """Write every batch of updated rows to a folder of its own; a repeated batch replaces itself."""
 

@@ -1,6 +1,6 @@
 """Per-site timers. The state of a site is one pending time, whatever the number of its rows.
 
-Times enter and leave as milliseconds since 1970, so the session zone plays no part.
+Times enter and leave as microseconds since 1970, so the session zone plays no part; only timers are rounded up to milliseconds.
 """
 
 from __future__ import annotations
@@ -28,28 +28,50 @@ def parse(command: str) -> tuple[str, int | None] | None:
     return ("PROHIBIT", minutes) if mode == "PROHIBIT" and 1 <= minutes <= MAX_MINUTES else None
 
 
+DAY_MICROS = 86_400_000_000
+
+
+def _millis(micros: int) -> int:
+    """The first millisecond at or after a time; timers know no finer ones."""
+    return -(-micros // 1000)
+
+
 class AutoRevert(StatefulProcessor):
-    """Emits each command and, when a timed prohibition runs out first, the return to ALLOW."""
+    """Emits each command and, when a timed prohibition runs out first, the return to ALLOW.
+
+    A site may start with the state that a batch of older commands has left: the time of its newest command, and when that runs
+    out if it does so later on. The state of a site that has been silent for ``forget_days`` is dropped.
+    """
+
+    def __init__(self, forget_days: int = 400) -> None:
+        self.keep = forget_days * DAY_MICROS
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.pending = handle.getValueState("pending", "until bigint")
         self.last = handle.getValueState("last", "at bigint")
 
-    def _set(self, until: int | None) -> None:
+    def _set(self, until: int | None, last: int | None) -> None:
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         if until is None:
             self.pending.clear()
         else:
             self.pending.update((until,))
-            self.handle.registerTimer(until)
+            self.handle.registerTimer(_millis(until))
+        if last is not None:
+            self.last.update((last,))
+            self.handle.registerTimer(_millis(last + self.keep))
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        row = initialState.iloc[0]
+        self._set(None if pd.isna(row["until"]) else int(row["until"]), int(row["us"]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         until = self.pending.get()[0] if self.pending.exists() else None
         last = self.last.get()[0] if self.last.exists() else None
         out = []
-        for now, command in sorted((ms, c) for batch in rows for ms, c in zip(batch["ms"], batch["command"]) if c is not None):
+        for now, command in sorted((us, c) for batch in rows for us, c in zip(batch["us"], batch["command"]) if c is not None):
             parsed = parse(command)
             if parsed is None:
                 continue
@@ -60,21 +82,20 @@ class AutoRevert(StatefulProcessor):
             last = int(now)
             if until is not None and until <= now:
                 out.append((key[0], until, "ALLOW", "timeout"))
-            until = int(now) + minutes * 60_000 if minutes is not None else None
+            until = int(now) + minutes * 60_000_000 if minutes is not None else None
             out.append((key[0], int(now), mode, "command"))
-        self._set(until)
-        if last is not None:
-            self.last.update((last,))
-        yield pd.DataFrame(out, columns=["site_id", "ms", "mode", "cause"])
+        self._set(until, last)
+        yield pd.DataFrame(out, columns=["site_id", "us", "mode", "cause"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        until = expiredTimerInfo.getExpiryTimeInMs()
-        current = self.pending.get()[0] if self.pending.exists() else None
-        if current == until:
+        at, out = expiredTimerInfo.getExpiryTimeInMs(), []
+        until = self.pending.get()[0] if self.pending.exists() else None
+        if until is not None and _millis(until) == at:
             self.pending.clear()
-            yield pd.DataFrame([(key[0], until, "ALLOW", "timeout")], columns=["site_id", "ms", "mode", "cause"])
-        else:
-            yield pd.DataFrame(columns=["site_id", "ms", "mode", "cause"])
+            out.append((key[0], until, "ALLOW", "timeout"))
+        if self.last.exists() and _millis(self.last.get()[0] + self.keep) == at:
+            self.last.clear()
+        yield pd.DataFrame(out, columns=["site_id", "us", "mode", "cause"])
 
     def close(self) -> None:
         pass
@@ -84,7 +105,7 @@ class StaleAlerts(StatefulProcessor):
     """Emits a row when a site stays silent longer than allowed."""
 
     def __init__(self, minutes: int) -> None:
-        self.limit = timedelta(minutes=minutes) // timedelta(milliseconds=1)
+        self.limit = timedelta(minutes=minutes) // timedelta(microseconds=1)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -93,7 +114,7 @@ class StaleAlerts(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last, alerted = self.seen.get() if self.seen.exists() else (None, False)
         out = []
-        for at in sorted(int(ms) for batch in rows for ms in batch["ms"]):
+        for at in sorted(int(us) for batch in rows for us in batch["us"]):
             if last is not None and at - last > self.limit and not alerted:
                 out.append((key[0], last + self.limit, last))
             if last is None or at > last:
@@ -102,13 +123,13 @@ class StaleAlerts(StatefulProcessor):
             self.handle.deleteTimer(timer)
         self.seen.update((last, alerted))
         if not alerted:
-            self.handle.registerTimer(last + self.limit)
-        yield pd.DataFrame(out, columns=["site_id", "ms", "since_ms"])
+            self.handle.registerTimer(_millis(last + self.limit))
+        yield pd.DataFrame(out, columns=["site_id", "us", "since_us"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        columns = ["site_id", "ms", "since_ms"]
+        columns = ["site_id", "us", "since_us"]
         last, alerted = self.seen.get() if self.seen.exists() else (None, True)
-        due = last is not None and not alerted and last + self.limit == expiredTimerInfo.getExpiryTimeInMs()
+        due = last is not None and not alerted and _millis(last + self.limit) == expiredTimerInfo.getExpiryTimeInMs()
         if due:
             self.seen.update((last, True))
             yield pd.DataFrame([(key[0], last + self.limit, last)], columns=columns)

@@ -71,7 +71,7 @@ def test_jobs(spark, tmp_path):
     imports.run_baseline_forecast(spark, root, sites, NOW)
     runs, values = spark.read.parquet(f"{root}/forecast_run"), spark.read.parquet(f"{root}/forecast_value")
     best = newest_per_target(values, runs)
-    assert {r["target"]: r["count"] for r in best.groupBy("target").count().collect()} == {"pv_feed_in_w": 96, "baseline_w": 191}
+    assert {r["target"]: r["count"] for r in best.groupBy("target").count().collect()} == {"pv_feed_in_w": 96, "baseline_w": 192}
 
     report = {r["check"]: r["status"] for r in health_report({
         "sites": sites, "station": spark.read.parquet(f"{root}/station_15min"), "forecast": spark.read.parquet(f"{root}/forecast_hourly"),

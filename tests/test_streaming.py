@@ -132,3 +132,30 @@ def test_a_late_command_does_not_go_back(spark, tmp_path):
         (at(58), "ALLOW", "command"), (at(60), "PROHIBIT", "command"), (at(90), "ALLOW", "timeout")]
     assert [(r["ts"], r["mode"]) for r in sorted(got, key=lambda r: r["ts"]) if r["site_id"] == "b"] == [
         (at(59), "PROHIBIT"), (at(60, 100), "PROHIBIT"), (at(60, 200), "ALLOW")]
+
+
+def test_commands_of_one_millisecond(spark, tmp_path):
+    """Order counts to the microsecond, as in the intervals."""
+    at = lambda us: T0 + timedelta(minutes=60, microseconds=us)
+    data = [(0, "a", at(100), "PROHIBIT"), (0, "a", at(300), "ALLOW"), (0, "b", at(300), "PROHIBIT_1"), (0, "b", at(100), "ALLOW"), (0, "c", at(7), "PROHIBIT_1"),
+            (1, "end", T0 + timedelta(minutes=300), "ALLOW")]
+    frame = spark.createDataFrame(data, "minute int, site_id string, ts timestamp_ntz, command string")
+    got = with_custom_state(spark, lambda: run(spark, jobs.stream_command_state(land(spark, frame, tmp_path, [(0, 1), (1, 2)])), tmp_path)).collect()
+    of = lambda site: [(r["ts"], r["mode"], r["cause"]) for r in sorted(got, key=lambda r: r["ts"]) if r["site_id"] == site]
+    assert of("a") == [(at(100), "PROHIBIT", "command"), (at(300), "ALLOW", "command")]
+    assert of("b") == [(at(100), "ALLOW", "command"), (at(300), "PROHIBIT", "command"), (at(300 + 60_000_000), "ALLOW", "timeout")]
+    assert of("c")[1] == (at(7 + 60_000_000), "ALLOW", "timeout")
+
+
+def test_restart_from_the_log_equals_intervals(spark, tmp_path):
+    frame, split = commands(spark), T0 + timedelta(minutes=500)
+    later = land(spark, frame.filter(F.col("ts") >= ts_lit(split)), tmp_path, [(0, 700), (700, 10**6)])
+    history = jobs.command_states(frame.filter(F.col("ts") < ts_lit(split)).drop("minute"), split)
+    got = with_custom_state(spark, lambda: run(spark, jobs.stream_command_state(later, history=history), tmp_path))
+    want = []
+    for r in command_intervals(frame.drop("minute")).collect():
+        want.append((r["site_id"], r["start_ts"], r["mode"], "command"))
+        if r["command"].startswith("PROHIBIT_") and r["end_ts"] == r["start_ts"] + timedelta(minutes=int(r["command"][9:])):
+            want.append((r["site_id"], r["end_ts"], "ALLOW", "timeout"))
+    out = sorted((r["site_id"], r["ts"], r["mode"], r["cause"]) for r in got.collect())
+    assert out == sorted(x for x in want if x[1] >= split) and len({x[0] for x in out if x[3] == "timeout"}) == 2
