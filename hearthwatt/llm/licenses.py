@@ -57,11 +57,13 @@ def _hash(gram: str) -> Column:
 def template_grams(spark: SparkSession, phrases: list[tuple[str, str]], texts: list[tuple[str, str]]) -> DataFrame:
     """``template, label, phrase, grams`` and each of a template's grams with its place there."""
     rows = [(k, label, text, k < len(phrases)) for k, (label, text) in enumerate([*phrases, *texts])]
+    if short := [text for _, _, text, _ in rows if len(text.split()) < HASHED]:
+        raise ValueError(f"templates of fewer than {HASHED} words: {short}")
     known = F.array(*(F.struct(F.lit(k).alias("template"), F.lit(label).alias("label"), F.lit(text).alias("text"), F.lit(phrase).alias("phrase"))
                       for k, label, text, phrase in rows))
     each = spark.range(1).select(F.inline(known)).withColumn("words", words(F.col("text")))
     count = F.greatest(F.size("words") - (GRAM - 1), F.lit(1))
-    return each.select("template", "label", "phrase", count.alias("grams"),
+    return each.select("template", "label", "phrase", count.alias("grams"), F.least(F.size("words"), F.lit(GRAM)).alias("size"),
                        F.posexplode(F.slice(grams(F.col("words")), 1, count)).alias("place", "known")).withColumn("hash", _hash("known"))
 
 
@@ -71,8 +73,8 @@ def license_spans(documents: DataFrame, column: str = "text", key: str = "doc_id
 
     Every word of every text starts a gram, and all grams are joined with the places of the same words in the templates.
     Each match votes for the diagonal (its place in the text minus that in the template). Neighbouring diagonals, as
-    words put in or left out make them, are one span, whose coverage is its share of the template's grams. ``places``
-    are diagonals with all grams, so exact occurrences; a phrase counts only by these. A row of ``documents`` without any match
+    words put in or left out make them, are one span from its first to its last matched word, whose coverage is its share of the
+    template's grams. ``places`` are diagonals with all grams, so exact occurrences; a phrase counts only by these. A row of ``documents`` without any match
     has one row here, with nulls from ``label`` on. ``row`` tells rows with the same id apart.
 
     The join is with some hundred grams of fixed templates, so the side that is broadcast does not grow with the data, and only
@@ -87,16 +89,16 @@ def license_spans(documents: DataFrame, column: str = "text", key: str = "doc_id
     for k in range(1, GRAM):
         same &= F.col(f"known.w{k}").isNull() | (F.col(f"gram.w{k}") == F.col(f"known.w{k}"))
     matched = rolling.join(known, same, "left").where("template IS NOT NULL OR coalesce(at, 0) = 0")
-    votes = matched.select("row", "doc_id", "n_words", "template", "label", "phrase", "grams", (F.col("at") - F.col("place")).alias("diagonal")) \
-        .repartition("row").groupBy("row", "doc_id", "n_words", "template", "label", "phrase", "grams", "diagonal").agg(F.count("*").alias("votes"))
+    each = ["row", "doc_id", "n_words", "template", "label", "phrase", "grams"]
+    votes = matched.select(*each, (F.col("at") - F.col("place")).alias("diagonal"), "at", (F.col("at") + F.col("size") - 1).alias("end")) \
+        .repartition("row").groupBy(*each, "diagonal").agg(F.count("*").alias("votes"), F.min("at").alias("first"), F.max("end").alias("last"))
     order = Window.partitionBy("row", "template").orderBy("diagonal")
     apart = F.coalesce(F.col("phrase"), F.lit(True)) | (F.col("diagonal") - F.lag("diagonal").over(order) > DRIFT)
     runs = votes.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("run", F.sum("apart").over(order))
     whole = F.col("votes") == F.col("grams")
-    spans = runs.groupBy("row", "doc_id", "n_words", "template", "label", "phrase", "grams", "run").agg(
-        F.count_if(whole).alias("places"), F.min("diagonal").alias("first"), F.max("diagonal").alias("last"), F.sum("votes").alias("votes"))
-    return spans.select("row", "doc_id", "n_words", "label", "phrase", "places", F.col("first").cast("long").alias("first"),
-                        (F.col("last") + F.col("grams") + F.when(F.col("grams") > 1, GRAM - 1).otherwise(0) - 1).cast("long").alias("last"),
+    spans = runs.groupBy(*each, "run").agg(F.count_if(whole).alias("places"), F.min("first").cast("long").alias("first"),
+                                           F.max("last").cast("long").alias("last"), F.sum("votes").alias("votes"))
+    return spans.select("row", "doc_id", "n_words", "label", "phrase", "places", "first", "last",
                         F.when(F.col("grams").isNotNull(), F.least(F.lit(1.0), F.col("votes") / F.col("grams"))).alias("coverage"))
 
 
