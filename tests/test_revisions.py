@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from hearthwatt.functions.timeparts import ts_lit
 from hearthwatt.sources import imports, revisions, versions
 
 DAY = datetime(2026, 3, 2)
@@ -122,4 +123,4 @@ def test_weather_documents(spark, tmp_path):
     again = imports.stored_table(spark, root, "forecast_hourly").orderBy("ts").collect()
     assert [r[:-2] for r in map(tuple, again)] == [r[:-2] for r in map(tuple, rows)]
     known = versions.read(spark, f"{root}/forecast_known")
-    assert known.count() == 3 and revisions.known_forecast(known, DAY - timedelta(hours=1)).filter(F.col("ts") == hour).first()["temperature_c"] == 1.0
+    assert known.count() == 3 and revisions.known_forecast(known, DAY - timedelta(hours=1)).filter(F.col("ts") == ts_lit(hour)).first()["temperature_c"] == 1.0

@@ -175,10 +175,10 @@ def test_late_batches_through_the_jobs(spark, tmp_path):
     for first in range(0, 500, 170):
         some = times[first:first + 170]
         landed += some
-        rows.filter(F.col("ts").isin([t for t in (some if first else some + landed[:20])])).coalesce(1).write.mode("append").parquet(inbox)
+        rows.filter(F.col("ts").isin([ts_lit(t) for t in (some + landed[:20])])).coalesce(1).write.mode("append").parquet(inbox)
         imports.import_archives(spark, inbox, root, averaged=ALLOWED_AVERAGES)
         imports.publish_station_means(spark, root, now)
-        whole = avg_15min(rows.filter(F.col("ts").isin(landed)), ALLOWED_AVERAGES).filter(F.col("ts") <= ts_lit(at(4, 12)))
+        whole = avg_15min(rows.filter(F.col("ts").isin([ts_lit(t) for t in landed])), ALLOWED_AVERAGES).filter(F.col("ts") <= ts_lit(at(4, 12)))
         assert means(imports.stored_table(spark, root, "station_15min")) == means(whole.drop("rows_used"))
     assert imports.publish_station_means(spark, root, now) == ["2026-03-04"]  # its slots were not complete
     late = raw(spark, [at(2, 3) + timedelta(seconds=5)])
