@@ -15,7 +15,7 @@ from hearthwatt.llm.frames import stored, table
 from hearthwatt.llm.registry import query
 from hearthwatt.sources.shared import run_folder
 
-#: Payload per archive. A reader holds one archive in memory.
+#: Bytes per archive. A reader holds one archive in memory.
 ARCHIVE_BYTES = 16 << 20
 
 _START = re.compile(rb"WARC/1\.[01]\r\n")
@@ -65,22 +65,29 @@ def records(pages: DataFrame) -> DataFrame:
     return built.select(F.concat(head, F.col("http"), block).alias("record"))
 
 
-def _members(batches):
-    """Each record as a gzip member without its last byte, which is zero.
+def _archives(limit: int):
+    """Records as gzip members, as many to a row as come to ``limit`` bytes, one at least, without the row's last byte, which is zero.
 
-    The member ends with the record's length in four bytes, the last of which is zero below 16 MB. A longer record is
+    A member ends with the record's length in four bytes, the last of which is zero below 16 MB. A longer record is
     followed by an empty member.
     """
-    for batch in batches:
-        members = []
-        for record in batch.column(0):
-            raw = record.as_py() + b"\r\n\r\n"
-            squeeze = zlib.compressobj(1, zlib.DEFLATED, 31)
-            member = squeeze.compress(raw) + squeeze.flush()
-            if member[-1]:
-                member += _EMPTY
-            members.append(member[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], names=["member"])
+    def run(batches):
+        members, size = [], 0
+        for batch in batches:
+            for record in batch.column(0):
+                raw = record.as_py() + b"\r\n\r\n"
+                squeeze = zlib.compressobj(1, zlib.DEFLATED, 31)
+                member = squeeze.compress(raw) + squeeze.flush()
+                if member[-1]:
+                    member += _EMPTY
+                if members and size + len(member) > limit:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(members)[:-1]], pa.binary())], names=["archive"])
+                    members, size = [], 0
+                members.append(member)
+                size += len(member)
+        if members:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(members)[:-1]], pa.binary())], names=["archive"])
+    return run
 
 
 def write_warc(pages: DataFrame, folder: str, least: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
@@ -88,14 +95,13 @@ def write_warc(pages: DataFrame, folder: str, least: int = 0, archive_bytes: int
 
     Of equal payloads of ``least`` bytes or more the smallest page_id is a response and the others are revisits that
     refer to it; rows that repeat that very page_id are responses too, and so is a row without page_id unless another
-    row has the same payload. No rows: no records. Every record is a gzip member of its own. Spark's text sink writes the
-    files and commits them, so any file system will do and a lost task leaves nothing behind; the separator that it puts
-    behind each row is the member's last byte. An archive holds about ``archive_bytes`` of payload at most.
+    row has the same payload. No rows: no records. Columns besides these three are not read. Every record is a gzip member of its own.
+    Spark's text sink writes the files and commits them, so any file system will do and a lost task leaves nothing behind; the
+    separator that it puts behind each row is the archive's last byte. An archive holds ``archive_bytes`` bytes at most, unless one
+    record alone has more.
     """
-    rows = records(deduplicated(pages, least)).select(F.col("record").cast("binary")).mapInArrow(_members, "member binary")
-    mean = pages.agg(F.avg(F.octet_length("html"))).first()[0] or 1
-    rows.select(F.col("member").cast("string").alias("member")).write.option("lineSep", "\0") \
-        .option("maxRecordsPerFile", max(1, int(archive_bytes / max(1, mean)))).text(folder)
+    rows = records(deduplicated(pages, least)).select(F.col("record").cast("binary")).mapInArrow(_archives(archive_bytes), "archive binary")
+    rows.select(F.col("archive").cast("string").alias("archive")).write.option("lineSep", "\0").option("maxRecordsPerFile", 1).text(folder)
 
 
 def digest_text(payload: bytes) -> str:
@@ -135,53 +141,92 @@ def parse_record(content: bytes, at: int) -> tuple[dict, int]:
     return {"type": kind, "record_id": fields.get("warc-record-id"), "refers_to": fields.get("warc-refers-to"),
             "url": fields.get("warc-target-uri"), "date": fields.get("warc-date"), "digest": wanted or digest_text(payload),
             "payload_bytes": int(size[1]) if kind == "revisit" and size else len(payload),
-            "payload": None if kind == "revisit" else payload}, last + 4
+            "payload": None if kind == "revisit" else payload, "verified": bool(wanted) and kind != "revisit"}, last + 4
 
 
-def _member(content: bytes, at: int) -> tuple[bytes, int]:
-    """Bytes of the gzip member at a place, whose checksum holds, and the place behind it."""
-    stream, out = zlib.decompressobj(31), []
+def _member(content: bytes, at: int) -> tuple[bytes, int, str]:
+    """Bytes of the gzip member at a place, the place behind it, and what is wrong with it: then the bytes are those before the fault."""
+    stream, out, first = zlib.decompressobj(31), [], at
     while not stream.eof:
         if at >= len(content):
-            raise Damaged("gzip: member cut short")
+            return b"".join(out), at, "gzip: member cut short"
         part = content[at:at + (1 << 16)]
         try:
             out.append(stream.decompress(part))
-        except zlib.error as fault:
-            raise Damaged(f"gzip: {fault}") from None
+        except zlib.error as error:
+            return _before_fault(content[first:at + len(part)]), at + len(part), f"gzip: {error}"
         at += len(part) - len(stream.unused_data)
-    return b"".join(out), at
+    return b"".join(out), at, ""
+
+
+def _before_fault(member: bytes) -> bytes:
+    """All that can be decompressed up to an error. The step in which it comes up gives nothing, so steps get smaller towards it."""
+    done, out = 0, b""
+    for step in (1 << 12, 1 << 6, 1):
+        stream = zlib.decompressobj(31)
+        parts = [stream.decompress(member[:done])]
+        try:
+            while done < len(member):
+                parts.append(stream.decompress(member[done:done + step]))
+                done += step
+        except zlib.error:
+            pass
+        out = b"".join(parts)
+    return out
+
+
+def _inside(content: bytes, place: int) -> tuple[list[dict], int, str, str]:
+    """Records of the gzip member at a place, the place behind it, what is wrong with the member, and with what it holds.
+
+    The records of a member are salvaged as those of a plain archive. Of a member that is damaged only those count whose payload has the digest
+    that they give, as nothing else vouches for them.
+    """
+    inner, end, fault = _member(content, place)
+    found, wrong = [], ""
+    for _, _, fields, reason in salvage(inner, packed=False) if inner else ():
+        if fields is None:
+            wrong = wrong or reason
+        elif not fault or fields["verified"]:
+            found.append(fields)
+    return found, end, fault, wrong
 
 
-def salvage(content: bytes) -> Iterator[tuple[int, int, dict | None, str]]:
+def salvage(content: bytes, packed: bool = True) -> Iterator[tuple[int, int, dict | None, str]]:
     """Start, end and fields of each sound record; for a gap that was skipped, no fields but the reason.
 
     Plain records and gzip members are told apart by their first bytes, so an archive may mix both. After a failed
     check the search goes on, one byte behind the start of what failed, for the next version line or member that is
-    sound itself: a record that another one swallowed through a wrong length is found again.
+    sound itself: a record that another one swallowed through a wrong length is found again. A member may hold several records, which
+    have its place; what is damaged among them is one gap with that place too. Records at the beginning of a member that is cut short or
+    broken are kept if their digest holds, and the rest of it is a gap. Without ``packed`` only plain records are looked for.
     """
     at = 0
     while at < len(content):
-        reason, place = "", at
+        reason, place, rows = "", at, []
         while place < len(content):
             try:
-                if content.startswith(_MEMBER, place):
-                    inner, end = _member(content, place)
-                    parsed, used = parse_record(inner, 0)
-                    if used != len(inner):
-                        raise Damaged("member holds more than a record")
+                if packed and content.startswith(_MEMBER, place):
+                    found, end, fault, wrong = _inside(content, place)
+                    if fault:
+                        rows += [(place, end, fields, "") for fields in found]
+                        raise Damaged(fault)
+                    if wrong and not found:
+                        raise Damaged(wrong)
                     end += len(_EMPTY) * content.startswith(_EMPTY, end)
+                    sound = [(place, end, fields, "") for fields in found] + [(place, end, None, f"within a member: {wrong}")] * bool(wrong)
                 else:
                     parsed, end = parse_record(content, place)
+                    sound = [(place, end, parsed, "")]
                 break
-            except Damaged as fault:
-                reason = reason or str(fault)
-                plain, packed = _START.search(content, place + 1), content.find(_MEMBER, place + 1)
-                place = min((x for x in (plain.start() if plain else -1, packed) if x >= 0), default=len(content))
+            except Damaged as failed:
+                reason = reason or str(failed)
+                plain, member = _START.search(content, place + 1), content.find(_MEMBER, place + 1) if packed else -1
+                place = min((x for x in (plain.start() if plain else -1, member) if x >= 0), default=len(content))
+        yield from rows
         if place > at:
             yield at, place, None, reason
         if place < len(content):
-            yield place, end, parsed, ""
+            yield from sound
             at = end
         else:
             at = place
@@ -204,6 +249,7 @@ def read_warc(spark: SparkSession, folder: str, pattern: str = "part-*") -> Data
                 archive, rows, held = batch.column(0)[i].as_py(), [], 0
                 for start, end, fields, reason in salvage(batch.column(1)[i].as_py()):
                     rows.append({"archive": archive, "start": start, "end": end, "reason": reason or None, **(fields or {})})
+                    rows[-1].pop("verified", None)
                     held += end - start
                     if held > 4 << 20:
                         yield pa.RecordBatch.from_pylist(rows, schema)
