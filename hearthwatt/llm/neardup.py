@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hearthwatt.llm.frames import stored, table
 from hearthwatt.llm.graph import components
 from hearthwatt.llm.registry import query
-from hearthwatt.llm.text import mixed, prefix_sums, slices, spans_hash, utf8, word_spans
+from hearthwatt.llm.text import mixed, prefix_sums, slices, spans_hash, spans_residue, utf8, word_spans
 
 #: Two collections of SIDE hashes, each of DEPTH minhashes, make SIDE * SIDE tables out of 2 * SIDE * DEPTH minhashes.
 #: At a similarity of 0.8 a pair meets in a table with probability (1 - (1 - 0.8**2)**8)**2 = 0.9994, at 0.9 with 1 - 4e-6.
@@ -28,10 +28,13 @@ _FACTORS = _RANDOM.integers(1, 1 << 63, 2 * SIDE * DEPTH, np.uint64) * np.uint64
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of ``size`` words and the offset of each text among them; a text of fewer words is one run."""
+    """Hashes of all runs of ``size`` words and the offset of each text among them; a text of fewer words is one run.
+
+    A word is hashed modulo 2**64 and modulo a prime, as one of them alone can be alike for words made for it.
+    """
     low = _LOWER[data[offsets[0]:offsets[-1]]]
     starts, ends, at = word_spans(~_SPACE[low], offsets - offsets[0])
-    words = spans_hash(prefix_sums(low), starts, ends)
+    words = mixed(spans_hash(prefix_sums(low), starts, ends) + spans_residue(low, starts, ends) * _PLACES[-1])
     count = np.diff(at)
     runs = np.where(count >= size, count - size + 1, np.minimum(count, 1))
     places = np.concatenate(([0], np.cumsum(runs)))
@@ -218,7 +221,8 @@ def near_duplicates(documents: DataFrame, column: str = "text", key: str = "doc_
     what links reach, named by its smallest id, which alone is kept. Words are lower-cased (A-Z) and end at white space;
     fewer than ``size`` words are one run; a text without words, or null, has an empty set and links with nothing, and so
     does a row without id, whose component is null. Equal sets are one class from the start, so copies of any number
-    cost one row. Texts under one repeated id count as one document.
+    cost one row. Texts under one repeated id count as one document. An empty table gives no rows, other columns are not read, and a
+    text of any length is worked on whole in one task.
 
     Classes that share a table key are candidates. In each bucket one class, another one in each round, is compared with
     all others; whatever is in one component by then needs no comparison any more. Of the rest, members of buckets of up

@@ -92,6 +92,37 @@ def spans_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: P
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+#: A prime below 2**31: products of residues fit in 64 bits, and so do sums of as many residues as a text has bytes.
+PRIME = (1 << 31) - 1
+
+
+class Residues:
+    """Powers of a base and of its inverse modulo PRIME, grown on demand."""
+
+    def __init__(self, base: int = 1_000_003_579 % PRIME):
+        self.bases = base, pow(base, -1, PRIME)
+        self.tables = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+    def upto(self, n: int) -> list[np.ndarray]:
+        for k, base in enumerate(self.bases):
+            while len(self.tables[k]) < n:
+                old = self.tables[k]
+                step = np.uint64(pow(base, len(old), PRIME))
+                self.tables[k] = np.concatenate((old, old * step % np.uint64(PRIME)))
+        return [table[:n] for table in self.tables]
+
+
+RESIDUES = Residues()
+
+
+def spans_residue(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomials of values[start:end] modulo a prime. Words that make every polynomial modulo 2**64 alike differ here."""
+    up, down = RESIDUES.upto(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:-1] % np.uint64(PRIME), out=sums[1:])
+    return (sums[ends] - sums[starts]) % np.uint64(PRIME) * down[starts] % np.uint64(PRIME)
+
+
 def word_spans(is_word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the runs of word characters, which end at text borders, and the first run of each text.
 
