@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hearthwatt.llm.frames import table
+from hearthwatt.llm.frames import beside, table
 from hearthwatt.llm.registry import query
 from hearthwatt.llm.text import byte_table
 
@@ -18,6 +18,7 @@ AUTOMATON_BYTES = 4 << 20
 
 _WORD = b"0123456789abcdefghijklmnopqrstuvwxyz"
 _TABLE = bytes(int(x) or 0x20 for x in byte_table(_WORD))
+RESULTS = ("n_words", "hit_words", "item_ids", "spans")
 _FOUND = "n_words long, hit_words array<long>, item_ids array<string>, spans array<struct<start:long,end:long>>"
 
 
@@ -114,8 +115,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, column: str = "tex
     nothing. Columns of ``documents`` that have the name of a result are replaced.
     """
     spark = documents.sparkSession
-    results = {"n_words", "hit_words", "item_ids", "spans"}
-    kept = [c for c in documents.columns if c not in results]
+    kept = [c for c in documents.columns if c not in RESULTS]
     items = benchmark.select(F.col(item_key).cast("string").alias("id"), F.col(item_column).cast("binary").alias("item")) \
         .where("id IS NOT NULL AND item IS NOT NULL")
     total = items.agg(F.sum(F.length("item"))).first()[0] or 0
@@ -128,9 +128,9 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, column: str = "tex
     return df
 
 
-def clean(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without any hit, with their own columns."""
-    return decontaminate(documents, benchmark, **options).where(F.size("hit_words") == 0).select(*documents.columns)
+def clean(documents: DataFrame, benchmark: DataFrame, column: str = "text", **options) -> DataFrame:
+    """The documents without any hit, with their own columns, whatever their names."""
+    return beside(documents, RESULTS, column, lambda docs, text: decontaminate(docs, benchmark, text, **options).where(F.size("hit_words") == 0))
 
 
 SQL = r"""

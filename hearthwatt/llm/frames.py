@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hearthwatt.sources.shared import run_folder
@@ -31,3 +33,26 @@ def spread(df: DataFrame) -> DataFrame:
     """``df`` dealt to as many partitions as tasks can run at once, unless it has as many anyway."""
     tasks = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+
+
+def free_names(df: DataFrame, names: Iterable[str], avoid: Iterable[str] = ()) -> dict[str, str]:
+    """For each of ``names`` one that neither ``df`` has a column of nor ``avoid`` lists, whatever the case of its letters."""
+    taken, out = {c.lower() for c in [*df.columns, *avoid]}, {}
+    for name in names:
+        free = name
+        while free.lower() in taken:
+            free = f"_{free}"
+        taken.add(free.lower())
+        out[name] = free
+    return out
+
+
+def beside(df: DataFrame, names: Iterable[str], column: str, work: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """What ``work`` keeps of ``df``, with all its own columns, also those that are named like the columns that ``work`` adds.
+
+    These are renamed in the meantime; ``work`` gets the frame and the name of ``column`` in it.
+    """
+    added = {name.lower() for name in names}
+    moved = free_names(df, [c for c in df.columns if c.lower() in added], names)
+    out = work(df.withColumnsRenamed(moved), moved.get(column, column))
+    return out.select(*(F.col(f"`{moved.get(c, c)}`").alias(c) for c in df.columns))

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from hearthwatt.llm.frames import remainder, table
+from hearthwatt.llm.frames import free_names, remainder, table
 from hearthwatt.llm.registry import query
 from hearthwatt.llm.text import letter_grams, slices, sums_per_text, utf8
 
@@ -121,8 +121,9 @@ def trained(documents: DataFrame) -> Model:
 
 def identified(documents: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents whose language is known with a probability of ``least`` at least, with their own columns."""
-    scored = classify(documents, trained(documents), result=("_label", "_score"))
-    return scored.where((F.col("_label") != UNKNOWN) & (F.col("_score") >= least)).select(*documents.columns)
+    label, score = free_names(documents, ("_label", "_score")).values()
+    scored = classify(documents, trained(documents), result=(label, score))
+    return scored.where((F.col(label) != UNKNOWN) & (F.col(score) >= least)).select(*documents.columns)
 
 
 @query("op2_language_id")

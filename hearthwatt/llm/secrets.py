@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hearthwatt.llm.frames import table
+from hearthwatt.llm.frames import beside, table
 from hearthwatt.llm.registry import query
 from hearthwatt.llm.text import byte_table, slices, utf8, word_spans
 
@@ -160,8 +160,13 @@ def secrets(documents: DataFrame, column: str = "text", path: str | None = None)
 
 
 def redacted(documents: DataFrame, column: str = "text", mask: str = "[secret]", path: str | None = None) -> DataFrame:
-    """The documents with ``mask`` in place of each run of overlapping finds; ``n_chars`` is corrected where there is one."""
-    found = secrets(documents.drop("secrets"), column, path)
+    """The documents, with all their own columns, with ``mask`` in place of each run of overlapping finds; ``n_chars`` is corrected
+    where there is one."""
+    return beside(documents, ["secrets"], column, lambda docs, text: _masked(docs, text, mask, path))
+
+
+def _masked(documents: DataFrame, column: str, mask: str, path: str | None) -> DataFrame:
+    found = secrets(documents, column, path)
     spans = F.col("secrets")
     merged = F.aggregate(
         spans, F.expr("CAST(array() AS ARRAY<STRUCT<start:BIGINT,end:BIGINT>>)"),
@@ -181,7 +186,7 @@ def redacted(documents: DataFrame, column: str = "text", mask: str = "[secret]",
     if "n_chars" in documents.columns:
         changed = changed.withColumn("n_chars", F.when(F.size(spans) == 0, F.col("n_chars")).otherwise(
             F.char_length(column).cast(documents.schema["n_chars"].dataType)))
-    return changed.select(*documents.columns)
+    return changed
 
 
 def _listed(spans) -> F.Column:
