@@ -130,17 +130,17 @@ def common_counts(left: np.ndarray, left_at: np.ndarray, right: np.ndarray, righ
     (one, one_at), (two, two_at) = sides
     pairs = np.diff(one_at) * np.diff(two_at)
     dense = np.flatnonzero(pairs >= 4096)
-    for first in range(0, len(dense), 4096):
-        block = dense[first:first + 4096]
+    for first in range(0, len(dense), 2048):
+        block = dense[first:first + 2048]
         matrices = []
         for owner, at, n in ((one, one_at, rows), (two, two_at, columns)):
             matrix = np.zeros((n, len(block)), np.float32)
             sizes = np.diff(at)[block]
             matrix[owner[_ranges(at[block], sizes)], np.repeat(np.arange(len(block)), sizes)] = 1
             matrices.append(matrix)
-        total += (matrices[0] @ matrices[1].T).astype(np.int64)  # exact: at most 4096 each
+        total += (matrices[0] @ matrices[1].T).astype(np.int64)  # exact: at most 2048 each
     sparse = np.flatnonzero((pairs > 0) & (pairs < 4096))
-    for part in np.split(sparse, np.searchsorted(np.cumsum(pairs[sparse]), np.arange(1 << 22, pairs[sparse].sum(), 1 << 22))):
+    for part in np.split(sparse, np.searchsorted(np.cumsum(pairs[sparse]), np.arange(1 << 20, pairs[sparse].sum(), 1 << 20))):
         n, m = np.diff(one_at)[part], np.diff(two_at)[part]
         row = np.repeat(one[_ranges(one_at[part], n)], np.repeat(m, n))
         column = two[_ranges(np.repeat(two_at[part], n), np.repeat(m, n))]
