@@ -110,6 +110,13 @@ def event_summary(components: DataFrame) -> DataFrame:
         F.max(watts).alias("peak_w"))
 
 
+def keyed_events(components: DataFrame) -> DataFrame:
+    """``event_summary`` with an ``event_key`` of site, class and start. Unlike ``event_id``, which counts from the first row that was read, it
+    is the same whatever else was read, as long as the event and the day before it were."""
+    key = F.concat_ws("|", "site_id", "event_class", F.date_format("start_ts", "yyyy-MM-dd'T'HH:mm"))
+    return event_summary(components).drop("event_id").withColumn("event_key", key)
+
+
 def energy_kwh(col: str) -> Column:
     return F.sum(col) * SLOT_HOURS / 1000.0
 

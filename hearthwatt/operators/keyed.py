@@ -57,9 +57,9 @@ def newest_n(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int, sal
     The first round ranks within a salted part of the group, so no task sorts a whole group; the second sees at
     most ``salts * n`` rows of it. A hash of the whole row decides between rows of one time, so runs agree.
     """
-    content = F.to_json(F.struct(*df.columns))
+    content = F.xxhash64(*[F.map_entries(f.name) if isinstance(f.dataType, T.MapType) else F.col(f.name) for f in df.schema])
     newest_first = [*(F.col(c).desc() for c in order), F.col("_content")]
-    salted = df.withColumn("_content", F.xxhash64(content)).withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
+    salted = df.withColumn("_content", content).withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
     part = Window.partitionBy(*by, "_salt").orderBy(*newest_first)
     whole = Window.partitionBy(*by).orderBy(*newest_first)
     return (salted.withColumn("_rank", F.row_number().over(part)).filter(F.col("_rank") <= n)

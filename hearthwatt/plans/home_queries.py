@@ -9,7 +9,7 @@ from ..functions.timeparts import ts_lit, with_slot
 from ..operators.baseline import baseline_forecast, fit_ridge, gram, normal_residual, residual_std, training_rows
 from ..operators.consumption import (
     component_energy, consumption_components, daily_kpi, event_islands, event_summary,
-    home_consumption, reference_load,
+    home_consumption, keyed_events, reference_load,
 )
 from ..operators.control import (
     command_intervals, command_state, decisions_as_commands, heat_pump_decision, rejected_commands,
@@ -480,6 +480,21 @@ def normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out, {"residual_std": 2, "r2": 5, "mean_error": 4, "largest_slope": 4})
 
 
+_READ_FROM, _SHOWN_FROM = "2024-01-12 00:00:00", "2024-01-14 00:00:00"
+
+
+@query("event_keys", ctes(*COMPONENTS) + f""", events_of AS (
+  SELECT site_id, event_class, event_id, min(ts) AS start_ts, count(*) AS n_slots, sum(ev_actual_w + sauna_actual_w + other_actual_w) * 0.25 / 1000.0 AS energy_kwh
+  FROM components WHERE event_class <> 'none' GROUP BY 1, 2, 3)
+SELECT site_id || '|' || event_class || '|' || strftime(start_ts, '%Y-%m-%dT%H:%M') AS event_key, site_id, event_class, start_ts, n_slots,
+  {r('energy_kwh', 5)} AS energy_kwh FROM events_of WHERE start_ts >= TIMESTAMP '{_SHOWN_FROM}'""")
+def event_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a part of the load, with the keys that they have in the whole."""
+    part = consumption_components(a.load(spark, sf_dir).filter(F.col("ts") >= ts_lit(_READ_FROM)))
+    events = keyed_events(part).filter(F.col("start_ts") >= ts_lit(_SHOWN_FROM))
+    return rounded(events.select("event_key", "site_id", "event_class", "start_ts", "n_slots", "energy_kwh"), {"energy_kwh": 5})
+
+
 # ---- control -----------------------------------------------------------------------------------------------------
 
 @query("command_intervals", ctes("commands", "valid_commands") + """

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.timeparts import ts_lit, with_slot
 from ..operators.averaging import select_allowed
+from ..operators.digest import content_differences
 from ..operators.keyed import newest_per_target
 from ..operators.partials import means_of_partials
 from ..schemas import ALLOWED_AVERAGES, COMMANDS, FORECAST_COLUMNS, FORECAST_PARAMETERS, MEASURED, TELEMETRY
@@ -252,6 +253,28 @@ def model_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
                    {"f1": 6, "current_f1": 6})
 
 
+# ---- contents ----------------------------------------------------------------------------------------------------
+
+_CELLS = ["temperature_c", "pv_feed_in_w"]
+_FLIPPED, _LOST = "CAST(ts AS DATE) = DATE '2024-01-17' AND site_id = 'click'", "CAST(ts AS DATE) = DATE '2024-01-20' AND hour(ts) = 5"
+
+
+@query("content_parity", ctes(*STATION) + ", found AS (" + " UNION ALL ".join(f"""
+SELECT site_id, ts, '{c}' AS "column", {r(c, 4)} AS a, CASE WHEN {_LOST} THEN NULL ELSE {r(f'{c} + 0.5', 4)} END AS b,
+  CASE WHEN {_LOST} THEN 'left_only' ELSE 'differ' END AS class FROM station WHERE {_LOST}{f' OR {_FLIPPED}' if c == 'temperature_c' else ''}""" for c in _CELLS) + """)
+SELECT * FROM found""")
+def content_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table and a copy in which one reading of a site is changed on one day and an hour is missing on another."""
+    folder = run_folder(spark, "parity")
+    station = a.station(spark, sf_dir, _CELLS).select("site_id", "ts", *_CELLS)
+    tables.write_partitioned(station, f"{folder}/left")
+    left = spark.read.parquet(f"{folder}/left")
+    flipped = F.when(F.expr(_FLIPPED), F.col("temperature_c") + 0.5).otherwise(F.col("temperature_c"))
+    tables.write_partitioned(left.drop("dt").filter(f"NOT ({_LOST})").withColumn("temperature_c", flipped), f"{folder}/right")
+    cells = content_differences(left, spark.read.parquet(f"{folder}/right"), ["site_id", "ts"], _CELLS, day="dt")
+    return rounded(cells.drop("diff"), {"a": 4, "b": 4})
+
+
 # ---- round trips -------------------------------------------------------------------------------------------------
 
 @query("archive_import", ctes("telemetry") + f"""

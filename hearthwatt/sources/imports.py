@@ -25,10 +25,9 @@ from ..operators.fusion import power_from_accumulation, weather_fusion, with_wea
 from ..operators.grid import split_aligned, time_grid
 from ..operators.partials import add_partials, means_of_partials, slot_partials
 from ..operators.pv import pv_forecast
-from ..operators.quality import row_parity
 from ..schemas import ALLOWED_AVERAGES, BASELINE_DEFAULTS, FORECAST_COLUMNS, PV_PRODUCTION, TELEMETRY
-from . import landing, revisions, snapshots, tables, versions
-from .shared import checkpoint_id, remove, run_folder
+from . import landing, models, revisions, snapshots, tables, versions
+from .shared import checkpoint_id, remove, run_folder, sweep
 
 UPSERTED = ("station_15min", "prices", "forecast_hourly")
 
@@ -208,9 +207,7 @@ def stored_components(spark: SparkSession, root: str, since: datetime | None = N
 def export_fusion(spark: SparkSession, root: str, sites: DataFrame, now: datetime, keep: int = 30) -> str:
     """Snapshot of the wide series: write, compare with the source, publish, drop all but the newest."""
     exports, series = f"{root}/exports", stored_fusion(spark, root, sites)
-    version = snapshots.export_snapshot(series, exports, now)
-    if not row_parity(series, spark.read.parquet(f"{exports}/{version}")).first()["parity"]:
-        raise ValueError(f"snapshot {version} differs from its source and is not published")
+    version = snapshots.export_verified(series, exports, now)
     snapshots.publish_latest(spark, exports, version, now)
     published = snapshots.published(spark, exports).select(
         F.lit("export").alias("kind"), "version", F.col("published_at").alias("created_at"), "size_bytes")
@@ -219,6 +216,14 @@ def export_fusion(spark: SparkSession, root: str, sites: DataFrame, now: datetim
     return version
 
 
+def clean_up(spark: SparkSession, root: str, keep: int = 96, min_age_seconds: float = 86400.0) -> int:
+    """Nightly: forget all but the newest ``keep`` versions of each table, and remove what they and finished or killed runs have left
+    behind and nobody can be reading any more. Returns how many folders went."""
+    tables_of = ["station_partials", "dayahead_known", "forecast_known", models.MODEL, models.LOG, *UPSERTED]
+    gone = sum(versions.expire(spark, f"{root}/{name}", keep, min_age_seconds) for name in tables_of if versions.is_versioned(spark, f"{root}/{name}"))
+    return gone + sweep(spark, min_age_seconds)
+
+
 def stored_slots(spark: SparkSession, root: str, sites: DataFrame, now: datetime, train_days: int, horizon: int) -> DataFrame:
     """Forecast and measurement of every quarter hour of training and horizon, whether it has a price or not."""
     start = now.replace(minute=now.minute - now.minute % 15, second=0, microsecond=0) - timedelta(days=train_days)

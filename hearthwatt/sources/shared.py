@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,3 +40,17 @@ def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
         return json.loads(bytes(stream.readAllBytes()))["id"]
     finally:
         stream.close()
+
+
+def sweep(spark: SparkSession, min_age_seconds: float = 86400.0, now: float | None = None) -> int:
+    """Remove the folders of runs that nothing has been added to for so long; returns how many.
+
+    A frame that a run has returned reads its folder when it is evaluated, so nothing younger than the longest job may go.
+    """
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/hearthwatt")
+    files, limit, gone = top.getFileSystem(spark._jsc.hadoopConfiguration()), ((time.time() if now is None else now) - min_age_seconds) * 1000, 0
+    for folder in files.listStatus(top) if files.exists(top) else []:
+        inside = [status.getModificationTime() for status in files.listStatus(folder.getPath())] if folder.isDirectory() else []
+        if max([folder.getModificationTime(), *inside]) <= limit:
+            gone += bool(files.delete(folder.getPath(), True))
+    return gone

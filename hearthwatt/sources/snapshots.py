@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.timeparts import ts_lit
 from ..operators.chunked import spread_join
+from ..operators.digest import DIGEST, digest, digest_columns
 from ..operators.keyed import newest_n
 from ..operators.quality import require_fresh
 from .shared import remove, stored_bytes
@@ -27,6 +29,22 @@ def export_snapshot(df: DataFrame, root: str, now: datetime, prefix: str = "weat
     return version
 
 
+def export_verified(df: DataFrame, root: str, now: datetime, prefix: str = "weather_fusion") -> str:
+    """Write the whole result as a new version and compare the files with what went into them, by number of rows and digest.
+
+    The digest of the result is taken while it is written, so it is computed once. A version that differs is removed and refused; a
+    write that had to repeat tasks may be refused too, and is then simply made again.
+    """
+    spark, version, seen = df.sparkSession, version_name(now, prefix), Observation(f"export-{uuid.uuid4().hex}")
+    df.observe(seen, *digest_columns(df)).write.mode("errorifexists").parquet(f"{root}/{version}")
+    files = spark.read.schema(df.schema).parquet(f"{root}/{version}")
+    kept, made = digest(files).first().asDict(), seen.get
+    if spark.read.parquet(f"{root}/{version}").columns != df.columns or any(kept[c] != made[c] for c in DIGEST):
+        remove(spark, f"{root}/{version}")
+        raise ValueError(f"snapshot {version} differs from its source and is not published: {kept}, not {made}")
+    return version
+
+
 def publish_latest(spark: SparkSession, root: str, version: str, now: datetime) -> None:
     """Make a version the newest. The pointer is a log of one row per publication, so no reader finds it missing; the
     rows of a version lie in a folder of their own and go with it."""

@@ -108,8 +108,9 @@ def append_forecast_run(run: DataFrame, values: DataFrame, root: str) -> None:
     """
     spark, dated = run.sparkSession, values.withColumn(DT, F.col("target_ts").cast("date"))
     kept, known = read_stored(spark, f"{root}/forecast_value"), read_stored(spark, f"{root}/forecast_run")
-    if kept is not None:
-        dated = dated.join(kept.select(DT, "run_id").distinct(), [DT, "run_id"], "left_anti")
+    if kept is not None:  # the days of the run are literals, so no other partition is read
+        days = [row[0] for row in dated.select(DT).distinct().collect()]
+        dated = dated.join(kept.filter(F.col(DT).isin(days)).select(DT, "run_id").distinct(), [DT, "run_id"], "left_anti")
     if known is not None:
         run = run.join(known.select("run_id"), "run_id", "left_anti").select(*run.columns)
     dated.select(*values.columns, DT).write.mode("append").partitionBy(DT).parquet(f"{root}/forecast_value")

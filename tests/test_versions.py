@@ -213,3 +213,17 @@ def test_versioned_jobs(spark, tmp_path):
     with pytest.raises(ValueError, match="no versions"):
         versions.create(spark, f"{root}/plain")
     assert imports.stored_table(spark, root, "plain").count() == 1
+
+
+def test_clean_up(spark, table, tmp_path, monkeypatch):
+    """Runs leave folders in the shared folder, which go by their age; old versions go with what only they name."""
+    monkeypatch.setattr(shared, "shared_root", lambda _: str(tmp_path / "shared"))  # other tests still read theirs
+    root = tmp_path / "shared" / "hearthwatt"
+    imports._upsert(spark, prices(spark, (at(1), 7.0)), table, KEY, at(2, 0))
+    folder = Path(shared.run_folder(spark, "left-behind"))
+    prices(spark, (at(1), 1.0)).write.parquet(str(folder))
+    assert folder.exists() and imports.clean_up(spark, str(tmp_path), keep=1) == 0 and folder.exists()
+    later = time.time() + 5
+    assert shared.sweep(spark, 0, later) >= 1 and not list(root.iterdir()) and shared.sweep(spark, 0, later) == 0
+    assert versions.expire(spark, table, 1, 0, later) == 1  # the first state of the day that was upserted
+    assert state(versions.read(spark, table)) == [(1, 10, 7.0), (2, 10, 2.0), (3, 10, 3.0)]
