@@ -280,6 +280,25 @@ def distinct_documents(documents: DataFrame, column: str = "text", key: str = "d
     return once.union(again).select("row.*").union(documents.where(F.col(key).isNull()))
 
 
-@query("op9_minhash_near_dedup")
+SQL = r"""
+WITH RECURSIVE doc AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+run AS MATERIALIZED (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 4) - 1], ' ') AS run
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 0) + 2)) AS i FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM run GROUP BY 1),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS same FROM run a JOIN run b ON a.run = b.run AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS MATERIALIZED (
+    SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * same >= 80 * (x.n + y.n - same)),
+edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a AS doc_id, a AS other FROM edge UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON e.a = r.other),
+found AS (SELECT doc_id, min(other) AS least FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least, doc_id) AS component_id, coalesce(least, doc_id) = doc_id AS kept
+FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+@query("op9_minhash_near_dedup", SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

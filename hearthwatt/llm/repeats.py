@@ -435,6 +435,21 @@ def repeated_passages(documents: DataFrame, column: str = "text", key: str = "do
     return done.union(lone)
 
 
-@query("op4_repeated_passages")
+SQL = """
+WITH doc AS MATERIALIZED (SELECT row_number() OVER (ORDER BY doc_id) AS d, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+place AS MATERIALIZED (SELECT d, i, substr(h, 2 * i + 1, 200) AS s FROM (SELECT d, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM doc WHERE len(h) >= 200)),
+again AS (SELECT d, i FROM (SELECT d, i, row_number() OVER (PARTITION BY s ORDER BY d, i) AS nth FROM place) WHERE nth > 1),
+step AS (SELECT d, i, CASE WHEN lag(i) OVER w >= i - 100 THEN 0 ELSE 1 END AS fresh FROM again WINDOW w AS (PARTITION BY d ORDER BY i)),
+span AS (SELECT d, min(i) AS first, max(i) + 100 AS last FROM (SELECT d, i, sum(fresh) OVER (PARTITION BY d ORDER BY i) AS k FROM step) GROUP BY d, k),
+kept AS (SELECT d, coalesce(lag(last) OVER w, 0) AS a, first AS b FROM span WINDOW w AS (PARTITION BY d ORDER BY first)
+         UNION ALL SELECT d, coalesce(max(last), 0), max(len(h) // 2) FROM doc LEFT JOIN span USING (d) GROUP BY d),
+rest AS (SELECT d, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h FROM kept JOIN doc USING (d) GROUP BY d),
+total AS (SELECT d, sum(last - first) AS n, count(*) AS spans FROM span GROUP BY d)
+SELECT doc_id, len(doc.h) // 2 AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(rest.h)) AS kept_sha256
+FROM doc JOIN rest USING (d) LEFT JOIN total USING (d)
+"""
+
+
+@query("op4_repeated_passages", SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents")).drop("spans")

@@ -179,6 +179,22 @@ def linked_vectors(embeddings: DataFrame, column: str = "embedding", key: str =
         .withColumn("kept", F.col("vec_id").isNull() | (F.col("vec_id") == F.col("component_id")))
 
 
-@query("op5_embedding_near_dedup")
+SQL = """
+WITH RECURSIVE vec AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v,
+           coalesce(len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding) AND list_max(list_transform(embedding, lambda x: abs(x))) > 0, false) AS sound
+    FROM embeddings),
+link AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vec a JOIN vec b ON a.vec_id <> b.vec_id AND a.sound AND b.sound AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (SELECT a AS vec_id, a AS other FROM link UNION SELECT r.vec_id, l.b FROM reach r JOIN link l ON l.a = r.other),
+found AS (SELECT vec_id, min(other) AS least FROM reach GROUP BY 1),
+size AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(least, vec_id) AS component_id, coalesce(least, vec_id) = vec_id AS kept
+FROM vec LEFT JOIN size USING (vec_id) LEFT JOIN found USING (vec_id)
+"""
+
+
+@query("op5_embedding_near_dedup", SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_vectors(table(spark, sf_dir, "embeddings"))
