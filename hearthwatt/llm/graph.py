@@ -21,9 +21,10 @@ def _small(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("least").alias("b")))
 
 
-def components(links: DataFrame, a: str, b: str) -> DataFrame:
+def components(links: DataFrame, a: str, b: str, rounds: int | None = None) -> DataFrame:
     """``node, component`` for every node of ``links`` that is not the smallest of its component.
 
+    With ``rounds`` no more are run: then nodes of one name are connected still, but a component may have several names.
     Nulls and links of a node to itself are ignored. Every round ends in the shared folder; the sums of two rounds tell
     when nothing moves any more. A node with many neighbours is summed up before the shuffle and joined with one row.
     """
@@ -32,6 +33,11 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges, before = stored(links.where(known).select(high.alias("a"), low.alias("b")).distinct(), "links"), None
     while True:
         edges = stored(_small(_large(edges).distinct()).distinct(), "stars")
+        if rounds is not None:
+            rounds -= 1
+            if rounds <= 0:
+                return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
+            continue
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

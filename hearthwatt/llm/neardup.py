@@ -16,6 +16,10 @@ from hearthwatt.llm.text import mixed, prefix_sums, slices, spans_hash, spans_re
 #: At a similarity of 0.8 a pair meets in a table with probability (1 - (1 - 0.8**2)**8)**2 = 0.9994, at 0.9 with 1 - 4e-6.
 SIDE, DEPTH = 8, 2
 ROUNDS = 2
+#: Passes in which links are merged between rounds. What they leave apart is compared once more than needed, and merged in the end.
+PASSES = 2
+#: Bytes of text that are worked on at once; one longer text is a slice of its own.
+SLICE = 1 << 18
 #: A bucket of more classes is compared in tiles of its cluster and not pair by pair; classes per tile.
 BUCKET, TILE = 32, 1024
 
@@ -68,7 +72,7 @@ def _sketches(size: int):
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             n, x, y, parts = [], [], [], []
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, SLICE):
                 hashes, places = shingles(data, offsets[a:b + 1], size)
                 collections = iter(sketch(hashes, places).view(np.int64))
                 for i in range(b - a):
@@ -88,11 +92,10 @@ def _sets(size: int):
     def run(batches):
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            sets = []
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, SLICE):
                 hashes, places = shingles(data, offsets[a:b + 1], size)
-                sets += [np.unique(hashes[places[i]:places[i + 1]]).tobytes() for i in range(b - a)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "members"])
+                sets = [np.unique(hashes[places[i]:places[i + 1]]).tobytes() for i in range(b - a)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sets, pa.binary())], names=["rep", "members"])
     return run
 
 
@@ -203,7 +206,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links, "a", "b").withColumnRenamed("node", "rep")
+    found = components(links, "a", "b", PASSES).withColumnRenamed("node", "rep")
     return members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 

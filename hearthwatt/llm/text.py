@@ -101,14 +101,14 @@ class Residues:
 
     def __init__(self, base: int = 1_000_003_579 % PRIME):
         self.bases = base, pow(base, -1, PRIME)
-        self.tables = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+        self.tables = [np.ones(1, np.uint32), np.ones(1, np.uint32)]
 
     def upto(self, n: int) -> list[np.ndarray]:
         for k, base in enumerate(self.bases):
             while len(self.tables[k]) < n:
                 old = self.tables[k]
                 step = np.uint64(pow(base, len(old), PRIME))
-                self.tables[k] = np.concatenate((old, old * step % np.uint64(PRIME)))
+                self.tables[k] = np.concatenate((old, (old * step % np.uint64(PRIME)).astype(np.uint32)))
         return [table[:n] for table in self.tables]
 
 
@@ -119,7 +119,11 @@ def spans_residue(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> n
     """Polynomials of values[start:end] modulo a prime. Words that make every polynomial modulo 2**64 alike differ here."""
     up, down = RESIDUES.upto(len(values) + 1)
     sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:-1] % np.uint64(PRIME), out=sums[1:])
+    part = sums[1:]
+    np.add(values, np.uint64(1), out=part)
+    part *= up[:-1]
+    part %= np.uint64(PRIME)
+    np.cumsum(sums, out=sums)
     return (sums[ends] - sums[starts]) % np.uint64(PRIME) * down[starts] % np.uint64(PRIME)
 
 
