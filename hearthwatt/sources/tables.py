@@ -56,10 +56,14 @@ def _aside(spark: SparkSession, df: DataFrame) -> tuple[str, DataFrame]:
 
 
 def _touched(stored: DataFrame, updates: DataFrame) -> DataFrame:
-    """Stored rows of the days that the updates reach. The days are literals, so no other partition is listed or read."""
-    days = [row[0] for row in with_day(updates).select(DT).distinct().collect()]
-    named = F.col(DT).isin([day for day in days if day is not None])
-    return stored.filter(named | F.col(DT).isNull() if None in days else named)
+    """Stored rows of the days that the updates reach. The days are literals, so only their partitions and that of rows without a
+    time are listed and read."""
+    days = with_day(updates).select(F.col(DT).alias("_day")).distinct()
+    named = sorted(row["_day"] for row in days.collect() if row["_day"] is not None)
+    near = F.col(DT).isNull()
+    if named:
+        near = near | (F.col(DT).between(F.lit(named[0]), F.lit(named[-1])) & F.col(DT).isin(named))
+    return stored.filter(near).join(days, F.col(DT).eqNullSafe(F.col("_day")), "left_semi")
 
 
 def upsert_stored(spark: SparkSession, updates: DataFrame, path: str, key: Sequence[str], now: Column,
