@@ -62,7 +62,8 @@ def _touched(stored: DataFrame, updates: DataFrame) -> DataFrame:
     named = sorted(row["_day"] for row in days.collect() if row["_day"] is not None)
     near = F.col(DT).isNull()
     if named:
-        near = near | (F.col(DT).between(F.lit(named[0]), F.lit(named[-1])) & F.col(DT).isin(named))
+        reach = F.col(DT).between(F.lit(named[0]), F.lit(named[-1]))
+        near = near | (reach & F.col(DT).isin(named) if len(named) > 1 else reach)
     return stored.filter(near).join(days, F.col(DT).eqNullSafe(F.col("_day")), "left_semi")
 
 

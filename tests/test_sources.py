@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 from pathlib import Path
 
@@ -259,3 +260,14 @@ def test_the_log_of_versions_stays_short(spark, tmp_path):
     left = snapshots.published(spark, root).collect()
     assert sorted(r["version"][-2:] for r in left) == ["00", "00"] and len(left) == 2 and all(r["size_bytes"] > 0 for r in left)
     assert sorted(p.name for p in tmp_path.iterdir()) == [snapshots.POINTER, *[snapshots.version_name(datetime(2026, 3, 1, 10, m)) for m in (4, 5)]]
+
+
+def test_a_row_a_year_late_does_not_read_the_year(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = [datetime(2025, 3, 4), *(datetime(2025, 3 + m, 1) for m in range(1, 9)), datetime(2026, 3, 4)]
+    tables.upsert_stored(spark, rows(spark, *[("Z", d, 1.0) for d in days]), path, ["zone", "ts"], ts_lit("2026-03-09 00:00:00"))
+    change = rows(spark, ("Z", days[0], 40.0), ("Z", days[-1], 50.0))
+    touched = tables._touched(spark.read.parquet(path), change)
+    assert {r["ts"] for r in touched.collect()} == {days[0], days[-1]}
+    kept = touched._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"IN \(2025-03-04, ?2026-03-04\)", kept), kept
