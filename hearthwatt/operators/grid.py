@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.timeparts import aligned_15min, epoch_seconds, local_day_bounds, shift, with_slot
-from .chunked import fill_forward, neighbours
+from ..functions.timeparts import aligned_15min, epoch_seconds, from_epoch_seconds, local_day_bounds, shift, with_slot
+from .chunked import CHUNK, fill_forward, neighbours, placed, with_chunk
 
 QUARTER_HOUR = 900
+# Slots of a chunk when whole spans are filled: a day of quarter hours, 96 days of days.
+CHUNK_SLOTS = 96
 
 
 def slots_between(bounds: DataFrame, by: Sequence[str], first: str, last: str, step_seconds: int = QUARTER_HOUR) -> DataFrame:
@@ -69,9 +71,11 @@ def forward_fill(df: DataFrame, col: str, by: Sequence[str] = ("zone",), step_se
     """Give each slot without a value the newest earlier one.
 
     The grid ends with the data unless one is passed. Slots before the first value stay NULL. ``is_filled`` marks
-    the slots that were filled and ``source_ts`` tells from where.
+    the slots that were filled and ``source_ts`` tells from where. Without a passed grid only the rows are shuffled, and
+    each then writes the slots up to the next one.
     """
-    grid = span_grid(df, by, step_seconds=step_seconds) if grid is None else grid
+    if grid is None:
+        return _fill_span(df, col, by, step_seconds)
     full = on_grid(df.select(*by, "ts", col), grid, by)
     full = full.withColumn("_at", F.when(F.col(col).isNotNull(), F.col("ts")))
     filled = fill_forward(full, by, "ts", {"_value": col, "source_ts": "_at"})
@@ -80,6 +84,64 @@ def forward_fill(df: DataFrame, col: str, by: Sequence[str] = ("zone",), step_se
         (F.col(col).isNull() & F.col("_value").isNotNull()).alias("is_filled"), "source_ts")
 
 
+def _fill_span(df: DataFrame, col: str, by: Sequence[str], step_seconds: int) -> DataFrame:
+    """``forward_fill`` on the grid of :func:`span_grid`.
+
+    Chunks hold at most ``CHUNK_SLOTS`` slots of a site. Its first row sets the grid; only rows on it give values, while
+    all rows divide the slots among them. Edges are kept apart by their place between slots until the first row is known.
+    """
+    rows = df.select(*by, "ts", F.col(col).alias("_value"))
+    seconds = epoch_seconds("ts")
+    whole = F.col("ts") == from_epoch_seconds(seconds)
+    chunked = with_chunk(rows.filter(placed(by, "ts")), "ts", CHUNK_SLOTS * step_seconds).withColumn(
+        "_phase", F.when(whole, F.pmod(seconds, F.lit(step_seconds)))).repartition(*by, CHUNK)
+    known = F.when(F.col("_value").isNotNull(), F.col("ts"))
+
+    site = Window.partitionBy(*by)
+    in_order = site.orderBy(CHUNK)
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    edges = chunked.groupBy(*by, CHUNK, "_phase").agg(
+        F.min("ts").alias("_from"), F.max_by("_value", known).alias("_last"), F.max(known).alias("_last_at"))
+    edges = edges.withColumn("_grid", F.pmod(epoch_seconds(F.min("_from").over(site)), F.lit(step_seconds)))
+    last_at = F.when(F.col("_phase") == F.col("_grid"), F.col("_last_at"))
+    edges = edges.groupBy(*by, CHUNK).agg(
+        F.min("_grid").alias("_grid"), F.min("_from").alias("_from"), F.max_by("_last", last_at).alias("_last"),
+        F.max(last_at).alias("_last_at"))
+    edges = edges.select(
+        *by, CHUNK, "_grid", F.lead("_from").over(in_order).alias("_after"),
+        F.last("_last", ignorenulls=True).over(earlier).alias("_carry"),
+        F.last("_last_at", ignorenulls=True).over(earlier).alias("_carry_at"))
+
+    inside = Window.partitionBy(*by, CHUNK).orderBy("ts")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    on = F.coalesce(F.col("_phase") == F.col("_grid"), F.lit(False))
+    line = chunked.join(edges, [*by, CHUNK]).withColumns({
+        "_on": on, "_given": F.when(on, F.col("_value")), "_given_at": F.when(on, known)})
+    # Slots are counted in seconds: from the first one at or after the row to the last one before the next row.
+    up = lambda ts: epoch_seconds(ts) + F.when(F.col(ts) == from_epoch_seconds(epoch_seconds(ts)), 0).otherwise(1)
+    line = line.select(
+        *by, "_on", F.col("_given_at").isNotNull().alias("_own"), up("ts").alias("_at"), "_grid",
+        F.coalesce(F.lead("ts").over(inside), "_after").alias("_next"), "ts",
+        F.coalesce(F.last("_given", ignorenulls=True).over(so_far), "_carry").alias("_value"),
+        F.coalesce(F.last("_given_at", ignorenulls=True).over(so_far), "_carry_at").alias("source_ts"))
+    line = line.withColumn("_slot", F.col("_at") + F.pmod(F.col("_grid") - F.col("_at"), F.lit(step_seconds)))
+    end = F.coalesce(up("_next"), epoch_seconds("ts") + 1)
+    slots = F.ceil((end - F.col("_slot")) / F.lit(float(step_seconds)))
+    line = line.withColumn("_slots", F.greatest(slots, F.col("_on").cast("bigint"))).filter("_slots > 0")
+    # A long gap is written in parts, so no row holds an array longer than a chunk.
+    parts = line.withColumn("_part", F.explode(F.sequence(F.lit(0), F.floor((F.col("_slots") - 1) / CHUNK_SLOTS))))
+    done = F.col("_part") * CHUNK_SLOTS
+    every = parts.withColumn("_nth", F.explode(F.sequence(done, F.least(done + CHUNK_SLOTS, F.col("_slots")) - 1)))
+    filled = every.select(
+        *by, from_epoch_seconds(F.col("_slot") + F.col("_nth") * step_seconds).alias("ts"), F.col("_value").alias(col),
+        (F.col("source_ts").isNotNull() & ~(F.col("_own") & (F.col("_nth") == 0))).alias("is_filled"), "source_ts")
+
+    nowhere = span_grid(df.filter(~placed(by, "ts")), by, step_seconds=step_seconds)
+    return filled.unionByName(nowhere.select(
+        *by, "ts", F.lit(None).cast(df.schema[col].dataType).alias(col), F.lit(False).alias("is_filled"),
+        F.lit(None).cast("timestamp_ntz").alias("source_ts")))
+
+
 def split_aligned(df: DataFrame, ts: str = "ts") -> tuple[DataFrame, DataFrame]:
     """Rows on quarter-hour boundaries, and the rest for quarantine (rows without a time included)."""
     ok = F.coalesce(aligned_15min(ts), F.lit(False))
