@@ -6,9 +6,10 @@ Times enter and leave as microseconds since 1970, so the session zone plays no p
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -36,6 +37,42 @@ def _millis(micros: int) -> int:
     return -(-micros // 1000)
 
 
+#: Rows that are sorted and handed on together; beyond them a row of a batch is held as 12 bytes.
+RUN = 1 << 17
+_STEP = 1 << 12
+
+
+def in_order(parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Times and codes of the rows of a site, by time, in pieces of about ``RUN`` rows; rows of one time are in one piece."""
+    runs: list[tuple[np.ndarray, np.ndarray]] = []
+    some: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def joined(pieces: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        us, code = (np.concatenate(column) for column in zip(*pieces))
+        order = np.argsort(us, kind="stable")
+        return us[order], code[order]
+
+    for part in parts:
+        some.append(part)
+        if sum(len(us) for us, _ in some) >= RUN:
+            runs.append(joined(some))
+            some = []
+    if some:
+        runs.append(joined(some))
+    if not runs:
+        return
+    marks = np.sort(np.concatenate([us[::_STEP] for us, _ in runs]))
+    begin = [0] * len(runs)
+    for cut in [*np.unique(marks[RUN // _STEP::RUN // _STEP]), None]:
+        end = [len(us) if cut is None else int(np.searchsorted(us, cut)) for us, _ in runs]
+        yield joined([(us[a:b], code[a:b]) for (us, code), a, b in zip(runs, begin, end)])
+        begin = end
+
+
+def _times(batch: pd.DataFrame) -> np.ndarray:
+    return batch["us"].to_numpy().astype(np.int64)
+
+
 class AutoRevert(StatefulProcessor):
     """Emits each command and, when a timed prohibition runs out first, the return to ALLOW.
 
@@ -70,22 +107,40 @@ class AutoRevert(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         until = self.pending.get()[0] if self.pending.exists() else None
         last = self.last.get()[0] if self.last.exists() else None
-        out = []
-        for now, command in sorted((us, c) for batch in rows for us, c in zip(batch["us"], batch["command"]) if c is not None):
-            parsed = parse(command)
-            if parsed is None:
-                continue
-            mode, minutes = parsed
-            if last is not None and now < last:  # late: a newer command is in force already
-                out.append((key[0], int(now), mode, "command"))
-                continue
-            last = int(now)
-            if until is not None and until <= now:
-                out.append((key[0], until, "ALLOW", "timeout"))
-            until = int(now) + minutes * 60_000_000 if minutes is not None else None
-            out.append((key[0], int(now), mode, "command"))
+        known: dict[str, int] = {}
+        parsed: list[tuple[str, int | None]] = []
+
+        def code(command: str) -> int:
+            if command not in known:
+                found = parse(command)
+                if found is None:
+                    return -1
+                known[command] = len(parsed)
+                parsed.append(found)
+            return known[command]
+
+        def valid() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for batch in rows:
+                batch = batch[batch["command"].notna()]
+                codes = np.fromiter(map(code, batch["command"]), np.int32, len(batch))
+                yield _times(batch[codes >= 0]), codes[codes >= 0]
+
+        columns = ["site_id", "us", "mode", "cause"]
+        for times, codes in in_order(valid()):
+            out = []
+            rank = np.argsort(np.argsort(list(known)))  # of one time, by text
+            order = np.lexsort((rank[codes], times)) if len(codes) else codes
+            for now, (mode, minutes) in zip(times[order].tolist(), map(parsed.__getitem__, codes[order].tolist())):
+                if last is not None and now < last:  # late: a newer command is in force already
+                    out.append((key[0], now, mode, "command"))
+                    continue
+                last = now
+                if until is not None and until <= now:
+                    out.append((key[0], until, "ALLOW", "timeout"))
+                until = now + minutes * 60_000_000 if minutes is not None else None
+                out.append((key[0], now, mode, "command"))
+            yield pd.DataFrame(out, columns=columns)
         self._set(until, last)
-        yield pd.DataFrame(out, columns=["site_id", "us", "mode", "cause"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         at, out = expiredTimerInfo.getExpiryTimeInMs(), []
@@ -113,18 +168,19 @@ class StaleAlerts(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last, alerted = self.seen.get() if self.seen.exists() else (None, False)
-        out = []
-        for at in sorted(int(us) for batch in rows for us in batch["us"]):
-            if last is not None and at - last > self.limit and not alerted:
-                out.append((key[0], last + self.limit, last))
-            if last is None or at > last:
-                last, alerted = at, False
+        for times, _ in in_order((us, np.zeros(len(us), np.int32)) for us in map(_times, rows)):
+            out = []
+            for at in times.tolist():
+                if last is not None and at - last > self.limit and not alerted:
+                    out.append((key[0], last + self.limit, last))
+                if last is None or at > last:
+                    last, alerted = at, False
+            yield pd.DataFrame(out, columns=["site_id", "us", "since_us"])
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         self.seen.update((last, alerted))
         if not alerted:
             self.handle.registerTimer(_millis(last + self.limit))
-        yield pd.DataFrame(out, columns=["site_id", "us", "since_us"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         columns = ["site_id", "us", "since_us"]
