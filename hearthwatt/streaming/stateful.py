@@ -70,7 +70,7 @@ def in_order(parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[n
 
 
 def _times(batch: pd.DataFrame) -> np.ndarray:
-    return batch["us"].to_numpy().astype(np.int64)
+    return batch["us"].astype("int64").to_numpy()  # refuses a missing time
 
 
 class AutoRevert(StatefulProcessor):

@@ -95,3 +95,10 @@ def test_a_large_batch_is_held_in_pieces():
         peak = tracemalloc.get_traced_memory()[1] / 500_000
         tracemalloc.stop()
         assert emitted > 1_000 and peak < 100, f"{peak} bytes a row"
+
+
+def test_a_missing_time_is_refused():
+    for processor in (stateful.AutoRevert(), stateful.StaleAlerts(1)):
+        rows = iter([pd.DataFrame({"us": [FIRST, None], "command": ["ALLOW", "PROHIBIT"]})])
+        with pytest.raises(ValueError):
+            list(started(processor).handleInputRows(("s",), rows, None))
