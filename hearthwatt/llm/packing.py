@@ -13,6 +13,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthwatt.llm.frames import stored, table
@@ -23,6 +24,8 @@ SEQUENCE, END = 2048, 1
 GROUP = 3000
 #: Words whose ids a worker remembers; beyond, it starts anew.
 REMEMBERED = 1_000_000
+#: Bytes of text that are encoded at once, and one text more.
+AT_ONCE = 1 << 22
 #: Punctuation behind a letter or digit, up to the end of the word: always split from what stands before it.
 CLOSING = re.compile(r"[.,;:!?%*#$&)(|+=/](?<=[^\W_].)[.,;:!?%*#$&)(|+=/]*(?=[ \n]|\Z)")
 
@@ -39,7 +42,7 @@ class WordIds:
     """Ids of a text as bytes (little-endian, four each). No token of the vocabulary holds or depends on white space, so
     a text's ids are those of its words between spaces; the punctuation behind a word's letters is a word of its own.
     Words met before are looked up, new ones are encoded together. A run of lower-case letters is what the normaliser
-    and the splitter of the vocabulary leave as it is, so it goes straight to the model.
+    and the splitter of the vocabulary leave as it is, so it goes straight to the model; from a to z its bytes are its letters, too.
     """
 
     def __init__(self, path: str):
@@ -49,34 +52,53 @@ class WordIds:
         self.full = Tokenizer.from_str(Path(path).read_text())
         self.model = Tokenizer(self.full.model)
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bare = Tokenizer(self.full.model)
         self.words: dict[str, bytes] = {}
 
     @staticmethod
-    def split(text: str) -> list[str]:
-        """Words of a text, in lower case where that changes neither special tokens nor letters in context."""
+    def spaced(text: str) -> str:
+        """A text with single spaces between its words, in lower case where that changes neither special tokens nor letters in context."""
         if "İ" in text:  # its lower case ends with a mark, which would join the punctuation behind it
-            return text.replace("\n", " ").split(" ")
+            return text.replace("\n", " ")
         if "<|" not in text and "Σ" not in text and (text.isascii() or unicodedata.is_normalized("NFC", text)):
             text = text.lower()
-        return CLOSING.sub(r" \g<0>", text).replace("\n", " ").split(" ")
+        return CLOSING.sub(r" \g<0>", text).replace("\n", " ")
 
     def _learn(self, new: list[str]) -> None:
         plain = [x for x in new if x.isalpha() and x == x.lower() and (x.isascii() or unicodedata.is_normalized("NFC", x))]
-        for tokenizer, some in ((self.model, plain), (self.full, list(set(new).difference(plain)))):
+        latin, other = [x for x in plain if x.isascii()], [x for x in plain if not x.isascii()]
+        for tokenizer, some in ((self.bare, latin), (self.model, other), (self.full, list(set(new).difference(plain)))):
             encoded = tokenizer.encode_batch_fast(some, add_special_tokens=False)
             self.words.update((x, array("I", e.ids).tobytes()) for x, e in zip(some, encoded))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = list(map(self.split, texts))
-        words = set().union(*split)
-        new = list(words.difference(self.words))
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each of some words that all differ."""
+        ids = list(map(self.words.get, words))
+        new = [i for i, known in enumerate(ids) if known is None]
         if len(self.words) + len(new) > REMEMBERED:
             self.words.clear()
-            new = list(words)
+            new = range(len(words))
         if new:
-            self._learn(new)
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+            self._learn([words[i] for i in new])
+            for i in new:
+                ids[i] = self.words[words[i]]
+        return ids
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Only the words that differ are looked up one by one; their ids are put in place by numpy."""
+        if not texts:
+            return []
+        split = pc.split_pattern(pa.array(list(map(self.spaced, texts)), pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        ids = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        code = coded.indices.to_numpy()
+        size = sizes[code]
+        before = np.concatenate([[0], np.cumsum(size)])
+        start = (np.cumsum(sizes) - sizes)[code] - before[:-1]
+        out = np.frombuffer(b"".join(ids), "<u4")[np.repeat(start, size) + np.arange(before[-1])].tobytes()
+        ends = (4 * before[split.offsets.to_numpy()]).tolist()
+        return [out[first:last] for first, last in zip(ends, ends[1:])]
 
 
 @functools.lru_cache(1)
@@ -91,8 +113,10 @@ def _cut(path: str, sequence: int, end: int):
     def cut(batches):
         words = word_ids(path)
         for batch in batches:
-            for first in range(0, batch.num_rows, 64):
-                part = batch.slice(first, 64)
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+            firsts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // AT_ONCE, prepend=-1)).tolist()
+            for first, last in zip(firsts, [*firsts[1:], batch.num_rows]):
+                part = batch.slice(first, last - first)
                 rows = []
                 for doc_id, ids in zip(part.column(0).to_pylist(), words.encode([t or "" for t in part.column(1).to_pylist()])):
                     ids += tail
