@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -20,6 +21,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """For the jobs that run inside, Python gets at most ``rows`` rows at once; then the session's own setting holds again.
+
+    Executor and worker hold each batch whole, and Arrow doubles its buffers: 10,000 texts of 3 kB, or pairs of sets, take
+    hundreds of MB beside the heap. Results do not depend on the cut.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def remainder(key: str, of: int) -> Column:
     """crc32 of the key as text, modulo ``of``; a missing key counts as an empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % of

@@ -15,6 +15,8 @@ UNKNOWN = "und"
 BUCKETS, ORDERS = 1 << 16, (1, 2, 3)
 #: Documents per language that the model is fitted on, as an expected value: a hash of the key picks them.
 SAMPLE = 4000
+#: Bytes of text that are worked on at once; what is known about them leaves at once, too.
+SLICE = 1 << 18
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, buckets: int = BUCKETS, orders=ORDERS):
@@ -30,7 +32,7 @@ def _counts(labels: list[str], buckets: int):
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             label = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, SLICE):
                 for bucket, at in grams(data, offsets[a:b + 1], buckets):
                     flat = np.repeat(label[a:b], np.diff(at)) * buckets + bucket
                     total += np.bincount(flat, minlength=total.size).reshape(total.shape)
@@ -92,23 +94,24 @@ def classify(df: DataFrame, model: Model, column: str = "text", result: tuple[st
 
     def score(batches):
         own = shared.value
+        names = [*own.labels, UNKNOWN]
         for batch in batches:
             data, offsets = utf8(batch.column(column))
-            best, sure = np.full(len(offsets) - 1, -1), np.zeros(len(offsets) - 1)
-            for a, b in slices(offsets) if own.labels else ():
-                logs, seen = np.tile(own.prior, (b - a, 1)), np.zeros(b - a, np.int64)
-                for bucket, at in grams(data, offsets[a:b + 1], buckets):
-                    logs += sums_per_text(own.matrix[bucket], at)
-                    seen += np.diff(at)
-                logs -= logs.max(axis=1, keepdims=True)
-                chance = np.exp(logs)
-                top = logs.argmax(axis=1)
-                best[a:b] = np.where(seen > 0, top, -1)
-                sure[a:b] = np.where(seen > 0, chance[np.arange(b - a), top] / chance.sum(axis=1), 0.0)
-            names = [*own.labels, UNKNOWN]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array([names[i] for i in best], pa.string()), pa.array(sure)],
-                names=[*kept, *result])
+            for a, b in slices(offsets, SLICE):
+                best, sure = np.full(b - a, -1), np.zeros(b - a)
+                if own.labels:
+                    logs, seen = np.tile(own.prior, (b - a, 1)), np.zeros(b - a, np.int64)
+                    for bucket, at in grams(data, offsets[a:b + 1], buckets):
+                        logs += sums_per_text(own.matrix[bucket], at)
+                        seen += np.diff(at)
+                    logs -= logs.max(axis=1, keepdims=True)
+                    chance = np.exp(logs)
+                    top = logs.argmax(axis=1)
+                    best = np.where(seen > 0, top, -1)
+                    sure = np.where(seen > 0, chance[np.arange(b - a), top] / chance.sum(axis=1), 0.0)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(a, b - a) for c in kept), pa.array([names[i] for i in best], pa.string()), pa.array(sure)],
+                    names=[*kept, *result])
 
     schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept), f"{result[0]} string, {result[1]} double"])
     return df.mapInArrow(score, schema)

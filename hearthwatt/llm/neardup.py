@@ -7,7 +7,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hearthwatt.llm.frames import stored, table
+from hearthwatt.llm.frames import small_batches, stored, table
 from hearthwatt.llm.graph import components
 from hearthwatt.llm.registry import query
 from hearthwatt.llm.text import mixed, prefix_sums, slices, spans_hash, spans_residue, utf8, word_spans
@@ -234,6 +234,11 @@ def near_duplicates(documents: DataFrame, column: str = "text", key: str = "doc_
     made for the pairs of a crowd of texts that are alike but not alike enough.
     """
     chosen = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text"))
+    with small_batches(documents.sparkSession):  # all jobs that run Python end before this returns
+        return _named(chosen, size, percent)
+
+
+def _named(chosen: DataFrame, size: int, percent: int) -> DataFrame:
     sketches = stored(chosen.mapInArrow(_sketches(size), "doc_id long, n long, x long, y long, parts array<long>"), "sketches")
     classes = sketches.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "x", "y").agg(F.min("doc_id").alias("rep"), F.first("parts").alias("parts"))
     one, two = F.slice("parts", 1, SIDE), F.slice("parts", SIDE + 1, SIDE)

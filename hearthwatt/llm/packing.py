@@ -16,14 +16,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hearthwatt.llm.frames import stored, table
+from hearthwatt.llm.frames import small_batches, stored, table
 from hearthwatt.llm.registry import query
 
 SEQUENCE, END = 2048, 1
 #: Pieces per group: their lengths are all that one task holds.
 GROUP = 3000
-#: Words whose ids a worker remembers; beyond, it starts anew.
-REMEMBERED = 1_000_000
+#: Words whose ids a worker remembers from one portion of text to the next; beyond, the half used last stays.
+REMEMBERED = 1 << 18
+#: New words that the tokenizer gets at once.
+LEARNT = 4096
 #: Bytes of text that are encoded at once, and one text more.
 AT_ONCE = 1 << 22
 #: Punctuation behind a letter or digit, up to the end of the word: always split from what stands before it.
@@ -41,7 +43,8 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 class WordIds:
     """Ids of a text as bytes (little-endian, four each). No token of the vocabulary holds or depends on white space, so
     a text's ids are those of its words between spaces; the punctuation behind a word's letters is a word of its own.
-    Words met before are looked up, new ones are encoded together. A run of lower-case letters is what the normaliser
+    Words met before are looked up, new ones are encoded together. They are remembered as arrays, which
+    take less than Python objects: a worker that has packed does the work of other stages later. A run of lower-case letters is what the normaliser
     and the splitter of the vocabulary leave as it is, so it goes straight to the model; from a to z its bytes are its letters, too.
     """
 
@@ -53,7 +56,10 @@ class WordIds:
         self.model = Tokenizer(self.full.model)
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.bare = Tokenizer(self.full.model)
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # those being learnt
+        self.known = pa.array([], pa.large_string())
+        self.ids = np.empty(0, "<u4")
+        self.sizes, self.used, self.portion = np.empty(0, np.int32), np.empty(0, np.int32), 0
 
     @staticmethod
     def spaced(text: str) -> str:
@@ -64,39 +70,55 @@ class WordIds:
             text = text.lower()
         return CLOSING.sub(r" \g<0>", text).replace("\n", " ")
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> list[bytes]:
         plain = [x for x in new if x.isalpha() and x == x.lower() and (x.isascii() or unicodedata.is_normalized("NFC", x))]
         latin, other = [x for x in plain if x.isascii()], [x for x in plain if not x.isascii()]
         for tokenizer, some in ((self.bare, latin), (self.model, other), (self.full, list(set(new).difference(plain)))):
-            encoded = tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.words.update((x, array("I", e.ids).tobytes()) for x, e in zip(some, encoded))
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """Ids of each of some words that all differ."""
-        ids = list(map(self.words.get, words))
-        new = [i for i, known in enumerate(ids) if known is None]
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words.clear()
-            new = range(len(words))
-        if new:
-            self._learn([words[i] for i in new])
-            for i in new:
-                ids[i] = self.words[words[i]]
+            for at in range(0, len(some), LEARNT):  # what the tokenizer returns is far larger than the ids
+                part = some[at:at + LEARNT]
+                encoded = tokenizer.encode_batch_fast(part, add_special_tokens=False)
+                self.words.update((x, array("I", e.ids).tobytes()) for x, e in zip(part, encoded))
+        ids = [self.words[x] for x in new]
+        self.words.clear()
         return ids
 
+    def _forget(self) -> None:
+        """Leaves the half of the words that was used last."""
+        keep = np.zeros(len(self.known), bool)
+        keep[np.argsort(-self.used, kind="stable")[:REMEMBERED // 2]] = True
+        self.known, self.ids = self.known.filter(pa.array(keep)), self.ids[np.repeat(keep, self.sizes)]
+        self.sizes, self.used = self.sizes[keep], self.used[keep]
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where some words, which all differ, stand among the words remembered; new ones are learnt."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        found = pc.index_in(words, value_set=self.known)
+        lacking = found.is_null()
+        place, new = found.fill_null(0).to_numpy().copy(), words.filter(lacking)
+        if len(new):
+            place[lacking.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(new))
+            ids = self._learn(new.to_numpy(zero_copy_only=False).tolist())
+            self.known = pa.concat_arrays([self.known, new])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), "<u4")])
+            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, ids), np.int32, len(ids)) // 4])
+            self.used = np.concatenate([self.used, np.empty(len(new), np.int32)])
+        self.portion += 1
+        self.used[place] = self.portion
+        return place
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Only the words that differ are looked up one by one; their ids are put in place by numpy."""
         if not texts:
             return []
         split = pc.split_pattern(pa.array(list(map(self.spaced, texts)), pa.large_string()), " ")
         coded = split.flatten().dictionary_encode()
-        ids = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        code = coded.indices.to_numpy()
-        size = sizes[code]
-        before = np.concatenate([[0], np.cumsum(size)])
-        start = (np.cumsum(sizes) - sizes)[code] - before[:-1]
-        out = np.frombuffer(b"".join(ids), "<u4")[np.repeat(start, size) + np.arange(before[-1])].tobytes()
+        place = self._places(coded.dictionary)
+        first, code = np.cumsum(self.sizes, dtype=np.int64) - self.sizes, coded.indices.to_numpy()
+        size = self.sizes[place][code]
+        before = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        start = first[place][code] - before[:-1]
+        out = self.ids[np.repeat(start, size) + np.arange(before[-1])].tobytes()
         ends = (4 * before[split.offsets.to_numpy()]).tolist()
         return [out[first:last] for first, last in zip(ends, ends[1:])]
 
@@ -162,7 +184,8 @@ def pack(documents: DataFrame, path: str | None = None, column: str = "text", ke
     rows and rows without ``key`` are documents like others. No rows: no pieces. Other columns are not read.
     """
     chosen = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text"))
-    pieces = stored(chosen.mapInArrow(_cut(path or tokenizer_path(), sequence, end), PIECES), "pieces")
+    with small_batches(documents.sparkSession):
+        pieces = stored(chosen.mapInArrow(_cut(path or tokenizer_path(), sequence, end), PIECES), "pieces")
     groups = max(1, -(-pieces.count() // group))
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
